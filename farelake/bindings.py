@@ -9,49 +9,67 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 PICKUP, DROPOFF = "tpep_pickup_datetime", "tpep_dropoff_datetime"
 
+# Declared, so that no job has to read footers before the plan can be built.
+TABLES = {
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+        "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+        "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
+    ),
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+        "o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+    "events": (
+        "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+        "value double, props string"
+    ),
+}
+
+_BASE_FARE = "(l_extendedprice / 1000D)"
+_FARE = f"CASE l_orderkey % 1000 WHEN 0 THEN -{_BASE_FARE} WHEN 4 THEN 25D ELSE {_BASE_FARE} END"
+_TIP = (
+    f"CASE WHEN l_orderkey % 1000 = 5 THEN 0.75D * {_BASE_FARE} "
+    f"WHEN l_orderkey % 7 = 2 THEN 0D ELSE {_BASE_FARE} * l_discount * 3 END"
+)
+_PICKUP = (
+    "timestampadd(SECOND, "
+    "int((l_orderkey * 7919 + l_partkey * 37 + l_linenumber * 1009) % 86400), o_orderdate)"
+)
+_LENGTH = (
+    "CASE l_orderkey % 1000 WHEN 2 THEN 28800 WHEN 3 THEN -300 "
+    "ELSE 30 + (l_partkey * 131 + l_suppkey * 17 + l_linenumber * 7) % 5370 END"
+)
+
+RULES = {
+    "VendorID": "bigint(1 + l_linenumber % 2)",
+    PICKUP: _PICKUP,
+    DROPOFF: f"timestampadd(SECOND, int({_LENGTH}), {_PICKUP})",
+    "passenger_count": (
+        "CASE l_orderkey % 20 WHEN 0 THEN double('NaN') WHEN 1 THEN NULL "
+        "ELSE double(l_linenumber) END"
+    ),
+    "trip_distance": (
+        "CASE l_orderkey % 1000 WHEN 1 THEN 150D WHEN 4 THEN 0D ELSE l_quantity * 0.25D END"
+    ),
+    "PULocationID": "CASE WHEN l_orderkey % 250 = 0 THEN -1L ELSE l_suppkey END",
+    "DOLocationID": "l_partkey % 10",
+    "payment_type": "l_orderkey % 7",
+    "fare_amount": _FARE,
+    "tip_amount": _TIP,
+    "total_amount": f"{_FARE} + {_TIP} + 1.5D",
+}
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
-
-
-def _columns() -> dict[str, Column]:
-    order, part, supplier = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_suppkey")
-    line = F.col("l_linenumber")
-    slot = order % 1000
-    base_fare = F.col("l_extendedprice") / F.lit(1000.0)
-    fare = F.when(slot == 0, -base_fare).when(slot == 4, 25.0).otherwise(base_fare)
-    payment = order % 7
-    tip = (
-        F.when(slot == 5, F.lit(0.75) * base_fare)
-        .when(payment == 2, 0.0)
-        .otherwise(base_fare * F.col("l_discount") * 3)
-    )
-    second_of_day = (order * 7919 + part * 37 + line * 1009) % 86400
-    pickup = F.timestamp_add("SECOND", second_of_day.cast("int"), F.col("o_orderdate"))
-    usual_length = 30 + (part * 131 + supplier * 17 + line * 7) % 5370
-    length = F.when(slot == 2, 28800).when(slot == 3, -300).otherwise(usual_length)
-    return {
-        "VendorID": (1 + line % 2).cast("bigint"),
-        PICKUP: pickup,
-        DROPOFF: F.timestamp_add("SECOND", length.cast("int"), pickup),
-        "passenger_count": F.when(order % 20 == 0, float("nan"))
-        .when(order % 20 == 1, None)
-        .otherwise(line.cast("double")),
-        "trip_distance": F.when(slot == 1, 150.0)
-        .when(slot == 4, 0.0)
-        .otherwise(F.col("l_quantity") * 0.25),
-        "PULocationID": F.when(order % 250 == 0, -1).otherwise(supplier).cast("bigint"),
-        "DOLocationID": part % 10,
-        "payment_type": payment,
-        "fare_amount": fare,
-        "tip_amount": tip,
-        "total_amount": fare + tip + 1.5,
-    }
+    return spark.read.schema(TABLES[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def trips(spark: SparkSession, folder: str, columns: Sequence[str] | None = None) -> DataFrame:
@@ -60,13 +78,12 @@ def trips(spark: SparkSession, folder: str, columns: Sequence[str] | None = None
     The order date comes from a left join on the order key, which is unique. So the join neither
     adds nor drops trips, and it is planned only when a timestamp is asked for.
     """
-    rules = _columns()
-    wanted = list(columns or rules)
+    wanted = list(columns or RULES)
     facts = table(spark, folder, "lineitem")
     if PICKUP in wanted or DROPOFF in wanted:
         dates = table(spark, folder, "orders").select("o_orderkey", "o_orderdate")
         facts = facts.join(dates, facts.l_orderkey == dates.o_orderkey, "left")
-    return facts.select(*[rules[name].alias(name) for name in wanted])
+    return facts.selectExpr(*[f"{RULES[name]} AS {name}" for name in wanted])
 
 
 def zones(spark: SparkSession, folder: str) -> DataFrame:
@@ -76,22 +93,22 @@ def zones(spark: SparkSession, folder: str) -> DataFrame:
     return (
         supplier.join(nation, supplier.s_nationkey == nation.n_nationkey)
         .join(region, nation.n_regionkey == region.r_regionkey)
-        .select(
-            F.col("s_suppkey").alias("location_id"),
-            F.col("r_name").alias("borough"),
-            F.col("n_name").alias("zone"),
-            F.col("r_name").alias("service_zone"),
+        .selectExpr(
+            "s_suppkey AS location_id",
+            "r_name AS borough",
+            "n_name AS zone",
+            "r_name AS service_zone",
         )
     )
 
 
 def event_trips(spark: SparkSession, folder: str) -> DataFrame:
     """The event stream read as trips: time, user and value stand for pickup, place and amount."""
-    return table(spark, folder, "events").select(
-        F.col("ts").alias(PICKUP),
-        F.col("user_id").alias("PULocationID"),
-        F.col("value").alias("total_amount"),
-        F.lit(0.0).alias("tip_amount"),
-        F.col("value").alias("trip_distance"),
-        F.col("value").alias("fare_amount"),
+    return table(spark, folder, "events").selectExpr(
+        f"ts AS {PICKUP}",
+        "user_id AS PULocationID",
+        "value AS total_amount",
+        "0D AS tip_amount",
+        "value AS trip_distance",
+        "value AS fare_amount",
     )

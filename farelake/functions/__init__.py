@@ -3,8 +3,8 @@
 from farelake.functions.scalars import (
     day_of_week,
     file_name,
+    interval_micros,
     mean_from,
-    micros_between,
     month_start,
     round_half_away,
     seconds_between,
@@ -15,8 +15,8 @@ from farelake.functions.scalars import (
 __all__ = [
     "day_of_week",
     "file_name",
+    "interval_micros",
     "mean_from",
-    "micros_between",
     "month_start",
     "round_half_away",
     "seconds_between",

@@ -11,14 +11,22 @@ def day_of_week(ts: Column) -> Column:
     return F.dayofweek(ts) - 1
 
 
-def micros_between(start: Column, end: Column) -> Column:
-    """Signed microseconds from `start` to `end`, as bigint."""
-    return F.timestamp_diff("MICROSECOND", start, end)
+def _elapsed(interval: Column) -> Column:
+    return interval.cast("interval second").cast("decimal(18,6)")
+
+
+def interval_micros(interval: Column) -> Column:
+    """Length of a day-time interval in microseconds, as bigint."""
+    return (_elapsed(interval) * 1_000_000).cast("bigint")
 
 
 def seconds_between(start: Column, end: Column) -> Column:
-    """Signed seconds from `start` to `end`, as double, fraction kept."""
-    return micros_between(start, end) / F.lit(1_000_000.0)
+    """Signed seconds from `start` to `end`, as double, fraction kept.
+
+    Taken from the interval: `timestampdiff` would first move zoneless times into the session zone,
+    where a clock change can fall between them.
+    """
+    return _elapsed(end - start).cast("double")
 
 
 def round_half_away(value: Column, digits: int = 0) -> Column:

@@ -4,83 +4,73 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
 def exact_quantiles(
-    frame: DataFrame,
-    value: Column,
-    upper: int,
-    width: int,
-    quantiles: Mapping[str, float],
-    unit: float = 1.0,
+    counts: DataFrame, width: int, quantiles: Mapping[str, float], unit: float = 1.0
 ) -> DataFrame:
     """One row: every quantile (in `unit`s, interpolated), plus `mean` and `rows`.
 
-    `value` is an integer column; rows outside 0..upper are left out. The built-in `percentile` merges all distinct values in
-    one task; here the work is cut down in three steps instead:
+    `counts` holds each distinct integer `v` once, with its number of rows `n`; so the facts went
+    through one partial aggregation and one shuffle. The built-in `percentile` would merge all
+    distinct values in one task. Here
 
-    1. count each distinct value (partial aggregation runs before the only fact-sized shuffle);
-    2. sum the counts into at most `upper / width + 1` buckets and find, from their running total,
-       the few buckets that hold the wanted ranks;
-    3. rank only the values in those buckets, at most `width` distinct values each.
+    1. the counts are summed into buckets of `width` neighbouring values, and their running total
+       tells which few buckets hold the wanted ranks (the caller bounds the number of buckets by
+       bounding `v`);
+    2. only the values in those buckets are ranked, at most `width` per bucket.
 
-    Steps 2 and 3 read the same shuffled counts, so the facts are scanned once.
+    Both steps read the same shuffled counts, so the facts are scanned once.
     """
-    in_range = frame.where(value.between(0, upper)).select(value.alias("v"))
-    counts = in_range.groupBy("v").agg(F.count(F.lit(1)).alias("n"))
-    bucket = F.floor(F.col("v") / F.lit(width)).alias("bucket")
-
-    by_bucket = counts.groupBy(bucket).agg(
-        F.sum("n").alias("n"), F.sum(F.col("v") / F.lit(unit) * F.col("n")).alias("amount")
-    )
-    # At most upper / width + 1 rows reach this unpartitioned window.
-    everything = Window.partitionBy()
-    running = by_bucket.select(
-        "bucket",
-        (F.sum("n").over(Window.orderBy("bucket")) - F.col("n")).alias("before"),
-        F.col("n").alias("inside"),
-        F.sum("n").over(everything).alias("rows"),
-        F.sum("amount").over(everything).alias("amount"),
+    # One row per bucket reaches the unpartitioned windows.
+    running = (
+        counts.groupBy(F.expr(f"v div {width}").alias("bucket"))
+        .agg(F.sum("n").alias("inside"), F.expr(f"sum(v / {unit}D * n)").alias("in_amount"))
+        .selectExpr(
+            "bucket",
+            "inside",
+            "sum(inside) OVER (ORDER BY bucket) - inside AS before",
+            "sum(inside) OVER () AS rows",
+            "sum(in_amount) OVER () AS amount",
+        )
     )
+    # Zero-based position of each quantile, and the two ranks around it.
+    positions = {name: f"((rows - 1) * {p}D)" for name, p in quantiles.items()}
+    ranks = ", ".join(f"floor({at}), ceil({at})" for at in positions.values())
+    wanted = running.where(
+        f"exists(array({ranks}), r -> r >= before AND r < before + inside)"
+    ).selectExpr("bucket AS wanted_bucket", "before", "rows", "amount")
 
-    def rank(p: float) -> Column:
-        return (F.col("rows") - 1) * F.lit(p)
-
-    def holds(start: Column, length: Column, position: Column) -> Column:
-        return (position >= start) & (position < start + length)
-
-    ranks = [f(rank(p)) for p in quantiles.values() for f in (F.floor, F.ceil)]
-    wanted_here = F.lit(False)
-    for r in ranks:
-        wanted_here = wanted_here | holds(F.col("before"), F.col("inside"), r)
     # At most two buckets per quantile are left, so this side is broadcast whatever the data size.
-    wanted = F.broadcast(running.where(wanted_here).withColumnRenamed("bucket", "wanted_bucket"))
-
-    inside = Window.partitionBy("wanted_bucket").orderBy("v")
-    ranked = counts.join(wanted, bucket == F.col("wanted_bucket")).select(
+    ranked = counts.join(F.broadcast(wanted), F.expr(f"v div {width} = wanted_bucket")).selectExpr(
         "v",
         "n",
         "rows",
         "amount",
-        (F.col("before") + F.sum("n").over(inside) - F.col("n")).alias("start"),
+        "before + sum(n) OVER (PARTITION BY wanted_bucket ORDER BY v) - n AS start",
+    )
+    # One value per rank is left: at most two per quantile.
+    row = (
+        ranked.where(f"exists(array({ranks}), r -> r >= start AND r < start + n)")
+        .selectExpr("rows", "amount", f"struct(start, n, v / {unit}D AS v) AS pick")
+        .agg(
+            F.max("rows").alias("rows"),
+            F.max("amount").alias("amount"),
+            F.collect_list("pick").alias("picks"),
+        )
     )
 
-    picks = []
-    for name, p in quantiles.items():
-        for side, r in (("lo", F.floor(rank(p))), ("hi", F.ceil(rank(p)))):
-            at_rank = F.when(holds(F.col("start"), F.col("n"), r), F.col("v") / F.lit(unit))
-            picks.append(F.max(at_rank).alias(f"{name}_{side}"))
-    row = ranked.agg(F.max("rows").alias("rows"), F.max("amount").alias("amount"), *picks)
+    def at_rank(rank: str) -> str:
+        return f"get(filter(picks, x -> {rank} >= x.start AND {rank} < x.start + x.n), 0).v"
 
-    def interpolated(name: str, p: float) -> Column:
-        lo, hi = F.col(f"{name}_lo"), F.col(f"{name}_hi")
-        share = rank(p) - F.floor(rank(p))
-        return F.when(lo == hi, lo).otherwise(lo * (1 - share) + hi * share)
+    def interpolated(at: str) -> str:
+        lo, hi, share = at_rank(f"floor({at})"), at_rank(f"ceil({at})"), f"({at} - floor({at}))"
+        return f"if({lo} = {hi}, {lo}, {lo} * (1 - {share}) + {hi} * {share})"
 
-    return row.select(
-        *[interpolated(name, p).alias(name) for name, p in quantiles.items()],
-        (F.col("amount") / F.col("rows")).alias("mean"),
-        F.coalesce("rows", F.lit(0).cast("bigint")).alias("rows"),
+    return row.selectExpr(
+        *[f"{interpolated(at)} AS {name}" for name, at in positions.items()],
+        "amount / rows AS mean",
+        "coalesce(rows, 0L) AS rows",
     )

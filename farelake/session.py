@@ -11,6 +11,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.ansi.enabled": "true",
     "spark.ui.enabled": "false",
+    # Recording the Python call site of every Column call takes longer than planning the report.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
