@@ -28,7 +28,7 @@ def spark():
         "tests",
         master="local[4]",
         shuffle_partitions=4,
-        **{"spark.log.level": "OFF", "spark.driver.memory": "2g"},
+        **{"spark.log.level": "OFF", "spark.driver.memory": "2g", "spark.sql.maxMetadataStringLength": "10000"},
     )
     yield session
     session.stop()
