@@ -13,22 +13,31 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from farelake.plans.ingest import load_summary, read_table, run_load
-from farelake.plans.reports import REPORTS, run_all
+from farelake.plans.reports import ROLLUPS, run_all
 from farelake.plans.workloads import WORKLOADS
 from farelake.session import get_session
 from farelake.sources.dimensions import read_zones
-from farelake.sources.tables import save
+from farelake.sources.tables import load, save
 from farelake.sources.views import create_views
 
 
 def write_reports(trips: DataFrame, zones: DataFrame, out_dir: str) -> list[str]:
-    """Write each report and workload as its own table; return their names."""
+    """Write each report and workload as its own table; return their names.
+
+    The rollups are written first: they are small, survive lost executors, and spare the eight
+    results keyed by time or place a scan of the trips each.
+    """
+    rollups = {}
+    for name, build in ROLLUPS.items():
+        frame, path = build(trips), f"{out_dir}/rollups/{name}"
+        save(frame, path)
+        rollups[name] = load(trips.sparkSession, path, frame.schema)
     written = []
-    for report, frame in run_all(trips, zones):
+    for report, frame in run_all(trips, zones, rollups):
         save(frame, f"{out_dir}/reports/{report.name}")
         written.append(report.name)
     for workload in WORKLOADS.values():
-        save(workload.build(trips), f"{out_dir}/workloads/{workload.name}")
+        save(workload.over(trips, rollups), f"{out_dir}/workloads/{workload.name}")
         written.append(workload.name)
     return written
 

@@ -1,16 +1,21 @@
 """The ten named reports. Each is a lazy DataFrame over `trips` and the dimensions it needs.
 
-Where a report groups by names that come from a dimension, trips are first reduced to one row per
-key (sums and counts, never means), and only those rows meet the dimension. Partial aggregation runs
-before the shuffle, so a key that holds a third of all trips costs one row per task, and the join
-never sees the facts. No join side is forced to be broadcast unless its size is fixed in the code;
-for the others Spark compares file or shuffle sizes with its broadcast threshold.
+Reports that only add up work in two steps: `*_parts` reduces the trips to sums and counts per key
+(never means), and a finishing step merges those parts. So
+
+- a key that holds a third of all trips costs one row per task, as partial aggregation runs before
+  the shuffle, and dimensions are joined to parts, never to trips;
+- a batch of reports can share parts: the rollups at the end hold them by time and by place, so eight
+  results need two scans.
+
+No join side is forced to be broadcast unless its size is fixed in the code; for the others Spark
+compares file or shuffle sizes with its broadcast threshold.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-from dataclasses import dataclass, field
+from collections.abc import Callable, Iterator, Mapping
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,53 +34,84 @@ from farelake.sources.dimensions import payment_types
 PICKUP, DROPOFF = "tpep_pickup_datetime", "tpep_dropoff_datetime"
 MICROS_PER_SECOND = 1_000_000
 
+# Trips that count for revenue, and trips that have a price per mile.
+PAID = "total_amount > 0"
+RATED = "trip_distance > 0.1D AND fare_amount > 0"
+RATES = {"per_mile": "fare_amount / nullif(trip_distance, 0D)", "distance": "trip_distance"}
+
 
 def _rows() -> Column:
     return F.count(F.lit(1))
 
 
-def _rounded_mean(name: str, digits: int = 2) -> Column:
-    return round_half_away(F.avg(name), digits)
+def _sums(measures: Mapping[str, str], prefix: str = "", when: str | None = None) -> list[Column]:
+    """Row count, and sum and count per measure, over the rows where `when` holds."""
+
+    def over(sql: str) -> str:
+        return f"CASE WHEN {when} THEN {sql} END" if when else sql
+
+    columns = [F.expr(f"count({over('1')})").alias(f"{prefix}trips")]
+    for name, sql in measures.items():
+        columns.append(F.expr(f"sum({over(sql)})").alias(f"{prefix}{name}_sum"))
+        columns.append(F.expr(f"count({over(sql)})").alias(f"{prefix}{name}_n"))
+    return columns
+
+
+def _mean(measure: str, digits: int = 2) -> Column:
+    """Mean of a measure over merged parts."""
+    return round_half_away(mean_from(F.sum(f"{measure}_sum"), F.sum(f"{measure}_n")), digits)
+
+
+def _same(*names: str) -> dict[str, str]:
+    return {name: name for name in names}
+
 
+def _paid_parts(trips: DataFrame, key: Column, *measures: str) -> DataFrame:
+    return trips.where(PAID).groupBy(key).agg(*_sums(_same(*measures), "paid_"))
 
-def _merged_mean(name: str, digits: int = 2) -> Column:
-    """Mean over groups that carry `<name>_sum` and `<name>_n`."""
-    return round_half_away(mean_from(F.sum(f"{name}_sum"), F.sum(f"{name}_n")), digits)
 
+def _hour() -> Column:
+    return F.hour(PICKUP).alias("hour_of_day")
 
-def _parts(*names: str) -> list[Column]:
-    return [
-        part
-        for name in names
-        for part in (F.sum(name).alias(f"{name}_sum"), F.count(name).alias(f"{name}_n"))
-    ]
+
+def _day_type(moment: str) -> Column:
+    """Sunday and Saturday are weekend; a missing day counts as weekday."""
+    weekend = day_of_week(F.col(moment)).isin(0, 6)
+    return F.when(weekend, "weekend").otherwise("weekday").alias("day_type")
 
 
 def top_zones(trips: DataFrame, zones: DataFrame, limit: int = 10) -> DataFrame:
     """Busiest pickup zones by name; ids without a zone share one (null, null) group."""
-    per_id = (
-        trips.where(F.col("total_amount") > 0)
-        .groupBy("PULocationID")
-        .agg(_rows().alias("trips"), *_parts("total_amount"))
-    )
-    named = per_id.join(zones, per_id.PULocationID == zones.location_id, "left")
-    per_name = named.groupBy("borough", "zone").agg(
-        F.sum("trips").alias("trip_count"),
-        _merged_mean("total_amount").alias("avg_fare_usd"),
-        round_half_away(F.sum("total_amount_sum")).alias("total_revenue_usd"),
+    return _top_zones(_paid_parts(trips, F.col("PULocationID"), "total_amount"), zones, limit)
+
+
+def _top_zones(parts: DataFrame, zones: DataFrame, limit: int = 10) -> DataFrame:
+    paid = parts.where("paid_trips > 0")
+    per_name = (
+        paid.join(zones, paid.PULocationID == zones.location_id, "left")
+        .groupBy("borough", "zone")
+        .agg(
+            F.sum("paid_trips").alias("trip_count"),
+            _mean("paid_total_amount").alias("avg_fare_usd"),
+            round_half_away(F.sum("paid_total_amount_sum")).alias("total_revenue_usd"),
+        )
     )
     return top_by_count(per_name, "trip_count", ["borough", "zone"], limit)
 
 
 def hourly_revenue(trips: DataFrame) -> DataFrame:
     """Trips and revenue by hour of pickup; hours without trips are left out."""
+    return _hourly_revenue(_paid_parts(trips, _hour(), "total_amount"))
+
+
+def _hourly_revenue(parts: DataFrame) -> DataFrame:
     return (
-        trips.where(F.col("total_amount") > 0)
-        .groupBy(F.hour(PICKUP).alias("hour_of_day"))
+        parts.where("paid_trips > 0")
+        .groupBy("hour_of_day")
         .agg(
-            _rows().alias("trips"),
-            round_half_away(F.sum("total_amount")).alias("revenue_usd"),
-            _rounded_mean("total_amount").alias("avg_fare_usd"),
+            F.sum("paid_trips").alias("trips"),
+            round_half_away(F.sum("paid_total_amount_sum")).alias("revenue_usd"),
+            _mean("paid_total_amount").alias("avg_fare_usd"),
         )
         .orderBy(F.asc_nulls_last("hour_of_day"))
     )
@@ -88,20 +124,15 @@ def tip_patterns(trips: DataFrame, payments: DataFrame | None = None) -> DataFra
     """
     if payments is None:
         payments = F.broadcast(payment_types(trips.sparkSession))  # six rows, fixed in the code
-    tip_pct = F.lit(100.0) * F.col("tip_amount") / F.nullif("fare_amount", F.lit(0.0))
-    per_code = (
-        trips.where(F.col("fare_amount") > 0)
-        .withColumn("tip_pct", tip_pct)
-        .groupBy("payment_type")
-        .agg(_rows().alias("trips"), *_parts("tip_amount", "tip_pct"))
-    )
+    tips = {"tip": "tip_amount", "pct": "100D * tip_amount / nullif(fare_amount, 0D)"}
+    per_code = trips.where("fare_amount > 0").groupBy("payment_type").agg(*_sums(tips))
     return (
         per_code.join(payments, "payment_type", "left")
         .groupBy("payment_label")
         .agg(
             F.sum("trips").alias("trip_count"),
-            _merged_mean("tip_amount").alias("avg_tip_usd"),
-            _merged_mean("tip_pct").alias("avg_tip_pct"),
+            _mean("tip").alias("avg_tip_usd"),
+            _mean("pct").alias("avg_tip_pct"),
         )
         .orderBy(F.desc("trip_count"), F.asc_nulls_last("payment_label"))
     )
@@ -133,29 +164,36 @@ def duration_percentiles(trips: DataFrame) -> DataFrame:
 
 def fare_per_mile(trips: DataFrame) -> DataFrame:
     """Mean of per-trip dollars per mile, by hour of pickup."""
-    per_mile = F.col("fare_amount") / F.nullif("trip_distance", F.lit(0.0))
+    return _fare_per_mile(trips.where(RATED).groupBy(_hour()).agg(*_sums(RATES, "rated_")))
+
+
+def _fare_per_mile(parts: DataFrame) -> DataFrame:
     return (
-        trips.where((F.col("trip_distance") > 0.1) & (F.col("fare_amount") > 0))
-        .groupBy(F.hour(PICKUP).alias("hour_of_day"))
+        parts.where("rated_trips > 0")
+        .groupBy("hour_of_day")
         .agg(
-            round_half_away(F.avg(per_mile), 2).alias("usd_per_mile"),
-            _rounded_mean("trip_distance").alias("avg_distance_mi"),
+            _mean("rated_per_mile").alias("usd_per_mile"),
+            _mean("rated_distance").alias("avg_distance_mi"),
         )
         .orderBy(F.asc_nulls_last("hour_of_day"))
     )
 
 
 def weekend_vs_weekday(trips: DataFrame) -> DataFrame:
-    """Weekday against weekend (Saturday and Sunday); a missing pickup counts as weekday."""
-    weekend = day_of_week(F.col(PICKUP)).isin(0, 6)
+    """Weekday against weekend."""
+    measures = ("total_amount", "tip_amount", "trip_distance")
+    return _weekend_vs_weekday(_paid_parts(trips, _day_type(PICKUP), *measures))
+
+
+def _weekend_vs_weekday(parts: DataFrame) -> DataFrame:
     return (
-        trips.where(F.col("total_amount") > 0)
-        .groupBy(F.when(weekend, "weekend").otherwise("weekday").alias("day_type"))
+        parts.where("paid_trips > 0")
+        .groupBy("day_type")
         .agg(
-            _rows().alias("trips"),
-            _rounded_mean("total_amount").alias("avg_fare_usd"),
-            _rounded_mean("tip_amount").alias("avg_tip_usd"),
-            _rounded_mean("trip_distance").alias("avg_distance_mi"),
+            F.sum("paid_trips").alias("trips"),
+            _mean("paid_total_amount").alias("avg_fare_usd"),
+            _mean("paid_tip_amount").alias("avg_tip_usd"),
+            _mean("paid_trip_distance").alias("avg_distance_mi"),
         )
         .orderBy("day_type")
     )
@@ -178,20 +216,23 @@ def fraud_heuristics(trips: DataFrame) -> DataFrame:
 
 def top_routes(trips: DataFrame, zones: DataFrame, limit: int = 10) -> DataFrame:
     """Busiest (pickup zone, dropoff zone) pairs by name; both zones must be known."""
-    per_pair = trips.groupBy("PULocationID", "DOLocationID").agg(
-        _rows().alias("trips"), *_parts("total_amount", "trip_distance")
-    )
+    measures = _same("total_amount", "trip_distance")
+    per_pair = trips.groupBy("PULocationID", "DOLocationID").agg(*_sums(measures))
+    return _top_routes(per_pair, zones, limit)
+
+
+def _top_routes(parts: DataFrame, zones: DataFrame, limit: int = 10) -> DataFrame:
     known = zones.where(F.col("zone").isNotNull())
-    pickups = known.select(F.col("location_id").alias("PULocationID"), F.col("zone").alias("pickup_zone"))
-    dropoffs = known.select(F.col("location_id").alias("DOLocationID"), F.col("zone").alias("dropoff_zone"))
+    pickups = known.selectExpr("location_id AS PULocationID", "zone AS pickup_zone")
+    dropoffs = known.selectExpr("location_id AS DOLocationID", "zone AS dropoff_zone")
     per_route = (
-        per_pair.join(pickups, "PULocationID")
+        parts.join(pickups, "PULocationID")
         .join(dropoffs, "DOLocationID")
         .groupBy("pickup_zone", "dropoff_zone")
         .agg(
             F.sum("trips").alias("trip_count"),
-            _merged_mean("total_amount").alias("avg_fare_usd"),
-            _merged_mean("trip_distance").alias("avg_distance_mi"),
+            _mean("total_amount").alias("avg_fare_usd"),
+            _mean("trip_distance").alias("avg_distance_mi"),
         )
     )
     return top_by_count(per_route, "trip_count", ["pickup_zone", "dropoff_zone"], limit)
@@ -199,12 +240,16 @@ def top_routes(trips: DataFrame, zones: DataFrame, limit: int = 10) -> DataFrame
 
 def daily_trend(trips: DataFrame) -> DataFrame:
     """Trips and revenue by calendar date of pickup; dates without trips are left out."""
+    return _daily_trend(_paid_parts(trips, F.to_date(PICKUP).alias("pickup_date"), "total_amount"))
+
+
+def _daily_trend(parts: DataFrame) -> DataFrame:
     return (
-        trips.where(F.col("total_amount") > 0)
-        .groupBy(F.to_date(PICKUP).alias("pickup_date"))
+        parts.where("paid_trips > 0")
+        .groupBy("pickup_date")
         .agg(
-            _rows().alias("trips"),
-            round_half_away(F.sum("total_amount")).alias("revenue_usd"),
+            F.sum("paid_trips").alias("trips"),
+            round_half_away(F.sum("paid_total_amount_sum")).alias("revenue_usd"),
         )
         .orderBy(F.asc_nulls_last("pickup_date"))
     )
@@ -214,7 +259,7 @@ def passenger_distribution(trips: DataFrame) -> DataFrame:
     """Trips by passenger count with their share; missing counts are pooled with zero."""
     passengers = F.coalesce(to_int_half_even(F.col("passenger_count")), F.lit(0))
     counted = trips.groupBy(passengers.alias("passengers")).agg(
-        _rows().alias("trips"), _rounded_mean("total_amount").alias("avg_fare_usd")
+        _rows().alias("trips"), round_half_away(F.avg("total_amount"), 2).alias("avg_fare_usd")
     )
     # The total is a scalar subquery over a scan without columns, not a window in one task.
     total = trips.agg(_rows()).scalar()
@@ -226,18 +271,51 @@ def passenger_distribution(trips: DataFrame) -> DataFrame:
     ).orderBy("passengers")
 
 
+def time_rollup(trips: DataFrame) -> DataFrame:
+    """Parts per calendar date and hour of pickup, for every report keyed by time."""
+    measures = _same("total_amount", "tip_amount", "trip_distance")
+    parts = trips.groupBy(F.to_date(PICKUP).alias("pickup_date"), _hour()).agg(
+        _rows().alias("trips"), *_sums(measures, "paid_", PAID), *_sums(RATES, "rated_", RATED)
+    )
+    return parts.withColumn("day_type", _day_type("pickup_date"))
+
+
+def place_rollup(trips: DataFrame) -> DataFrame:
+    """Parts per pickup and dropoff id, for every report keyed by place."""
+    return trips.groupBy("PULocationID", "DOLocationID").agg(
+        *_sums(_same("total_amount", "trip_distance")),
+        *_sums(_same("total_amount"), "paid_", PAID),
+    )
+
+
+ROLLUPS = {"time": time_rollup, "place": place_rollup}
+
+
 @dataclass(frozen=True)
 class Report:
-    """A named report, the trip columns it reads, and whether it needs the zones."""
+    """A named report and the trip columns it reads.
+
+    With `rollup` set, `finish` gives the same result from that rollup instead of the trips.
+    """
 
     name: str
     description: str
     build: Callable[..., DataFrame]
-    reads: tuple[str, ...] = field(default=())
+    reads: tuple[str, ...]
     with_zones: bool = False
+    rollup: str | None = None
+    finish: Callable[..., DataFrame] | None = None
 
-    def over(self, trips: DataFrame, zones: DataFrame | None = None) -> DataFrame:
-        return self.build(trips, zones) if self.with_zones else self.build(trips)
+    def over(
+        self,
+        trips: DataFrame,
+        zones: DataFrame | None = None,
+        rollups: Mapping[str, DataFrame] | None = None,
+    ) -> DataFrame:
+        rest = (zones,) if self.with_zones else ()
+        if rollups and self.rollup in rollups:
+            return self.finish(rollups[self.rollup], *rest)
+        return self.build(trips, *rest)
 
 
 # Report names, flag names and output columns are the interface users call.
@@ -250,12 +328,16 @@ REPORTS: dict[str, Report] = {
             top_zones,
             ("PULocationID", "total_amount"),
             with_zones=True,
+            rollup="place",
+            finish=_top_zones,
         ),
         Report(
             "hourly-revenue",
             "Trips and revenue per hour of day",
             hourly_revenue,
             (PICKUP, "total_amount"),
+            rollup="time",
+            finish=_hourly_revenue,
         ),
         Report(
             "tip-patterns",
@@ -274,12 +356,16 @@ REPORTS: dict[str, Report] = {
             "Dollars per mile, per hour of day",
             fare_per_mile,
             (PICKUP, "trip_distance", "fare_amount"),
+            rollup="time",
+            finish=_fare_per_mile,
         ),
         Report(
             "weekend-vs-weekday",
             "Weekdays against weekends",
             weekend_vs_weekday,
             (PICKUP, "total_amount", "tip_amount", "trip_distance"),
+            rollup="time",
+            finish=_weekend_vs_weekday,
         ),
         Report(
             "fraud-heuristics",
@@ -293,12 +379,16 @@ REPORTS: dict[str, Report] = {
             top_routes,
             ("PULocationID", "DOLocationID", "total_amount", "trip_distance"),
             with_zones=True,
+            rollup="place",
+            finish=_top_routes,
         ),
         Report(
             "daily-trend",
             "Trips and revenue per day",
             daily_trend,
             (PICKUP, "total_amount"),
+            rollup="time",
+            finish=_daily_trend,
         ),
         Report(
             "passenger-distribution",
@@ -310,7 +400,12 @@ REPORTS: dict[str, Report] = {
 }
 
 
-def run_all(trips: DataFrame, zones: DataFrame) -> Iterator[tuple[Report, DataFrame]]:
-    """Every report in order, with default parameters. Frames are lazy; the caller acts on them."""
+def run_all(
+    trips: DataFrame, zones: DataFrame, rollups: Mapping[str, DataFrame] | None = None
+) -> Iterator[tuple[Report, DataFrame]]:
+    """Every report in order, with default parameters. Frames are lazy; the caller acts on them.
+
+    Pass saved `rollups` to spare a scan of the trips per report that can be finished from them.
+    """
     for report in REPORTS.values():
-        yield report, report.over(trips, zones)
+        yield report, report.over(trips, zones, rollups)

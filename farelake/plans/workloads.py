@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -29,14 +29,31 @@ def filter_long_trips_avg_fare(trips: DataFrame, skip_nan: bool = False) -> Data
     return long_trips.agg(mean(F.col("fare_amount"), skip_nan).alias("avg_fare"))
 
 
+def _hourly_from_time(parts: DataFrame) -> DataFrame:
+    per_hour = parts.groupBy(F.col("hour_of_day").alias("hour")).agg(F.sum("trips").alias("n"))
+    return per_hour.orderBy(F.asc_nulls_last("hour"))
+
+
+def _top10_from_place(parts: DataFrame) -> DataFrame:
+    per_id = parts.groupBy("PULocationID").agg(F.sum("trips").alias("n"))
+    return top_by_count(per_id, "n", ["PULocationID"], 10)
+
+
 @dataclass(frozen=True)
 class Workload:
-    """A timing workload and the trip columns it reads."""
+    """A timing workload, the trip columns it reads, and the rollup it can be finished from."""
 
     name: str
     description: str
     build: Callable[[DataFrame], DataFrame]
     reads: tuple[str, ...]
+    rollup: str | None = None
+    finish: Callable[[DataFrame], DataFrame] | None = None
+
+    def over(self, trips: DataFrame, rollups: Mapping[str, DataFrame] | None = None) -> DataFrame:
+        if rollups and self.rollup in rollups:
+            return self.finish(rollups[self.rollup])
+        return self.build(trips)
 
 
 # Workload names and output columns are the interface users call.
@@ -48,12 +65,16 @@ WORKLOADS: dict[str, Workload] = {
             "Trips per hour of day",
             hourly_trip_count,
             ("tpep_pickup_datetime",),
+            rollup="time",
+            finish=_hourly_from_time,
         ),
         Workload(
             "top10_pickup_zones",
             "Ten busiest pickup ids",
             top10_pickup_zones,
             ("PULocationID",),
+            rollup="place",
+            finish=_top10_from_place,
         ),
         Workload(
             "filter_long_trips_avg_fare",

@@ -8,7 +8,7 @@ import pytest
 
 from checks.oracles import PAYMENTS, REPORT_NAMES
 from checks.oracles import REPORTS as SQL
-from farelake.plans.reports import REPORTS, run_all, top_routes, top_zones
+from farelake.plans.reports import REPORTS, ROLLUPS, run_all, top_routes, top_zones
 from farelake.plans.workloads import (
     WORKLOADS,
     filter_long_trips_avg_fare,
@@ -16,6 +16,7 @@ from farelake.plans.workloads import (
     top10_pickup_zones,
 )
 from farelake.sources.dimensions import read_zones
+from farelake.sources.tables import load, save
 from helpers import NOON, same, sql_rows, trip, write_trips
 
 ORDER = {
@@ -102,6 +103,25 @@ def test_zone_names_merge_but_ids_do_not(data):
     assert [tuple(r) for r in top10_pickup_zones(trips).collect()] == [(57, 2), (56, 1)]
 
 
+@pytest.mark.parametrize("rows", [EDGE, []], ids=["edge", "empty"])
+def test_rollups_give_the_same_results(data, spark, tmp_path, rows):
+    trips, zones, _ = data(rows)
+    rollups = {}
+    for name, build in ROLLUPS.items():
+        save(build(trips), f"{tmp_path}/{name}")
+        rollups[name] = load(spark, f"{tmp_path}/{name}")
+    shared = 0
+    for report in REPORTS.values():
+        direct, finished = report.over(trips, zones), report.over(trips, zones, rollups)
+        assert finished.schema.simpleString() == direct.schema.simpleString()
+        assert same(finished.collect(), direct.collect())
+        shared += report.rollup in rollups
+    for workload in WORKLOADS.values():
+        assert same(workload.over(trips, rollups).collect(), workload.build(trips).collect())
+        shared += workload.rollup in rollups
+    assert shared == 8
+
+
 def test_limits(data):
     trips, zones, _ = data([trip(PULocationID=i, DOLocationID=i) for i in (1, 1, 2, 56, 264)])
     assert [r.trip_count for r in top_zones(trips, zones, limit=2).collect()] == [2, 1]
