@@ -29,19 +29,19 @@ def exact_quantiles(
         counts.groupBy(F.expr(f"v div {width}").alias("bucket"))
         .agg(F.sum("n").alias("inside"), F.expr(f"sum(v / {unit}D * n)").alias("in_amount"))
         .selectExpr(
-            "bucket",
+            "bucket AS wanted_bucket",
             "inside",
             "sum(inside) OVER (ORDER BY bucket) - inside AS before",
             "sum(inside) OVER () AS rows",
             "sum(in_amount) OVER () AS amount",
         )
     )
-    # Zero-based position of each quantile, and the two ranks around it.
-    positions = {name: f"((rows - 1) * {p}D)" for name, p in quantiles.items()}
-    ranks = ", ".join(f"floor({at}), ceil({at})" for at in positions.values())
-    wanted = running.where(
-        f"exists(array({ranks}), r -> r >= before AND r < before + inside)"
-    ).selectExpr("bucket AS wanted_bucket", "before", "rows", "amount")
+    # Zero-based position of each quantile among the rows, and the ranks below and above it.
+    places = ", ".join(f"(rows - 1) * {p}D" for p in quantiles.values())
+    ranks = f"flatten(transform(array({places}), p -> array(floor(p), ceil(p))))"
+    wanted = running.withColumn("ranks", F.expr(ranks)).where(
+        "exists(ranks, r -> r >= before AND r < before + inside)"
+    )
 
     # At most two buckets per quantile are left, so this side is broadcast whatever the data size.
     ranked = counts.join(F.broadcast(wanted), F.expr(f"v div {width} = wanted_bucket")).selectExpr(
@@ -49,28 +49,34 @@ def exact_quantiles(
         "n",
         "rows",
         "amount",
+        "ranks",
         "before + sum(n) OVER (PARTITION BY wanted_bucket ORDER BY v) - n AS start",
     )
     # One value per rank is left: at most two per quantile.
     row = (
-        ranked.where(f"exists(array({ranks}), r -> r >= start AND r < start + n)")
-        .selectExpr("rows", "amount", f"struct(start, n, v / {unit}D AS v) AS pick")
+        ranked.where("exists(ranks, r -> r >= start AND r < start + n)")
+        .selectExpr("rows", "amount", "ranks", f"struct(start, n, v / {unit}D AS v) AS pick")
         .agg(
             F.max("rows").alias("rows"),
             F.max("amount").alias("amount"),
+            F.max("ranks").alias("ranks"),
             F.collect_list("pick").alias("picks"),
         )
+        .withColumn(
+            "at",
+            F.expr(
+                "transform(ranks, r -> "
+                "get(filter(picks, x -> r >= x.start AND r < x.start + x.n), 0).v)"
+            ),
+        )
     )
 
-    def at_rank(rank: str) -> str:
-        return f"get(filter(picks, x -> {rank} >= x.start AND {rank} < x.start + x.n), 0).v"
-
-    def interpolated(at: str) -> str:
-        lo, hi, share = at_rank(f"floor({at})"), at_rank(f"ceil({at})"), f"({at} - floor({at}))"
+    def interpolated(i: int, p: float) -> str:
+        lo, hi, share = f"at[{2 * i}]", f"at[{2 * i + 1}]", f"((rows - 1) * {p}D - ranks[{2 * i}])"
         return f"if({lo} = {hi}, {lo}, {lo} * (1 - {share}) + {hi} * {share})"
 
     return row.selectExpr(
-        *[f"{interpolated(at)} AS {name}" for name, at in positions.items()],
+        *[f"{interpolated(i, p)} AS {name}" for i, (name, p) in enumerate(quantiles.items())],
         "amount / rows AS mean",
         "coalesce(rows, 0L) AS rows",
     )
