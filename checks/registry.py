@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks.oracles import ORACLES
 from farelake import bindings
 from farelake.functions import (
+    day_of_week,
     month_start,
     round_half_away,
     seconds_between,
@@ -180,8 +181,6 @@ def event_seconds(spark: SparkSession, folder: str) -> DataFrame:
 
 def weekday_numbers(spark: SparkSession, folder: str) -> DataFrame:
     """Events per day number (Sunday = 0) and calendar date."""
-    from farelake.functions import day_of_week
-
     events = bindings.table(spark, folder, "events")
     return events.groupBy(
         F.to_date("ts").alias("day"), day_of_week(F.col("ts")).cast("int").alias("dow")
@@ -226,19 +225,23 @@ def _order_months(spark: SparkSession, folder: str) -> DataFrame:
     return month_spine(bounds, F.col("lo"), F.col("hi"))
 
 
-def _month_text(column: str) -> F.Column:
+def _month_text(column: str) -> Column:
     return F.date_format(F.to_date(column), "yyyy-MM")
 
 
 def months_with_orders(spark: SparkSession, folder: str) -> DataFrame:
-    """Every month of the order range, with the urgent orders above 400,000 in it, if any."""
+    """Every month of the order range with its orders, and the dear and urgent ones among them."""
     orders = bindings.table(spark, folder, "orders")
-    rare = (F.col("o_totalprice") > 400000) & (F.col("o_orderpriority") == "1-URGENT")
-    counted = group_count(
-        orders.where(rare), F.trunc(F.to_date("o_orderdate"), "MM"), "month_start"
-    )
-    return _order_months(spark, folder).join(counted, "month_start", "left").select(
-        "month_start", F.coalesce("n", F.lit(0)).alias("n")
+    dear = (F.col("o_totalprice") > 400000) & (F.col("o_orderpriority") == "1-URGENT")
+    month = F.trunc(F.to_date("o_orderdate"), "MM")
+    # A month without a dear order has no row on the right, as a month without any trip would.
+    counted = group_count(orders, month, "month_start").withColumnRenamed("n", "n_orders")
+    rare = group_count(orders.where(dear), month, "month_start").withColumnRenamed("n", "n_dear")
+    return (
+        _order_months(spark, folder)
+        .join(counted, "month_start", "left")
+        .join(rare, "month_start", "left")
+        .fillna(0, ["n_orders", "n_dear"])
     )
 
 
@@ -269,8 +272,8 @@ def _listing(orders: DataFrame, size: str) -> DataFrame:
 def plan_of_orders(spark: SparkSession, folder: str) -> DataFrame:
     """A load plan over listings that the orders imply.
 
-    The source lacks the months without open orders; sizes that are multiples of 640 are unknown.
-    The landed side counts finished orders twice, and lacks every sixth month.
+    The source lacks May of odd years, and sizes that are multiples of 640 are unknown. The landed
+    side lacks every sixth month and the cheapest orders.
     """
     orders = bindings.table(spark, folder, "orders")
     source = _listing(orders, "source_bytes").withColumn(

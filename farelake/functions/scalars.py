@@ -6,6 +6,21 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def _second_of_epoch(ts: Column) -> Column:
+    """Whole seconds on the wall clock; a zoned time is first read in the session zone."""
+    return F.unix_timestamp(ts.cast("timestamp_ntz"))
+
+
+def hour_of_day(ts: Column) -> Column:
+    """Hour 0..23, as `F.hour`, which builds a calendar object per row and takes far longer."""
+    return F.floor(F.pmod(_second_of_epoch(ts), F.lit(86400)) / 3600).cast("int")
+
+
+def date_of(ts: Column) -> Column:
+    """Calendar date, as `F.to_date`, but by plain division."""
+    return F.date_from_unix_date(F.floor(_second_of_epoch(ts) / 86400).cast("int"))
+
+
 def day_of_week(ts: Column) -> Column:
     """Day number with Sunday = 0. Spark's own `dayofweek` starts at 1."""
     return F.dayofweek(ts) - 1
@@ -29,6 +44,17 @@ def seconds_between(start: Column, end: Column) -> Column:
     return _elapsed(end - start).cast("double")
 
 
+def longer_than(start: Column, end: Column, seconds: int) -> Column:
+    """Whether `end` is more than `seconds` after `start`, to the microsecond.
+
+    Whole seconds are a plain division of the stored value, and settle all but the trips within a
+    second of the limit; only those pay for a calendar subtraction.
+    """
+    whole = _second_of_epoch(end) - _second_of_epoch(start)
+    limit = F.expr(f"INTERVAL {seconds} SECONDS")
+    return (whole > seconds) | ((whole == seconds) & (end - start > limit))
+
+
 def round_half_away(value: Column, digits: int = 0) -> Column:
     """Round the scaled double half away from zero: 2.675 -> 2.68, but 1.005 -> 1.0.
 

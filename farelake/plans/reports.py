@@ -21,8 +21,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from farelake.functions import (
+    date_of,
     day_of_week,
+    hour_of_day,
     interval_micros,
+    longer_than,
     mean_from,
     round_half_away,
     to_int_half_even,
@@ -71,13 +74,11 @@ def _paid_parts(trips: DataFrame, key: Column, *measures: str) -> DataFrame:
 
 
 def _hour() -> Column:
-    return F.hour(PICKUP).alias("hour_of_day")
+    return hour_of_day(F.col(PICKUP)).alias("hour_of_day")
 
 
-def _day_type(moment: str) -> Column:
-    """Sunday and Saturday are weekend; a missing day counts as weekday."""
-    weekend = day_of_week(F.col(moment)).isin(0, 6)
-    return F.when(weekend, "weekend").otherwise("weekday").alias("day_type")
+def _date() -> Column:
+    return date_of(F.col(PICKUP)).alias("pickup_date")
 
 
 def top_zones(trips: DataFrame, zones: DataFrame, limit: int = 10) -> DataFrame:
@@ -144,7 +145,8 @@ def duration_percentiles(trips: DataFrame) -> DataFrame:
     Six hours hold 21,600 one-second buckets, each of a million microseconds at most.
     """
     length = F.col(DROPOFF) - F.col(PICKUP)
-    plausible = (F.col(DROPOFF) > F.col(PICKUP)) & (length <= F.expr("INTERVAL 360 MINUTES"))
+    too_long = longer_than(F.col(PICKUP), F.col(DROPOFF), 360 * 60)
+    plausible = (F.col(DROPOFF) > F.col(PICKUP)) & ~too_long
     counts = (
         trips.where(plausible)
         .groupBy(length.alias("length"))
@@ -180,15 +182,16 @@ def _fare_per_mile(parts: DataFrame) -> DataFrame:
 
 
 def weekend_vs_weekday(trips: DataFrame) -> DataFrame:
-    """Weekday against weekend."""
+    """Weekday against weekend (Saturday and Sunday); a missing pickup counts as weekday."""
     measures = ("total_amount", "tip_amount", "trip_distance")
-    return _weekend_vs_weekday(_paid_parts(trips, _day_type(PICKUP), *measures))
+    return _weekend_vs_weekday(_paid_parts(trips, _date(), *measures))
 
 
 def _weekend_vs_weekday(parts: DataFrame) -> DataFrame:
+    weekend = day_of_week(F.col("pickup_date")).isin(0, 6)
     return (
         parts.where("paid_trips > 0")
-        .groupBy("day_type")
+        .groupBy(F.when(weekend, "weekend").otherwise("weekday").alias("day_type"))
         .agg(
             F.sum("paid_trips").alias("trips"),
             _mean("paid_total_amount").alias("avg_fare_usd"),
@@ -202,11 +205,10 @@ def _weekend_vs_weekday(parts: DataFrame) -> DataFrame:
 def fraud_heuristics(trips: DataFrame) -> DataFrame:
     """Hits of six overlapping flags, counted in one scan; always six rows."""
     fare, distance, tip = F.col("fare_amount"), F.col("trip_distance"), F.col("tip_amount")
-    length = F.col(DROPOFF) - F.col(PICKUP)
     flags = {
         "negative_fare": fare < 0,
         "distance_over_100mi": distance > 100,
-        "duration_over_6h": length > F.expr("INTERVAL 6 HOURS"),
+        "duration_over_6h": longer_than(F.col(PICKUP), F.col(DROPOFF), 6 * 3600),
         "pickup_after_dropoff": F.col(DROPOFF) < F.col(PICKUP),
         "zero_distance_with_fare": (distance == 0) & (fare > 5),
         "tip_over_50pct": (fare > 0) & (F.try_divide(tip, fare) > 0.5),
@@ -240,7 +242,7 @@ def _top_routes(parts: DataFrame, zones: DataFrame, limit: int = 10) -> DataFram
 
 def daily_trend(trips: DataFrame) -> DataFrame:
     """Trips and revenue by calendar date of pickup; dates without trips are left out."""
-    return _daily_trend(_paid_parts(trips, F.to_date(PICKUP).alias("pickup_date"), "total_amount"))
+    return _daily_trend(_paid_parts(trips, _date(), "total_amount"))
 
 
 def _daily_trend(parts: DataFrame) -> DataFrame:
@@ -257,9 +259,11 @@ def _daily_trend(parts: DataFrame) -> DataFrame:
 
 def passenger_distribution(trips: DataFrame) -> DataFrame:
     """Trips by passenger count with their share; missing counts are pooled with zero."""
+    # Grouped as stored first: the checked cast is dear, and then runs per value, not per trip.
+    parts = trips.groupBy("passenger_count").agg(*_sums(_same("total_amount")))
     passengers = F.coalesce(to_int_half_even(F.col("passenger_count")), F.lit(0))
-    counted = trips.groupBy(passengers.alias("passengers")).agg(
-        _rows().alias("trips"), round_half_away(F.avg("total_amount"), 2).alias("avg_fare_usd")
+    counted = parts.groupBy(passengers.alias("passengers")).agg(
+        F.sum("trips").alias("trips"), _mean("total_amount").alias("avg_fare_usd")
     )
     # The total is a scalar subquery over a scan without columns, not a window in one task.
     total = trips.agg(_rows()).scalar()
@@ -274,10 +278,9 @@ def passenger_distribution(trips: DataFrame) -> DataFrame:
 def time_rollup(trips: DataFrame) -> DataFrame:
     """Parts per calendar date and hour of pickup, for every report keyed by time."""
     measures = _same("total_amount", "tip_amount", "trip_distance")
-    parts = trips.groupBy(F.to_date(PICKUP).alias("pickup_date"), _hour()).agg(
+    return trips.groupBy(_date(), _hour()).agg(
         _rows().alias("trips"), *_sums(measures, "paid_", PAID), *_sums(RATES, "rated_", RATED)
     )
-    return parts.withColumn("day_type", _day_type("pickup_date"))
 
 
 def place_rollup(trips: DataFrame) -> DataFrame:

@@ -8,12 +8,13 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from farelake.functions import hour_of_day
 from farelake.operators.aggregates import group_count, mean, top_by_count
 
 
 def hourly_trip_count(trips: DataFrame, keep_missing: bool = True) -> DataFrame:
     """Trips by hour of pickup."""
-    hour = F.hour("tpep_pickup_datetime")
+    hour = hour_of_day(F.col("tpep_pickup_datetime"))
     return group_count(trips, hour, "hour", keep_missing).orderBy(F.asc_nulls_last("hour"))
 
 

@@ -6,9 +6,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from farelake.functions import (
+    date_of,
     day_of_week,
     file_name,
+    hour_of_day,
     interval_micros,
+    longer_than,
     mean_from,
     month_start,
     round_half_away,
@@ -44,11 +47,33 @@ def test_day_of_week_starts_on_sunday(spark):
     assert values(spark, days, "t timestamp_ntz", day_of_week(F.col("t"))) == list(range(7))
 
 
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+@pytest.mark.parametrize("kind", ["timestamp_ntz", "timestamp"])
+def test_hour_and_date_match_the_calendar(spark, zone, kind):
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        frame = spark.sql(
+            "SELECT explode(sequence(timestamp_ntz'1969-12-25', timestamp_ntz'1970-01-05', "
+            "INTERVAL 1777.000001 SECONDS)) AS t UNION ALL "
+            "SELECT explode(sequence(timestamp_ntz'2024-03-09', timestamp_ntz'2024-03-12', "
+            "INTERVAL 1777.999999 SECONDS)) UNION ALL SELECT NULL"
+        ).select(F.col("t").cast(kind).alias("t"))
+        plain = frame.select(
+            F.hour("t").eqNullSafe(hour_of_day(F.col("t"))).alias("h"),
+            F.to_date("t").eqNullSafe(date_of(F.col("t"))).alias("d"),
+        )
+        assert plain.where("NOT (h AND d)").count() == 0 and plain.count() > 500
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 SPANS = [
     (dt.timedelta(0), 0.0),
     (dt.timedelta(minutes=-5), -300.0),
     (dt.timedelta(microseconds=1), 1e-06),
     (dt.timedelta(hours=8, microseconds=500000), 28800.5),
+    (dt.timedelta(hours=8), 28800.0),
+    (dt.timedelta(hours=8, microseconds=-1), 28799.999999),
     (dt.timedelta(days=-2, microseconds=1), -172799.999999),
     (dt.timedelta(days=40000), 3456000000.0),
 ]
@@ -57,7 +82,7 @@ SPANS = [
 @pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
 def test_seconds_ignore_session_zone(spark, zone):
     # 02:30 on this night does not exist in New York.
-    start = dt.datetime(2024, 3, 10, 1, 30)
+    start = dt.datetime(2024, 3, 10, 1, 30, 0, 750000)
     spark.conf.set("spark.sql.session.timeZone", zone)
     try:
         rows = [(start, start + span) for span, _ in SPANS]
@@ -65,10 +90,21 @@ def test_seconds_ignore_session_zone(spark, zone):
         got = values(spark, rows, "a timestamp_ntz, b timestamp_ntz", seconds)
         micros = interval_micros(F.col("b") - F.col("a"))
         exact = values(spark, rows, "a timestamp_ntz, b timestamp_ntz", micros)
+        longer = {
+            limit: values(
+                spark,
+                rows,
+                "a timestamp_ntz, b timestamp_ntz",
+                longer_than(F.col("a"), F.col("b"), limit),
+            )
+            for limit in (-300, 0, 28800, 28801)
+        }
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert got == [s for _, s in SPANS]
     assert exact == [span // dt.timedelta(microseconds=1) for span, _ in SPANS]
+    for limit, found in longer.items():
+        assert found == [s > limit for _, s in SPANS]
 
 
 def test_month_start(spark):
