@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
+from itertools import chain
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
@@ -12,12 +15,14 @@ from pyspark.sql import types as T
 from farelake import schemas
 from farelake.operators.union import conform, union_by_name, widen
 
+# Footer probes are small jobs; a few at a time keep the cluster from idling between them.
+PROBES_AT_ONCE = 16
+
 
 def _runs(spark: SparkSession, paths: list[str]) -> list[tuple[list[str], T.StructType]]:
-    """Cut the sorted file list into runs whose footers Spark can merge.
+    """Files with their merged schema; cut in halves where Spark cannot merge the footers.
 
-    Each try reads the footers in one distributed job. Types change rarely, so halving on conflict
-    needs about (changes x log2(files)) jobs, not one per file.
+    The files of one month come from one writer, so a single distributed job is the rule.
     """
     try:
         return [(paths, spark.read.option("mergeSchema", True).parquet(*paths).schema)]
@@ -28,6 +33,17 @@ def _runs(spark: SparkSession, paths: list[str]) -> list[tuple[list[str], T.Stru
     return _runs(spark, paths[:middle]) + _runs(spark, paths[middle:])
 
 
+def _layouts(spark: SparkSession, paths: Sequence[str]) -> list[tuple[list[str], T.StructType]]:
+    """Schema per month, probed side by side: as many jobs as months, however many the files."""
+    months: dict[str, list[str]] = {}
+    for path in sorted(paths):
+        month = re.match(r".*_tripdata_\d{4}-\d{2}", path)
+        months.setdefault(month[0] if month else path, []).append(path)
+    with ThreadPoolExecutor(PROBES_AT_ONCE) as pool:
+        probed = pool.map(lambda files: _runs(spark, files), months.values())
+        return list(chain.from_iterable(probed))
+
+
 def _agree(left: T.StructType, right: T.StructType) -> bool:
     types = {field.name.lower(): field.dataType for field in left}
     return all(types.get(f.name.lower(), f.dataType) == f.dataType for f in right)
@@ -41,7 +57,7 @@ def read_union_by_name(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     only the handful of scans is unioned.
     """
     groups: list[tuple[list[str], T.StructType]] = []
-    for run, schema in _runs(spark, sorted(paths)):
+    for run, schema in _layouts(spark, paths):
         for i, (members, common) in enumerate(groups):
             if _agree(common, schema):
                 groups[i] = (members + run, widen([common, schema]))

@@ -96,6 +96,20 @@ def test_files_that_agree_share_one_scan(spark, tmp_path):
     assert frame.count() == 8
 
 
+def test_drift_inside_a_month(spark, tmp_path):
+    """Part files of one month that cannot be merged are told apart, and the rest still share."""
+    month = tmp_path / "yellow_tripdata_2024-01.parquet"
+    month.mkdir()
+    for i in range(6):
+        types = {**COLUMNS, "VendorID": pa.int32()} if i == 4 else COLUMNS
+        write_trips([trip(VendorID=i)], month / f"part-{i}.parquet", types)
+    frame = read_union_by_name(spark, find_trip_files(spark, str(tmp_path), str(tmp_path)))
+    assert dict(frame.dtypes)["VendorID"] == "bigint"
+    assert sorted(r.VendorID for r in frame.collect()) == list(range(6))
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 2
+
+
 def test_filters_reach_every_scan_of_the_union(spark, tmp_path):
     frame = read_union_by_name(spark, drifted(tmp_path)).where("total_amount > 0").select("VendorID")
     plan = frame._jdf.queryExecution().executedPlan().toString()
