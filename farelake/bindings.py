@@ -39,19 +39,17 @@ _TIP = (
     f"CASE WHEN l_orderkey % 1000 = 5 THEN 0.75D * {_BASE_FARE} "
     f"WHEN l_orderkey % 7 = 2 THEN 0D ELSE {_BASE_FARE} * l_discount * 3 END"
 )
-_PICKUP = (
-    "timestampadd(SECOND, "
-    "int((l_orderkey * 7919 + l_partkey * 37 + l_linenumber * 1009) % 86400), o_orderdate)"
-)
+_SECOND_OF_DAY = "int((l_orderkey * 7919 + l_partkey * 37 + l_linenumber * 1009) % 86400)"
 _LENGTH = (
-    "CASE l_orderkey % 1000 WHEN 2 THEN 28800 WHEN 3 THEN -300 "
-    "ELSE 30 + (l_partkey * 131 + l_suppkey * 17 + l_linenumber * 7) % 5370 END"
+    "int(CASE l_orderkey % 1000 WHEN 2 THEN 28800 WHEN 3 THEN -300 "
+    "ELSE 30 + (l_partkey * 131 + l_suppkey * 17 + l_linenumber * 7) % 5370 END)"
 )
 
+# Seconds after the midnight of the order date; the date itself needs the join.
+SECONDS = {PICKUP: _SECOND_OF_DAY, DROPOFF: f"{_SECOND_OF_DAY} + {_LENGTH}"}
+
 RULES = {
     "VendorID": "bigint(1 + l_linenumber % 2)",
-    PICKUP: _PICKUP,
-    DROPOFF: f"timestampadd(SECOND, int({_LENGTH}), {_PICKUP})",
     "passenger_count": (
         "CASE l_orderkey % 20 WHEN 0 THEN double('NaN') WHEN 1 THEN NULL "
         "ELSE double(l_linenumber) END"
@@ -76,14 +74,19 @@ def trips(spark: SparkSession, folder: str, columns: Sequence[str] | None = None
     """Trip rows, one per lineitem, with the given columns (all by default).
 
     The order date comes from a left join on the order key, which is unique. So the join neither
-    adds nor drops trips, and it is planned only when a timestamp is asked for.
+    adds nor drops trips, and it is planned only when a timestamp is asked for. All else is computed
+    below the join, so that the wanted columns are shuffled and not what they are made of.
     """
-    wanted = list(columns or RULES)
+    wanted = list(columns or [*SECONDS, *RULES])
     facts = table(spark, folder, "lineitem")
-    if PICKUP in wanted or DROPOFF in wanted:
+    times = [name for name in wanted if name in SECONDS]
+    rules = {**RULES, **SECONDS} if times else RULES
+    facts = facts.selectExpr("l_orderkey", *[f"{rules[name]} AS {name}" for name in wanted])
+    if times:
         dates = table(spark, folder, "orders").select("o_orderkey", "o_orderdate")
         facts = facts.join(dates, facts.l_orderkey == dates.o_orderkey, "left")
-    return facts.selectExpr(*[f"{RULES[name]} AS {name}" for name in wanted])
+    moments = {name: f"timestampadd(SECOND, {name}, o_orderdate) AS {name}" for name in times}
+    return facts.selectExpr(*[moments.get(name, name) for name in wanted])
 
 
 def zones(spark: SparkSession, folder: str) -> DataFrame:
