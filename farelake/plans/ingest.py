@@ -41,7 +41,7 @@ def parse_month(text: str) -> date:
     try:
         return date(int(match[1]), int(match[2]), 1)
     except (TypeError, ValueError):
-        raise ValueError(f"month must be YYYY-MM, got {text!r}") from None
+        raise ValueError(f"not a YYYY-MM month: {text!r}") from None
 
 
 def check_types(taxi_types: Iterable[str]) -> list[str]:
@@ -50,7 +50,7 @@ def check_types(taxi_types: Iterable[str]) -> list[str]:
     for taxi_type in given:
         if taxi_type not in schemas.TAXI_TYPES:
             raise ValueError(
-                f"taxi_type must be one of {sorted(schemas.TAXI_TYPES)}, got {taxi_type!r}"
+                f"unknown taxi_type {taxi_type!r}; known are {', '.join(schemas.TAXI_TYPES)}"
             )
     return given
 
@@ -65,7 +65,7 @@ def month_spine(bounds: DataFrame, first: Column, last: Column) -> DataFrame:
 def months_between(spark: SparkSession, start: str, end: str) -> DataFrame:
     """Months of an inclusive `YYYY-MM` range; ValueError when it is inverted or malformed."""
     if parse_month(start) > parse_month(end):
-        raise ValueError(f"start {start!r} is after end {end!r}")
+        raise ValueError(f"the first month, {start!r}, comes after end month {end!r}")
     return month_spine(spark.range(1), month_start(F.lit(start)), month_start(F.lit(end)))
 
 

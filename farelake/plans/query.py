@@ -23,7 +23,7 @@ def results(
 ) -> list[tuple[str, DataFrame]]:
     """(title, lazy result) of the named report or of all ten, over the registered views."""
     if name != "all" and name not in REPORTS:
-        raise ValueError(f"Unknown query: {name}. Available: {', '.join(REPORTS)}, or 'all'")
+        raise ValueError(f"no report is named {name!r}; choose 'all' or one of {', '.join(REPORTS)}")
     register_views(spark, data_dir, sample_dir, taxi_type)
     trips = conform_trips(spark.table("trips"))
     found = []

@@ -25,4 +25,4 @@ def read_zones(spark: SparkSession, path: str) -> DataFrame:
 def payment_types(spark: SparkSession) -> DataFrame:
     """Payment codes and labels, inline in the plan."""
     rows = ", ".join(f"({code}, '{label}')" for code, label in schemas.PAYMENT_LABELS)
-    return spark.sql(f"SELECT * FROM VALUES {rows} AS t(payment_type, payment_label)")
+    return spark.sql(f"VALUES {rows} AS codes(payment_type, payment_label)")

@@ -32,14 +32,14 @@ def register_views(
     files = find_trip_files(spark, data_dir, sample_dir, taxi_type)
     if not files:
         raise FileNotFoundError(
-            f"No parquet files found in {data_dir} or {sample_dir} for {taxi_type!r}"
+            f"No parquet files of type {taxi_type!r}: looked in {data_dir}, then in {sample_dir}"
         )
     try:
         zones = read_zones(spark, f"{sample_dir}/taxi_zones.csv")
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        log.warning("No taxi_zones.csv in %s; reports that join zones will fail", sample_dir)
+        log.warning("%s holds no taxi_zones.csv, which the zone and route reports need", sample_dir)
         zones = None
     create_views(read_union_by_name(spark, files), zones)
     return len(files)

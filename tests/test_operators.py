@@ -80,9 +80,9 @@ def test_compare_engines(spark):
     nan = float("nan")
     rows = [
         ("w1", "a", 9.0, 0),
-        ("w1", "a", 0.001, 1),  # the later result wins
-        ("w1", "b", 0.002, 2),
-        ("w1", "c", 0.005, 3),
+        ("w1", "a", 0.25, 1),  # the later result wins
+        ("w1", "b", 0.5, 2),
+        ("w1", "c", 0.75, 3),
         ("w2", "c", 1.0, 4),  # fast engine missing
         ("w3", "a", 0.0, 5),
         ("w3", "c", 1.0, 6),  # nothing to divide by
@@ -90,7 +90,7 @@ def test_compare_engines(spark):
     wide = compare_engines(spark.createDataFrame(rows, RUNS), ["a", "b", "c"], slow="c", fast="a")
     got = [["NaN" if v != v else v for v in r] for r in wide.collect()]
     assert wide.columns == ["workload", "a", "b", "c", "speedup"]
-    assert got[0] == ["w1", 0.001, 0.002, 0.005, pytest.approx(5.0)]
+    assert got[0] == ["w1", 0.25, 0.5, 0.75, 3.0]
     assert got[1] == ["w2", "NaN", "NaN", 1.0, 0.0]
     assert got[2] == ["w3", 0.0, "NaN", 1.0, 0.0]
     assert nan != nan

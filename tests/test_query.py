@@ -27,7 +27,7 @@ def test_all_reports(spark, months, zones_dir):
 
 
 def test_unknown_name(spark, months, zones_dir):
-    with pytest.raises(ValueError, match="Unknown query"):
+    with pytest.raises(ValueError, match="no report"):
         query.results(spark, months, str(zones_dir), "nope")
 
 

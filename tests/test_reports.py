@@ -6,7 +6,7 @@ import datetime as dt
 
 import pytest
 
-from checks.oracles import PAYMENTS, REPORT_NAMES
+from checks.oracles import PAYMENTS, REPORT_NAMES, RIDES
 from checks.oracles import REPORTS as SQL
 from farelake.plans.reports import REPORTS, ROLLUPS, run_all, top_routes, top_zones
 from farelake.plans.workloads import (
@@ -91,7 +91,7 @@ def test_report_matches_sql(data, key, rows):
     trips, zones, tables = data(rows)
     report = REPORTS[REPORT_NAMES[key]]
     got = [tuple(r) for r in report.over(trips, zones).collect()]
-    sql = f"WITH {ZONES}, {PAYMENTS} SELECT * FROM ({SQL[key]})"
+    sql = f"WITH {ZONES}, {PAYMENTS}, {RIDES} SELECT * FROM ({SQL[key]})"
     if key in ORDER:
         sql += f" ORDER BY {ORDER[key]}"
     assert same(got, sql_rows(sql, **tables))
