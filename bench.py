@@ -2,8 +2,8 @@
 
 The published baseline was taken over Parquet files of trips, as the fastest of three runs in one
 warm process. `queries` is measured the same way: the trips and zones that the tables in
-`$BENCH_SF_DIR` imply are written as Parquet first (`prepare_s`), then each query runs once unmeasured and
-`BENCH_REPEATS` times (3 by default). A run ends when all result rows have reached the driver.
+`$BENCH_SF_DIR` imply are written as Parquet first (`prepare_s`), then each query runs once
+unmeasured and `BENCH_REPEATS` times (3 by default). A run ends when all its rows are at the driver.
 
 `from_tables` times the registered queries as they stand: reading the tables, joining the order
 dates and deriving the trips included.
