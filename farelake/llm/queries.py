@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from farelake.llm import pii, quality_rules
+from farelake.llm import language_id, minhash, packing, pii, quality_rules
 from farelake.llm.common import table
 from farelake.llm.oracles import ORACLES
 
@@ -15,6 +17,15 @@ Query = Callable[[SparkSession, str], DataFrame]
 __all__ = ["ORACLES", "QUERIES"]
 
 
+def held_out() -> Column:
+    """A fourth of the documents, from which nothing is learned."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+
+
+def op3_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, folder, "documents"), words=3, part=85, whole=100)
+
+
 def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     judged = quality_rules.quality_rules(table(spark, folder, "documents"))
     return judged.select(
@@ -29,11 +40,29 @@ def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack_documents(
+        table(spark, folder, "documents"),
+        str(public_tokenizers.path("byte_bpe_50k.json")),
+        limit=2048,
+        keep_ids=False,
+    )
+
+
+def op9_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    profiles = language_id.learn(docs.where(~held_out()))
+    return language_id.identify(docs, profiles).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
 def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
     return pii.digest(pii.find_pii(table(spark, folder, "documents")))
 
 
 QUERIES: dict[str, Query] = {
+    "op3_minhash": op3_minhash,
     "op5_quality_rules": op5_quality_rules,
+    "op6_packing": op6_packing,
+    "op9_language_id": op9_language_id,
     "op10_pii": op10_pii,
 }
