@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farelake.llm import language_id, minhash, packing, pii, quality_rules
+from farelake.llm import language_id, minhash, packing, pii, quality_rules, substrings, vectors
 from farelake.llm.common import table
 from farelake.llm.oracles import ORACLES
 
@@ -26,6 +26,10 @@ def op3_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, folder, "documents"), words=3, part=85, whole=100)
 
 
+def op4_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    return vectors.near_vectors(table(spark, folder, "embeddings"), threshold=0.95)
+
+
 def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     judged = quality_rules.quality_rules(table(spark, folder, "documents"))
     return judged.select(
@@ -49,6 +53,10 @@ def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_substrings(spark: SparkSession, folder: str) -> DataFrame:
+    return substrings.digest(substrings.without_repeats(table(spark, folder, "documents"), size=20))
+
+
 def op9_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     profiles = language_id.learn(docs.where(~held_out()))
@@ -61,8 +69,10 @@ def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op3_minhash": op3_minhash,
+    "op4_vectors": op4_vectors,
     "op5_quality_rules": op5_quality_rules,
     "op6_packing": op6_packing,
+    "op8_substrings": op8_substrings,
     "op9_language_id": op9_language_id,
     "op10_pii": op10_pii,
 }
