@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farelake.llm import language_id, minhash, packing, pii, quality_rules, substrings, vectors
+from farelake.llm import (
+    compression,
+    language_id,
+    licences,
+    minhash,
+    packing,
+    piece_dropout,
+    pii,
+    quality_rules,
+    substrings,
+    vectors,
+)
 from farelake.llm.common import table
 from farelake.llm.oracles import ORACLES
 
@@ -22,6 +33,24 @@ def held_out() -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
 
 
+def op1_piece_dropout(spark: SparkSession, folder: str) -> DataFrame:
+    """Ids of every document under dropout, and whether they decode to its text."""
+    model = str(public_tokenizers.path("piece_bpe_32k.model"))
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return piece_dropout.encode(docs, model, rate=0.1, seed=1, check=True).select(
+        "doc_id", F.size("ids").cast("bigint").alias("n_ids"), "ids", "lossless"
+    )
+
+
+def op2_licences(spark: SparkSession, folder: str) -> DataFrame:
+    found = licences.scan(table(spark, folder, "documents"))
+    return found.select(
+        "doc_id",
+        F.array_join("sentences.name", ",").alias("sentences"),
+        F.array_join("licences.name", ",").alias("licences"),
+    )
+
+
 def op3_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, folder, "documents"), words=3, part=85, whole=100)
 
@@ -53,6 +82,14 @@ def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op7_compression(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    model = compression.learn(docs.where(~held_out()), labels.where(~held_out()))
+    return compression.score(docs, model).select(
+        "doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted")
+    )
+
+
 def op8_substrings(spark: SparkSession, folder: str) -> DataFrame:
     return substrings.digest(substrings.without_repeats(table(spark, folder, "documents"), size=20))
 
@@ -68,10 +105,13 @@ def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_piece_dropout": op1_piece_dropout,
+    "op2_licences": op2_licences,
     "op3_minhash": op3_minhash,
     "op4_vectors": op4_vectors,
     "op5_quality_rules": op5_quality_rules,
     "op6_packing": op6_packing,
+    "op7_compression": op7_compression,
     "op8_substrings": op8_substrings,
     "op9_language_id": op9_language_id,
     "op10_pii": op10_pii,
