@@ -7,20 +7,54 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from farelake.llm import pii
+from farelake.llm import language_id, minhash, packing, pii, substrings
 from farelake.llm.common import stored, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+#: A document whose letters have less to do with every known language than this cosine is none of them.
+LEAST_LIKENESS = 0.1
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Learn the languages of the labelled documents; keep what is written in one of them."""
+    return language_id.with_language(docs, language_id.learn(docs), LEAST_LIKENESS)
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked by shared five-word shingles (0.8 or more), the smallest doc_id stays."""
+    found = minhash.near_duplicates(docs, words=5, part=80, whole=100)
+    gone = found.where("NOT kept").select(F.col("doc_id").alias("gone_id")).distinct()
+    return docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Take out passages of 20 words and more that an earlier document, or place, has."""
+    return substrings.remove_repeats(docs, size=20)
+
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replace personal data by its kind; every document stays."""
     return pii.redact(docs)
 
 
-STAGES: list[tuple[str, Stage]] = [("personal_data", personal_data)]
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pack all documents into sequences of 2048 tokens; one row per piece."""
+    tokenizer = str(public_tokenizers.path("byte_bpe_50k.json"))
+    return packing.pack_documents(docs, tokenizer, limit=2048, keep_ids=False)
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("language", language),
+    ("near_copies", near_copies),
+    ("repeated_passages", repeated_passages),
+    ("personal_data", personal_data),
+    ("packing", packed),
+]
 
 #: Language profiles, hashing and packing have no SQL form; the stages are tested by brute force.
 ORACLE_SQL = None

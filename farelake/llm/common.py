@@ -28,6 +28,16 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), 0)
 
 
+def keyed(docs: DataFrame) -> DataFrame:
+    """doc_id as text, and text: what tasks in Python get, so that large ids beside nulls stay exact."""
+    return docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text")
+
+
+def rekeyed(frame: DataFrame, docs: DataFrame) -> DataFrame:
+    """The frame with doc_id in the type that it has in `docs`."""
+    return frame.withColumn("doc_id", F.col("doc_id").cast(docs.schema["doc_id"].dataType))
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share. A local one is made only where none is named."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()

@@ -27,6 +27,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from farelake.llm.common import keyed, rekeyed
+
 #: Labelled rows of each kind that are used at most.
 SAMPLE = 2_000
 #: Bytes of a text that go into a dictionary at most, of a dictionary, and of a block of a text.
@@ -137,5 +139,4 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             chance = 1 / (1 + np.exp(-np.clip(power, -30, 30)))
             yield pd.DataFrame({"doc_id": frame["doc_id"], "score": chance})
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInPandas(judge, f"doc_id {kind}, score double")
+    return rekeyed(keyed(docs).mapInPandas(judge, "doc_id string, score double"), docs)

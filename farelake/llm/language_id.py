@@ -16,7 +16,7 @@ columns are ignored; texts of any length are used whole.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -25,6 +25,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from farelake.llm.common import keyed, rekeyed
+
 UNKNOWN = "und"
 #: Characters handled at once in a task.
 BLOCK_CHARS = 400_000
@@ -159,28 +161,44 @@ def learn(docs: DataFrame, dim: int = 1024, order: int = 3, seed: int = 7) -> Pr
     return Profiles(langs, prototypes, order, seed)
 
 
-def identify(docs: DataFrame, profiles: Profiles) -> DataFrame:
-    """doc_id, `lang_pred` and `score`, the cosine with the best prototype (0 to 1)."""
+def predictor(profiles: Profiles) -> Callable[[list[str]], tuple[np.ndarray, np.ndarray]]:
+    """From texts to the place of the best language (past the last one for none) and its cosine."""
     lengths = np.linalg.norm(profiles.prototypes, axis=1, keepdims=True)
     unit = (profiles.prototypes / np.maximum(lengths, 1e-300)).astype(np.float32)
-    langs, order, seed = profiles.langs, profiles.order, profiles.seed
-    names = np.array([*langs, UNKNOWN], dtype=object)
+    count, order, seed = len(profiles.langs), profiles.order, profiles.seed
+
+    def predict(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        best, score = np.full(len(texts), count), np.zeros(len(texts))
+        for part in blocks(texts) if count else ():
+            bundle = bundles(texts[part], order, unit.shape[1], seed)
+            length = np.linalg.norm(bundle, axis=1)
+            cosine = (bundle @ unit.T) / np.maximum(length, 1e-30)[:, None]
+            best[part] = np.where(length > 0, cosine.argmax(axis=1), count)
+            score[part] = np.where(length > 0, np.clip(cosine.max(axis=1), 0, 1), 0)
+        return best, score
+
+    return predict
+
+
+def identify(docs: DataFrame, profiles: Profiles) -> DataFrame:
+    """doc_id, `lang_pred` and `score`, the cosine with the best prototype (0 to 1)."""
+    predict, names = predictor(profiles), np.array([*profiles.langs, UNKNOWN], dtype=object)
 
-    def predict(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            texts = frame["text"].fillna("").tolist()
-            best = np.full(len(texts), len(langs))
-            score = np.zeros(len(texts))
-            for part in blocks(texts) if langs else ():
-                bundle = bundles(texts[part], order, unit.shape[1], seed)
-                length = np.linalg.norm(bundle, axis=1)
-                cosine = (bundle @ unit.T) / np.maximum(length, 1e-30)[:, None]
-                known = length > 0
-                best[part] = np.where(known, cosine.argmax(axis=1), len(langs))
-                score[part] = np.where(known, np.clip(cosine.max(axis=1), 0, 1), 0)
+            best, score = predict(frame["text"].fillna("").tolist())
             yield pd.DataFrame({"doc_id": frame["doc_id"], "lang_pred": names[best], "score": score})
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInPandas(
-        predict, f"doc_id {kind}, lang_pred string, score double"
-    )
+    return rekeyed(keyed(docs).mapInPandas(run, "doc_id string, lang_pred string, score double"), docs)
+
+
+def with_language(docs: DataFrame, profiles: Profiles, least: float) -> DataFrame:
+    """The documents that have a learned language with at least this cosine, unchanged."""
+    predict, count = predictor(profiles), len(profiles.langs)
+
+    @F.pandas_udf("boolean")
+    def known(text: pd.Series) -> pd.Series:
+        best, score = predict(text.fillna("").tolist())
+        return pd.Series((best < count) & (score >= least))
+
+    return docs.where(known("text"))

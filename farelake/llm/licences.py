@@ -23,6 +23,8 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 
+from farelake.llm.common import keyed, rekeyed
+
 #: Known sentences, normalised. The wording of the licences and of their usual notices.
 SENTENCES = {
     "apache-notice": "licensed under the apache license version 2.0",
@@ -98,7 +100,7 @@ RULES = [
 GAP = 3
 
 CUE = re.compile(r"licen[sc]e|copyright|permission|redistribut|warrant|public domain|unencumbered|\(c\)|©|free software|subject to the terms", re.I)
-SENTENCE_END = re.compile(r"(?<=[.;:!?])\s+")
+SENTENCE_END = re.compile(r"(?<=[.;:!?])(?<!identifier:)\s+", re.I)
 LINE = re.compile(r"[^\n]+")
 PARAGRAPH = re.compile(r"[^\n]+(?:\n[^\n\S]*[^\n\s][^\n]*)*")
 COMMENT = re.compile(r"^\s*(?:/\*+|\*+/?|//+|#+|;+|--+|%+|<!--|dnl\b|rem\b)\s?", re.I | re.M)
@@ -195,9 +197,8 @@ def scan(docs: DataFrame) -> DataFrame:
                 }
             )
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInPandas(
-        run,
-        f"doc_id {kind}, sentences array<struct<start:int,end:int,name:string>>, "
-        "licences array<struct<first:int,last:int,name:string>>",
+    schema = (
+        "doc_id string, sentences array<struct<start:int,end:int,name:string>>, "
+        "licences array<struct<first:int,last:int,name:string>>"
     )
+    return rekeyed(keyed(docs).mapInPandas(run, schema), docs)

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from farelake.llm.common import stored
+from farelake.llm.common import keyed, rekeyed, stored
 from farelake.llm.components import components
 from farelake.llm.shingles import shingle_set
 
@@ -79,12 +79,10 @@ def signatures(docs: DataFrame, words: int) -> DataFrame:
                 ]
                 rows.append((doc_id, len(shingles), high, low, bands, packed(smallest)))
             out = pd.DataFrame(rows, columns=["doc_id", "n_shingles", "set_hi", "set_lo", "bands", "bits"])
-            yield out.astype({"doc_id": frame["doc_id"].dtype, "set_hi": "Int64", "set_lo": "Int64"})
+            yield out.astype({"set_hi": "Int64", "set_lo": "Int64"})
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInPandas(
-        sign, f"doc_id {kind}, n_shingles long, set_hi long, set_lo long, bands array<long>, bits array<long>"
-    )
+    schema = "doc_id string, n_shingles long, set_hi long, set_lo long, bands array<long>, bits array<long>"
+    return rekeyed(keyed(docs).mapInPandas(sign, schema), docs)
 
 
 def estimated(left: str, right: str) -> Column:

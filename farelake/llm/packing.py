@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from farelake.llm.byte_bpe import open_tokenizer
-from farelake.llm.common import stored
+from farelake.llm.common import keyed, rekeyed, stored
 
 #: Pieces of one length and salt, about; they are sorted in one task.
 GROUP = 50_000
@@ -60,9 +60,9 @@ def tokenize(docs: DataFrame, tokenizer: str, limit: int = 2048, end: int = 0, k
             out = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
             yield out.assign(ids=ids) if keep_ids else out
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, piece int, start long, length long, ids_crc32 long"
-    return docs.select("doc_id", "text").mapInPandas(encode, schema + (", ids array<int>" if keep_ids else ""))
+    schema = "doc_id string, piece int, start long, length long, ids_crc32 long"
+    pieces = keyed(docs).mapInPandas(encode, schema + (", ids array<int>" if keep_ids else ""))
+    return rekeyed(pieces, docs)
 
 
 @dataclass(frozen=True)
@@ -216,18 +216,17 @@ def pack(pieces: DataFrame, limit: int = 2048) -> DataFrame:
     histogram = np.zeros(limit + 1, dtype=np.int64)
     histogram[counted["length"].to_numpy(dtype=np.int64)] = counted["n"].to_numpy(dtype=np.int64)
     layout = pieces.sparkSession.sparkContext.broadcast(plan(histogram, limit))
-    kept = [c for c in pieces.columns]
 
-    def place(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf("sequence_id long, offset long")
+    def place(length: pd.Series, number: pd.Series) -> pd.DataFrame:
         slots = layout.value
-        for frame in frames:
-            wanted = frame["length"].to_numpy(np.int64) * SPAN + frame["number"].to_numpy(np.int64)
-            slot = np.searchsorted(slots.keys, wanted, side="right") - 1
-            sequence = slots.first_sequence[slot] + wanted - slots.keys[slot]
-            yield frame[kept].assign(sequence_id=sequence, offset=slots.offset[slot])
+        wanted = length.to_numpy(np.int64) * SPAN + number.to_numpy(np.int64)
+        slot = np.searchsorted(slots.keys, wanted, side="right") - 1
+        sequence = slots.first_sequence[slot] + wanted - slots.keys[slot]
+        return pd.DataFrame({"sequence_id": sequence, "offset": slots.offset[slot]})
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema)
-    return ranked.select(*kept, "number").mapInPandas(place, f"{fields}, sequence_id long, offset long")
+    placed = ranked.withColumn("slot", place("length", "number"))
+    return placed.select(*pieces.columns, "slot.sequence_id", "slot.offset")
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, limit: int = 2048, keep_ids: bool = True) -> DataFrame:

@@ -30,6 +30,9 @@ import pandas as pd
 import sentencepiece
 import xxhash
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from farelake.llm.common import keyed, rekeyed
 
 MARK = "▁"
 STRETCH = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
@@ -206,7 +209,7 @@ def encode(docs: DataFrame, model: str, rate: float = 0.1, seed: int = 1, varian
         for frame in frames:
             ids = []
             for doc_id, text in zip(frame["doc_id"], frame["text"]):
-                variant = 0 if pd.isna(doc_id) else xxhash.xxh64_intdigest(f"{seed}/{int(doc_id)}") % variants
+                variant = 0 if doc_id is None else xxhash.xxh64_intdigest(f"{seed}/{doc_id}") % variants
                 ids.append(None if text is None else remembered(model, rate, seed, variant).encode(text))
             out = pd.DataFrame({"doc_id": frame["doc_id"], "ids": ids})
             if check:
@@ -214,9 +217,8 @@ def encode(docs: DataFrame, model: str, rate: float = 0.1, seed: int = 1, varian
                 out["lossless"] = [a == b for a, b in zip(decoded, frame["text"])]
             yield out
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, ids array<int>" + (", lossless boolean" if check else "")
-    return docs.select("doc_id", "text").mapInPandas(run, schema)
+    schema = "doc_id string, ids array<int>" + (", lossless boolean" if check else "")
+    return rekeyed(keyed(docs).mapInPandas(run, schema), docs)
 
 
 def decode(encoded: DataFrame, model: str) -> DataFrame:
@@ -229,5 +231,5 @@ def decode(encoded: DataFrame, model: str) -> DataFrame:
                 text=[None if ids is None else pieces.decode(np.asarray(ids, dtype=np.int64)) for ids in frame["ids"]]
             )
 
-    kind = encoded.schema["doc_id"].dataType.simpleString()
-    return encoded.select("doc_id", "ids").mapInPandas(run, f"doc_id {kind}, ids array<int>, text string")
+    named = encoded.select(F.col("doc_id").cast("string").alias("doc_id"), "ids")
+    return rekeyed(named.mapInPandas(run, "doc_id string, ids array<int>, text string"), encoded)

@@ -310,6 +310,40 @@ def without_repeats(docs: DataFrame, size: int = 20, group: int = GROUP) -> Data
     )
 
 
+def remove_repeats(docs: DataFrame, size: int = 20, group: int = GROUP) -> DataFrame:
+    """The documents without their repeated words, and without those that have no word left.
+
+    A text that loses words is the kept ones joined by a space, and n_chars follows it; other texts
+    stay as they are, also those that had no word before.
+    """
+
+    @F.pandas_udf("string")
+    def rest(text: pd.Series, copy: pd.Series, runs: pd.Series) -> pd.Series:
+        out = []
+        for value, whole, found in zip(text, copy, runs):
+            words = (value or "").encode("utf-8", "surrogatepass").split()
+            stay, gone = kept_words(words, whole is True or whole is np.True_, found, size)
+            out.append(b" ".join(stay).decode("utf-8", "surrogatepass") if gone else value)
+        return pd.Series(out, dtype=object)
+
+    texts = docs.select("doc_id", "text").where("doc_id IS NOT NULL")
+    flags = removals(texts, size, group).select(F.col("doc_id").alias("id"), "copy", "runs")
+    whole = docs.select(F.struct(*docs.columns).alias("doc"))
+    joined = whole.join(flags, F.col("doc.doc_id") == F.col("id"), "left")
+    changed = joined.select("doc", rest("doc.text", "copy", "runs").alias("rest"))
+    left = changed.where("rest IS NULL OR rest <> '' OR doc.text = ''")
+    columns = []
+    for field in docs.schema:
+        value = F.col(f"doc.`{field.name}`")
+        if field.name == "text":
+            value = F.col("rest")
+        elif field.name == "n_chars":
+            new = F.length("rest").cast(field.dataType)
+            value = F.when(F.col("rest") != F.col("doc.text"), new).otherwise(value)
+        columns.append(value.alias(field.name))
+    return left.select(*columns)
+
+
 def digest(cleaned: DataFrame) -> DataFrame:
     """The rows of `without_repeats` with a SHA-256 of the kept words in place of them."""
     return cleaned.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
