@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farelake.llm import language_id, minhash, packing, pii, substrings
-from farelake.llm.common import stored, table
+from farelake.llm.common import shipped, stored, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -22,11 +22,13 @@ LEAST_LIKENESS = 0.1
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Learn the languages of the labelled documents; keep what is written in one of them."""
+    shipped(spark)
     return language_id.with_language(docs, language_id.learn(docs), LEAST_LIKENESS)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by shared five-word shingles (0.8 or more), the smallest doc_id stays."""
+    shipped(spark)
     found = minhash.near_duplicates(docs, words=5, part=80, whole=100)
     gone = found.where("NOT kept").select(F.col("doc_id").alias("gone_id")).distinct()
     return docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")
@@ -34,6 +36,7 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Take out passages of 20 words and more that an earlier document, or place, has."""
+    shipped(spark)
     return substrings.remove_repeats(docs, size=20)
 
 
@@ -44,6 +47,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pack all documents into sequences of 2048 tokens; one row per piece."""
+    shipped(spark)
     tokenizer = str(public_tokenizers.path("byte_bpe_50k.json"))
     return packing.pack_documents(docs, tokenizer, limit=2048, keep_ids=False)
 

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +17,7 @@ WORD_BREAK = r"[\x20\x09-\x0D]+"
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """A given table of the folder."""
+    shipped(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
@@ -38,6 +41,22 @@ def rekeyed(frame: DataFrame, docs: DataFrame) -> DataFrame:
     return frame.withColumn("doc_id", F.col("doc_id").cast(docs.schema["doc_id"].dataType))
 
 
+def shipped(spark: SparkSession) -> None:
+    """Send this library to the Python workers, once per application; they may have no path to it."""
+    context = spark.sparkContext
+    if context.applicationId not in _SHIPPED:
+        folder = Path(__file__).resolve().parents[2]
+        archive = Path(tempfile.mkdtemp(prefix="farelake-")) / "farelake_library.zip"
+        with zipfile.ZipFile(archive, "w") as out:
+            for file in sorted((folder / "farelake").rglob("*.py")):
+                out.write(file, file.relative_to(folder))
+        context.addPyFile(str(archive))
+        _SHIPPED.add(context.applicationId)
+
+
+_SHIPPED: set[str] = set()
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share. A local one is made only where none is named."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
