@@ -15,7 +15,7 @@ def count_flags(frame: DataFrame, flags: Mapping[str, Column]) -> DataFrame:
 
 
 def share_of_total(counted: DataFrame, count: str, total: Column) -> Column:
-    """Percentage of `total` (a one-row scalar) taken by each group's `count`."""
+    """Percentage of `total`, a sum over the grouped rows, taken by each group's `count`."""
     return F.lit(100.0) * counted[count] / total
 
 

@@ -4,47 +4,56 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
 def exact_quantiles(
-    counts: DataFrame, width: int, quantiles: Mapping[str, float], unit: float = 1.0
+    rows: DataFrame,
+    bucket: Column,
+    value: Column,
+    quantiles: Mapping[str, float],
+    max_buckets: int,
+    unit: float = 1.0,
 ) -> DataFrame:
-    """One row: every quantile (in `unit`s, interpolated), plus `mean` and `rows`.
+    """One row: every quantile of the integer `value` (in `unit`s, interpolated), plus `mean` and `rows`.
 
-    `counts` holds each distinct integer `v` once, with its number of rows `n`; so the facts went
-    through one partial aggregation and one shuffle. The built-in `percentile` would merge all
-    distinct values in one task. Here
+    `bucket` is a coarse, cheap key that rises with `value`. The rows are read twice:
 
-    1. the counts are summed into buckets of `width` neighbouring values, and their running total
-       tells which few buckets hold the wanted ranks (the caller bounds the number of buckets by
-       bounding `v`);
-    2. only the values in those buckets are ranked, at most `width` per bucket.
+    1. they are counted per bucket, so partial aggregation leaves at most `max_buckets` rows per task
+       to shuffle, and the running total of the counts tells which few buckets hold the wanted ranks;
+    2. only the rows in those buckets, at most two per quantile, are counted per value and ranked.
 
-    Both steps read the same shuffled counts, so the facts are scanned once.
+    The built-in `percentile` would merge all distinct values in one task. More than `max_buckets`
+    buckets stop the query: the running total is taken in one task.
     """
-    # One row per bucket reaches the unpartitioned windows.
-    running = (
-        counts.groupBy(F.expr(f"v div {width}").alias("bucket"))
-        .agg(F.sum("n").alias("inside"), F.expr(f"sum(v / {unit}D * n)").alias("in_amount"))
-        .selectExpr(
-            "bucket AS wanted_bucket",
-            "inside",
-            "sum(inside) OVER (ORDER BY bucket) - inside AS before",
-            "sum(inside) OVER () AS rows",
-            "sum(in_amount) OVER () AS amount",
-        )
+    counted = rows.groupBy(bucket.alias("bucket")).agg(
+        F.count(F.lit(1)).alias("inside"), F.sum(value / F.lit(unit)).alias("in_amount")
+    )
+    total = "OVER (ORDER BY bucket ROWS UNBOUNDED PRECEDING)"
+    running = counted.selectExpr(
+        "bucket AS wanted_bucket",
+        "inside",
+        f"sum(inside) {total} - inside AS before",
+        "sum(inside) OVER () AS rows",
+        "sum(in_amount) OVER () AS amount",
+        f"assert_true(count(*) OVER () <= {max_buckets}, 'more than {max_buckets} buckets') AS checked",
     )
     # Zero-based position of each quantile among the rows, and the ranks below and above it.
     places = ", ".join(f"(rows - 1) * {p}D" for p in quantiles.values())
     ranks = f"flatten(transform(array({places}), p -> array(floor(p), ceil(p))))"
     wanted = running.withColumn("ranks", F.expr(ranks)).where(
-        "exists(ranks, r -> r >= before AND r < before + inside)"
+        "checked IS NULL AND exists(ranks, r -> r >= before AND r < before + inside)"
     )
 
     # At most two buckets per quantile are left, so this side is broadcast whatever the data size.
-    ranked = counts.join(F.broadcast(wanted), F.expr(f"v div {width} = wanted_bucket")).selectExpr(
+    per_value = (
+        rows.select(bucket.alias("wanted_bucket"), value.alias("v"))
+        .join(F.broadcast(wanted.select("wanted_bucket")), "wanted_bucket", "left_semi")
+        .groupBy("wanted_bucket", "v")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    ranked = per_value.join(F.broadcast(wanted), "wanted_bucket").selectExpr(
         "v",
         "n",
         "rows",

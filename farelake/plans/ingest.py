@@ -5,11 +5,12 @@ from __future__ import annotations
 import logging
 import re
 from collections.abc import Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -129,8 +130,13 @@ def source_listing(spark: SparkSession, source_dir: str) -> DataFrame:
     return listing.groupBy(name.alias("file_name")).agg(F.sum("length").alias("source_bytes"))
 
 
-def landed_listing(spark: SparkSession, table_dir: str, manifest_dir: str) -> DataFrame:
-    """(file_name, landed_bytes): the latest manifest entry of each month whose data is still there."""
+def landed_listing(
+    spark: SparkSession, table_dir: str, manifest_dir: str, wanted: Iterable[tuple[str, str]]
+) -> DataFrame:
+    """(file_name, landed_bytes): the latest manifest entry of each month whose data is still there.
+
+    Only the partitions of the `wanted` (taxi type, month) pairs are listed, not the whole table.
+    """
     try:
         manifest = spark.read.schema(MANIFEST).parquet(manifest_dir)
     except PySparkException as error:
@@ -143,7 +149,16 @@ def landed_listing(spark: SparkSession, table_dir: str, manifest_dir: str) -> Da
     latest = manifest.groupBy("taxi_type", "month", "file_name").agg(
         F.max_by("bytes", "loaded_at").alias("landed_bytes")
     )
-    files = list_files(spark, f"{table_dir}/taxi_type=*/month=*")
+    months: dict[str, list[str]] = {}
+    for taxi_type, month in wanted:
+        months.setdefault(taxi_type, []).append(month)
+    files = None
+    for taxi_type, names in months.items():
+        # One glob per type: a path that does not exist alone would stop the listing of the others.
+        found = list_files(spark, f"{table_dir}/taxi_type={taxi_type}/month={{{','.join(sorted(names))}}}")
+        files = found if files is None else files.union(found)
+    if files is None:
+        files = spark.createDataFrame([], "path string, length bigint")
     partition = r"taxi_type=([a-z]+)/month=(\d{4}-\d{2})/"
     present = files.select(
         F.regexp_extract("path", partition, 1).alias("taxi_type"),
@@ -165,14 +180,47 @@ def land_month(
     rows = read_union_by_name(spark, [f"{source_dir}/{taxi_type}_tripdata_{month}.parquet"])
     if taxi_type == "yellow":
         rows = conform_trips(rows, keep_extra=True)
+        # One width per kind of number, so that the months of the table merge.
+        wide = {T.IntegerType(): "bigint", T.ShortType(): "bigint", T.ByteType(): "bigint", T.FloatType(): "double"}
+        further = [f for f in rows.schema if f.dataType in wide]
+        rows = rows.withColumns({f.name: F.col(f"`{f.name}`").cast(wide[f.dataType]) for f in further})
     if rows.isEmpty():
         # A dynamic overwrite without rows names no partition and would keep the old month.
-        save(rows, f"{table_dir}/taxi_type={taxi_type}/month={month}")
+        empty = f"{table_dir}/taxi_type={taxi_type}/month={month}"
+        # Hidden from readers by its name until it takes the old month's place.
+        fresh = f"{table_dir}/taxi_type={taxi_type}/_new_month={month}"
+        save(rows, fresh)
+        swap_folder(spark, fresh, empty)
         return
     keyed = rows.withColumns({"taxi_type": F.lit(taxi_type), "month": F.lit(month)})
     save(keyed, table_dir, partition_by=["taxi_type", "month"])
 
 
+def swap_folder(spark: SparkSession, fresh: str, place: str) -> None:
+    """Move a finished folder to its place; what was there goes only after the new one is complete."""
+    jvm = spark.sparkContext._jvm
+    source, target = jvm.org.apache.hadoop.fs.Path(fresh), jvm.org.apache.hadoop.fs.Path(place)
+    store = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    store.delete(target, True)
+    if not store.rename(source, target):
+        raise OSError(f"could not move {fresh} to {place}")
+
+
+#: What an unreadable file says; anything else that goes wrong is no fault of the file.
+UNREADABLE = (
+    "FAILED_READ_FILE",
+    "CANNOT_READ_FILE",
+    "UNABLE_TO_INFER_SCHEMA",
+    "PATH_NOT_FOUND",
+    "is not a Parquet file",
+    "Could not read footer",
+)
+
+
+def unreadable(error: Exception) -> bool:
+    return any(mark in str(error) for mark in UNREADABLE)
+
+
 def run_load(
     spark: SparkSession,
     source_dir: str,
@@ -180,43 +228,60 @@ def run_load(
     taxi_types: Sequence[str],
     start: str,
     end: str,
+    at_once: int = 4,
 ) -> DataFrame:
     """Bring the table up to date and return the plan with what happened to each file.
 
-    Months are committed one by one, in calendar order: readers never see half a month, a month
-    that cannot be read is recorded as `failed`, and the others still load. The plan has one row per
-    type and month, which is what the driver holds.
+    Months load `at_once` side by side, each committed on its own, so readers never see half a month.
+    A month whose file cannot be read is recorded as `failed`, and the others still load; any other
+    error stops the load. The plan has one row per type and month, which is what the driver holds.
     """
     manifest_dir = f"{table_dir.rstrip('/')}_manifest"
     expected = expected_files(months_between(spark, start, end), taxi_types)
+    wanted = [(row.taxi_type, row.month) for row in expected.collect()]
     plan = load_plan(
         expected,
         source_listing(spark, source_dir),
-        landed_listing(spark, table_dir, manifest_dir),
+        landed_listing(spark, table_dir, manifest_dir, wanted),
     )
-    outcome = []
-    for step in plan.orderBy("taxi_type", "month").collect():
+
+    def bring(step: Row) -> tuple:
         action = step.action
         if action in ("load", "reload"):
             try:
                 land_month(spark, source_dir, table_dir, step.taxi_type, step.month)
-                entry = spark.range(1).select(
-                    F.lit(step.taxi_type).alias("taxi_type"),
-                    F.lit(step.month).alias("month"),
-                    F.lit(step.file_name).alias("file_name"),
-                    F.lit(step.bytes).alias("bytes"),
-                    F.current_timestamp().alias("loaded_at"),
-                )
-                save(conform(entry, MANIFEST), manifest_dir, mode="append")
-            except (Py4JJavaError, PySparkException) as error:
+            except (Py4JJavaError, PySparkException, TypeError) as error:
+                if not (isinstance(error, TypeError) or unreadable(error)):
+                    raise
                 log.error("Could not load %s: %s", step.file_name, error)
                 action = "failed"
         size = None if action == "failed" else step.bytes
-        outcome.append((step.taxi_type, step.month, step.file_name, action, size))
+        return step.taxi_type, step.month, step.file_name, action, size
+
+    steps = plan.orderBy("taxi_type", "month").collect()
+    # Every dynamic overwrite stages in a folder of its own, so they may run side by side.
+    with ThreadPoolExecutor(at_once) as pool:
+        running = [pool.submit(bring, step) for step in steps]
+    outcome = [done.result() for done in running if done.exception() is None]
+    landed = [row for row in outcome if row[3] in ("load", "reload")]
+    if landed:
+        # One manifest file per load, however many months it brought.
+        entries = spark.createDataFrame(landed, plan.schema).coalesce(1)
+        save(conform(entries.withColumn("loaded_at", F.current_timestamp()), MANIFEST), manifest_dir, mode="append")
+    for done in running:
+        done.result()
     return spark.createDataFrame(outcome, plan.schema)
 
 
 def read_table(spark: SparkSession, table_dir: str) -> DataFrame:
-    """The landed yellow trips, with `month` as partition column for pruning; footers are not read."""
-    schema = T.StructType([*schemas.TRIPS, T.StructField("month", T.StringType())])
-    return spark.read.schema(schema).parquet(f"{table_dir}/taxi_type=yellow")
+    """The landed yellow trips with every column they came with, and `month` for pruning.
+
+    Declared columns come first; further ones are found in the footers, merged by one distributed job.
+    """
+    path = f"{table_dir}/taxi_type=yellow"
+    found = spark.read.option("mergeSchema", True).parquet(path).schema
+    known = {name.lower() for name in [*schemas.TRIPS.names, "month"]}
+    further = [field for field in found if field.name.lower() not in known]
+    # As text: the month would be taken for a date.
+    month = T.StructField("month", T.StringType())
+    return spark.read.schema(T.StructType([*schemas.TRIPS, *further, month])).parquet(path)

@@ -24,8 +24,8 @@ from farelake.sources.views import create_views
 def write_reports(trips: DataFrame, zones: DataFrame, out_dir: str) -> list[str]:
     """Write each report and workload as its own table; return their names.
 
-    The rollups are written first: they are small, survive lost executors, and spare the eight
-    results keyed by time or place a scan of the trips each.
+    The rollups are written first: they are small, survive lost executors, and spare every result but
+    the percentiles a scan of the trips: five scans in all.
     """
     rollups = {}
     for name, build in ROLLUPS.items():
@@ -51,11 +51,20 @@ def run(
     taxi_types: Sequence[str],
     start: str,
     end: str,
+    allow_missing: bool = False,
 ) -> list[str]:
-    """Load, register, report."""
+    """Load, register, report. Failed months stop the job before the reports unless they are allowed;
+
+    then the reports stand beside the list of them, `reports/_missing`.
+    """
     outcome = run_load(spark, source_dir, table_dir, taxi_types, start, end)
     save(outcome, f"{out_dir}/load/files")
     save(load_summary(outcome), f"{out_dir}/load/summary")
+    missing = outcome.where("action = 'failed'").select("taxi_type", "month", "file_name")
+    failed = [row.file_name for row in missing.collect()]
+    if failed and not allow_missing:
+        raise RuntimeError(f"no reports, as {len(failed)} months failed: {', '.join(sorted(failed)[:20])}")
+    save(missing, f"{out_dir}/reports/_missing")
     trips, zones = read_table(spark, table_dir), read_zones(spark, zones_csv)
     create_views(trips, zones)
     return write_reports(trips, zones, out_dir)
@@ -68,10 +77,11 @@ def main(argv: Sequence[str] | None = None) -> None:
     parser.add_argument("--types", default="yellow", help="comma list")
     parser.add_argument("--start", default="2024-01", help="YYYY-MM")
     parser.add_argument("--end", default="2024-03", help="YYYY-MM")
+    parser.add_argument("--allow-missing", action="store_true", help="report although months failed")
     args = parser.parse_args(argv)
     types = [t.strip().lower() for t in args.types.split(",") if t.strip()]
     spark = get_session()
-    run(spark, args.source, args.table, args.out, args.zones, types, args.start, args.end)
+    run(spark, args.source, args.table, args.out, args.zones, types, args.start, args.end, args.allow_missing)
 
 
 if __name__ == "__main__":

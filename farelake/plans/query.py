@@ -11,13 +11,22 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from farelake.plans.reports import REPORTS
+from farelake.plans.reports import REPORTS, ROLLUPS, Report
 from farelake.session import get_session
-from farelake.sources.tables import display_text
+from farelake.sources.tables import print_table
 from farelake.sources.trips import conform_trips
 from farelake.sources.views import register_views
 
 
+def check_columns(trips: DataFrame, reports: Sequence[Report]) -> None:
+    """ValueError with the names of columns that the reports read and the files do not have."""
+    there = {name.lower() for name in trips.columns}
+    for report in reports:
+        missing = [column for column in report.reads if column.lower() not in there]
+        if missing:
+            raise ValueError(f"{report.name} reads {', '.join(missing)}, which the files do not have")
+
+
 def results(
     spark: SparkSession, data_dir: str, sample_dir: str, name: str = "all", taxi_type: str = "yellow"
 ) -> list[tuple[str, DataFrame]]:
@@ -25,11 +34,17 @@ def results(
     if name != "all" and name not in REPORTS:
         raise ValueError(f"no report is named {name!r}; choose 'all' or one of {', '.join(REPORTS)}")
     register_views(spark, data_dir, sample_dir, taxi_type)
+    wanted = list(REPORTS.values()) if name == "all" else [REPORTS[name]]
+    check_columns(spark.table("trips"), wanted)
     trips = conform_trips(spark.table("trips"))
+    rollups = {}
+    if name == "all":
+        # Kept in the executors while the reports run: they are small, and a lost one is made again.
+        rollups = {key: build(trips).persist() for key, build in ROLLUPS.items()}
     found = []
-    for report in REPORTS.values() if name == "all" else [REPORTS[name]]:
+    for report in wanted:
         zones = spark.table("taxi_zones") if report.with_zones else None
-        found.append((f"{report.name} - {report.description}", report.over(trips, zones)))
+        found.append((f"{report.name} - {report.description}", report.over(trips, zones, rollups)))
     return found
 
 
@@ -43,7 +58,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     first = next(t.strip().lower() for t in args.types.split(",") if t.strip())
     for title, frame in results(get_session(), args.data, args.sample, args.name, first):
         print(title)
-        display_text(frame).show(10_000, truncate=False)
+        print_table(frame)
 
 
 if __name__ == "__main__":

@@ -17,7 +17,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from farelake.functions import (
@@ -40,6 +40,9 @@ MICROS_PER_SECOND = 1_000_000
 # Trips that count for revenue, and trips that have a price per mile.
 PAID = "total_amount > 0"
 RATED = "trip_distance > 0.1D AND fare_amount > 0"
+PRICED = "fare_amount > 0"
+LONG = "trip_distance > 5"
+TIPS = {"tip": "tip_amount", "pct": "100D * tip_amount / nullif(fare_amount, 0D)"}
 RATES = {"per_mile": "fare_amount / nullif(trip_distance, 0D)", "distance": "trip_distance"}
 
 
@@ -60,6 +63,12 @@ def _sums(measures: Mapping[str, str], prefix: str = "", when: str | None = None
     return columns
 
 
+def _merged(prefix: str, measures: Mapping[str, str]) -> list[Column]:
+    """The same parts, summed up once more."""
+    names = [f"{prefix}trips", *[f"{prefix}{name}_{end}" for name in measures for end in ("sum", "n")]]
+    return [F.sum(name).alias(name) for name in names]
+
+
 def _mean(measure: str, digits: int = 2) -> Column:
     """Mean of a measure over merged parts."""
     return round_half_away(mean_from(F.sum(f"{measure}_sum"), F.sum(f"{measure}_n")), digits)
@@ -123,17 +132,21 @@ def tip_patterns(trips: DataFrame, payments: DataFrame | None = None) -> DataFra
 
     The percentage is the mean of per-trip percentages, not a ratio of sums.
     """
+    per_code = trips.where(PRICED).groupBy("payment_type").agg(*_sums(TIPS, "tipped_"))
+    return _tip_patterns(per_code, payments)
+
+
+def _tip_patterns(parts: DataFrame, payments: DataFrame | None = None) -> DataFrame:
     if payments is None:
-        payments = F.broadcast(payment_types(trips.sparkSession))  # six rows, fixed in the code
-    tips = {"tip": "tip_amount", "pct": "100D * tip_amount / nullif(fare_amount, 0D)"}
-    per_code = trips.where("fare_amount > 0").groupBy("payment_type").agg(*_sums(tips))
+        payments = F.broadcast(payment_types(parts.sparkSession))  # six rows, fixed in the code
+    per_code = parts.groupBy("payment_type").agg(*_merged("tipped_", TIPS)).where("tipped_trips > 0")
     return (
         per_code.join(payments, "payment_type", "left")
         .groupBy("payment_label")
         .agg(
-            F.sum("trips").alias("trip_count"),
-            _mean("tip").alias("avg_tip_usd"),
-            _mean("pct").alias("avg_tip_pct"),
+            F.sum("tipped_trips").alias("trip_count"),
+            _mean("tipped_tip").alias("avg_tip_usd"),
+            _mean("tipped_pct").alias("avg_tip_pct"),
         )
         .orderBy(F.desc("trip_count"), F.asc_nulls_last("payment_label"))
     )
@@ -142,21 +155,20 @@ def tip_patterns(trips: DataFrame, payments: DataFrame | None = None) -> DataFra
 def duration_percentiles(trips: DataFrame) -> DataFrame:
     """Exact, interpolated duration percentiles in minutes over trips of up to six hours.
 
-    Six hours hold 21,600 one-second buckets, each of a million microseconds at most.
+    Six hours are 21,601 buckets of a second. The trips are scanned twice, two columns each time.
     """
     length = F.col(DROPOFF) - F.col(PICKUP)
     too_long = longer_than(F.col(PICKUP), F.col(DROPOFF), 360 * 60)
-    plausible = (F.col(DROPOFF) > F.col(PICKUP)) & ~too_long
-    counts = (
-        trips.where(plausible)
-        .groupBy(length.alias("length"))
-        .agg(_rows().alias("n"))
-        # Never null here; saying so keeps Catalyst from pushing a null check of the converted value
-        # below the aggregation in one of the two branches, which would cost a second scan.
-        .select(F.coalesce(interval_micros(F.col("length")), F.lit(0)).alias("v"), "n")
-    )
+    plausible = trips.where((F.col(DROPOFF) > F.col(PICKUP)) & ~too_long)
     percentiles = {"p50_min": 0.50, "p75_min": 0.75, "p90_min": 0.90, "p99_min": 0.99}
-    found = exact_quantiles(counts, MICROS_PER_SECOND, percentiles, unit=60.0 * MICROS_PER_SECOND)
+    found = exact_quantiles(
+        plausible,
+        bucket=F.floor(interval_micros(length) / MICROS_PER_SECOND),
+        value=interval_micros(length),
+        quantiles=percentiles,
+        max_buckets=21_601,
+        unit=60.0 * MICROS_PER_SECOND,
+    )
     return found.select(
         *[round_half_away(F.col(name), 1).alias(name) for name in percentiles],
         round_half_away(F.col("mean"), 1).alias("avg_min"),
@@ -202,10 +214,9 @@ def _weekend_vs_weekday(parts: DataFrame) -> DataFrame:
     )
 
 
-def fraud_heuristics(trips: DataFrame) -> DataFrame:
-    """Hits of six overlapping flags, counted in one scan; always six rows."""
+def _flags() -> dict[str, Column]:
     fare, distance, tip = F.col("fare_amount"), F.col("trip_distance"), F.col("tip_amount")
-    flags = {
+    return {
         "negative_fare": fare < 0,
         "distance_over_100mi": distance > 100,
         "duration_over_6h": longer_than(F.col(PICKUP), F.col(DROPOFF), 6 * 3600),
@@ -213,7 +224,17 @@ def fraud_heuristics(trips: DataFrame) -> DataFrame:
         "zero_distance_with_fare": (distance == 0) & (fare > 5),
         "tip_over_50pct": (fare > 0) & (F.try_divide(tip, fare) > 0.5),
     }
-    return count_flags(trips, flags).orderBy(F.desc("hits"), "flag")
+
+
+def fraud_heuristics(trips: DataFrame) -> DataFrame:
+    """Hits of six overlapping flags, counted in one scan; always six rows."""
+    return count_flags(trips, _flags()).orderBy(F.desc("hits"), "flag")
+
+
+def _fraud_heuristics(parts: DataFrame) -> DataFrame:
+    names = list(_flags())
+    summed = parts.agg(*[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in names])
+    return summed.unpivot([], names, "flag", "hits").orderBy(F.desc("hits"), "flag")
 
 
 def top_routes(trips: DataFrame, zones: DataFrame, limit: int = 10) -> DataFrame:
@@ -257,16 +278,18 @@ def _daily_trend(parts: DataFrame) -> DataFrame:
     )
 
 
-def passenger_distribution(trips: DataFrame) -> DataFrame:
-    """Trips by passenger count with their share; missing counts are pooled with zero."""
+def _passenger_parts(trips: DataFrame) -> DataFrame:
     # Grouped as stored first: the checked cast is dear, and then runs per value, not per trip.
-    parts = trips.groupBy("passenger_count").agg(*_sums(_same("total_amount")))
+    return trips.groupBy("passenger_count").agg(*_sums(_same("total_amount")))
+
+
+def _passenger_distribution(parts: DataFrame) -> DataFrame:
     passengers = F.coalesce(to_int_half_even(F.col("passenger_count")), F.lit(0))
     counted = parts.groupBy(passengers.alias("passengers")).agg(
         F.sum("trips").alias("trips"), _mean("total_amount").alias("avg_fare_usd")
     )
-    # The total is a scalar subquery over a scan without columns, not a window in one task.
-    total = trips.agg(_rows()).scalar()
+    # One row per passenger count reaches the window, so the total is that of the very same rows.
+    total = F.sum("trips").over(Window.partitionBy())
     return counted.select(
         "passengers",
         "trips",
@@ -275,6 +298,17 @@ def passenger_distribution(trips: DataFrame) -> DataFrame:
     ).orderBy("passengers")
 
 
+def _passenger_distribution_of(parts: DataFrame) -> DataFrame:
+    names = ["trips", "total_amount_sum", "total_amount_n"]
+    per_count = parts.groupBy("passenger_count").agg(*[F.sum(name).alias(name) for name in names])
+    return _passenger_distribution(per_count)
+
+
+def passenger_distribution(trips: DataFrame) -> DataFrame:
+    """Trips by passenger count with their share; missing counts are pooled with zero."""
+    return _passenger_distribution(_passenger_parts(trips))
+
+
 def time_rollup(trips: DataFrame) -> DataFrame:
     """Parts per calendar date and hour of pickup, for every report keyed by time."""
     measures = _same("total_amount", "tip_amount", "trip_distance")
@@ -291,7 +325,17 @@ def place_rollup(trips: DataFrame) -> DataFrame:
     )
 
 
-ROLLUPS = {"time": time_rollup, "place": place_rollup}
+def payment_rollup(trips: DataFrame) -> DataFrame:
+    """Parts per payment type and passenger count, for the reports and the workload keyed by neither."""
+    return trips.groupBy("payment_type", "passenger_count").agg(
+        *_sums(_same("total_amount")),
+        *_sums(TIPS, "tipped_", PRICED),
+        *_sums(_same("fare_amount"), "long_", LONG),
+        *[F.count_if(condition).alias(flag) for flag, condition in _flags().items()],
+    )
+
+
+ROLLUPS = {"time": time_rollup, "place": place_rollup, "payment": payment_rollup}
 
 
 @dataclass(frozen=True)
@@ -347,6 +391,8 @@ REPORTS: dict[str, Report] = {
             "Tips per payment method",
             tip_patterns,
             ("payment_type", "fare_amount", "tip_amount"),
+            rollup="payment",
+            finish=_tip_patterns,
         ),
         Report(
             "duration-percentiles",
@@ -375,6 +421,8 @@ REPORTS: dict[str, Report] = {
             "Counts of suspicious trips",
             fraud_heuristics,
             (PICKUP, DROPOFF, "fare_amount", "trip_distance", "tip_amount"),
+            rollup="payment",
+            finish=_fraud_heuristics,
         ),
         Report(
             "top-routes",
@@ -398,6 +446,8 @@ REPORTS: dict[str, Report] = {
             "Share of trips per passenger count",
             passenger_distribution,
             ("passenger_count", "total_amount"),
+            rollup="payment",
+            finish=_passenger_distribution_of,
         ),
     )
 }

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from farelake.functions import hour_of_day
+from farelake.functions import hour_of_day, mean_from
 from farelake.operators.aggregates import group_count, mean, top_by_count
 
 
@@ -40,6 +40,11 @@ def _top10_from_place(parts: DataFrame) -> DataFrame:
     return top_by_count(per_id, "n", ["PULocationID"], 10)
 
 
+def _long_fare_from_payment(parts: DataFrame) -> DataFrame:
+    total, count = F.sum("long_fare_amount_sum"), F.sum("long_fare_amount_n")
+    return parts.agg(mean_from(total, count).alias("avg_fare"))
+
+
 @dataclass(frozen=True)
 class Workload:
     """A timing workload, the trip columns it reads, and the rollup it can be finished from."""
@@ -82,6 +87,8 @@ WORKLOADS: dict[str, Workload] = {
             "Mean fare beyond five miles",
             filter_long_trips_avg_fare,
             ("trip_distance", "fare_amount"),
+            rollup="payment",
+            finish=_long_fare_from_payment,
         ),
     )
 }

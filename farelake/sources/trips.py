@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 from itertools import chain
 
 from py4j.protocol import Py4JJavaError
@@ -13,35 +13,50 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from farelake import schemas
-from farelake.operators.union import conform, union_by_name, widen
+from farelake.operators.union import conform, widen
+from farelake.sources.files import list_files
 
 # Footer probes are small jobs; a few at a time keep the cluster from idling between them.
 PROBES_AT_ONCE = 16
 
 
-def _runs(spark: SparkSession, paths: list[str]) -> list[tuple[list[str], T.StructType]]:
-    """Files with their merged schema; cut in halves where Spark cannot merge the footers.
+def _cannot_merge(error: Exception) -> bool:
+    return "CANNOT_MERGE" in str(error)
 
-    The files of one month come from one writer, so a single distributed job is the rule.
+
+def _schema(spark: SparkSession, paths: Sequence[str]) -> T.StructType:
+    return spark.read.option("mergeSchema", True).parquet(*paths).schema
+
+
+def _runs(spark: SparkSession, path: str) -> list[tuple[list[str], T.StructType]]:
+    """The paths of one month with their schemas.
+
+    A month usually has one writer, so merging its footers in one distributed job is the rule. Where
+    that fails, the month is a folder whose files drift: they are probed one by one, side by side,
+    and those of one schema stay together.
     """
     try:
-        return [(paths, spark.read.option("mergeSchema", True).parquet(*paths).schema)]
+        return [([path], _schema(spark, [path]))]
     except (Py4JJavaError, PySparkException) as error:
-        if "CANNOT_MERGE" not in str(error) or len(paths) == 1:
+        if not _cannot_merge(error):
             raise
-    middle = len(paths) // 2
-    return _runs(spark, paths[:middle]) + _runs(spark, paths[middle:])
+    parts = sorted(row.path for row in list_files(spark, f"{path.rstrip('/')}/*").collect())
+    with ThreadPoolExecutor(PROBES_AT_ONCE) as pool:
+        schemas = list(pool.map(lambda part: _schema(spark, [part]), parts))
+    found: list[tuple[list[str], T.StructType]] = []
+    for part, schema in zip(parts, schemas, strict=True):
+        same = next((files for files, known in found if known == schema), None)
+        if same is None:
+            found.append(([part], schema))
+        else:
+            same.append(part)
+    return found
 
 
 def _layouts(spark: SparkSession, paths: Sequence[str]) -> list[tuple[list[str], T.StructType]]:
-    """Schema per month, probed side by side: as many jobs as months, however many the files."""
-    months: dict[str, list[str]] = {}
-    for path in sorted(paths):
-        month = re.match(r".*_tripdata_\d{4}-\d{2}", path)
-        months.setdefault(month[0] if month else path, []).append(path)
+    """Schema per month, in the order of the paths; probed side by side."""
     with ThreadPoolExecutor(PROBES_AT_ONCE) as pool:
-        probed = pool.map(lambda files: _runs(spark, files), months.values())
-        return list(chain.from_iterable(probed))
+        return list(chain.from_iterable(pool.map(lambda path: _runs(spark, path), paths)))
 
 
 def _agree(left: T.StructType, right: T.StructType) -> bool:
@@ -52,19 +67,23 @@ def _agree(left: T.StructType, right: T.StructType) -> bool:
 def read_union_by_name(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """Scan all files, columns matched by name without case, numbers widened, gaps null.
 
-    Spark's `mergeSchema` adds columns but rejects int against bigint or double, and a declared read
-    schema cannot turn a stored bigint into double. So files whose types agree share one scan, and
-    only the handful of scans is unioned.
+    Names are spelled and ordered as first seen over the paths in their order. Spark's `mergeSchema`
+    adds columns but rejects int against bigint or double, and a declared read schema cannot turn a
+    stored bigint into double. So files whose types agree share one scan, and only the handful of
+    scans is unioned.
     """
+    layouts = _layouts(spark, paths)
+    names = widen([schema for _, schema in layouts])
     groups: list[tuple[list[str], T.StructType]] = []
-    for run, schema in _layouts(spark, paths):
+    for run, schema in layouts:
         for i, (members, common) in enumerate(groups):
             if _agree(common, schema):
                 groups[i] = (members + run, widen([common, schema]))
                 break
         else:
             groups.append((run, schema))
-    return union_by_name([spark.read.schema(s).parquet(*members) for members, s in groups])
+    scans = [conform(spark.read.schema(s).parquet(*members), names) for members, s in groups]
+    return reduce(DataFrame.unionAll, scans)
 
 
 def conform_trips(frame: DataFrame, keep_extra: bool = False) -> DataFrame:

@@ -41,5 +41,7 @@ def register_views(
             raise
         log.warning("%s holds no taxi_zones.csv, which the zone and route reports need", sample_dir)
         zones = None
+        # Zones of an earlier call would belong to other data.
+        spark.catalog.dropTempView("taxi_zones")
     create_views(read_union_by_name(spark, files), zones)
     return len(files)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pyarrow as pa
+import pytest
 
 from farelake.plans import job
 from farelake.plans.reports import REPORTS
@@ -26,12 +27,17 @@ def test_whole_job(spark, tmp_path, zones_dir, monkeypatch):
     monkeypatch.setattr(job, "get_session", lambda: spark)
     table, zones = str(tmp_path / "trips"), f"{zones_dir}/taxi_zones.csv"
     args = ["--source", str(source), "--table", table, "--out", out, "--zones", zones]
-    job.main([*args, "--types", " Yellow,", "--start", "2024-01", "--end", "2024-03"])
+    wanted = [*args, "--types", " Yellow,", "--start", "2024-01", "--end", "2024-03"]
+    with pytest.raises(RuntimeError, match="2024-03"):
+        job.main(wanted)
+    # The loaded months are not loaded again.
+    job.main([*wanted, "--allow-missing"])
+    assert [r.month for r in load(spark, f"{out}/reports/_missing").collect()] == ["2024-03"]
 
     for name in REPORTS:
         assert load(spark, f"{out}/reports/{name}").columns
     summary = load(spark, f"{out}/load/summary").collect()[0]
-    assert (summary.expected, summary.downloaded, summary.skipped, summary.failed) == (3, 2, 0, 1)
+    assert (summary.expected, summary.downloaded, summary.skipped, summary.failed) == (3, 0, 2, 1)
     assert load(spark, f"{out}/load/files").count() == 3
 
     top = load(spark, f"{out}/workloads/top10_pickup_zones")

@@ -5,21 +5,23 @@ import random
 
 import numpy as np
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from farelake.operators.aggregates import count_flags, group_count, mean, top_by_count
 from farelake.operators.quantiles import exact_quantiles
 from farelake.operators.timing import best_of, compare_engines
-from farelake.operators.union import union_by_name, wider_type
+from farelake.operators.union import conform, union_by_name, widen, wider_type
 
 QUANTILES = {"p50": 0.50, "p75": 0.75, "p90": 0.90, "p99": 0.99}
 
 
 def quantiles_of(spark, numbers, width):
     frame = spark.createDataFrame([(n,) for n in numbers], "v bigint")
-    counts = frame.groupBy("v").agg(F.count("*").alias("n"))
-    return exact_quantiles(counts, width, QUANTILES).collect()[0]
+    bucket = F.floor(F.col("v") / width)
+    return exact_quantiles(frame, bucket, F.col("v"), QUANTILES, max_buckets=100_001).collect()[0]
 
 
 @pytest.mark.parametrize("seed", range(6))
@@ -41,6 +43,13 @@ def test_quantiles_with_one_hot_value(spark):
     assert [got[n] for n in QUANTILES] == pytest.approx(np.quantile(numbers, [0.5, 0.75, 0.9, 0.99]))
 
 
+def test_too_many_buckets_stop_the_query(spark):
+    frame = spark.range(50)
+    found = exact_quantiles(frame, F.col("id"), F.col("id"), QUANTILES, max_buckets=49)
+    with pytest.raises(Exception, match="more than 49 buckets"):
+        found.collect()
+
+
 def test_quantiles_of_nothing(spark):
     got = quantiles_of(spark, [], width=10)
     assert got["rows"] == 0 and all(got[n] is None for n in (*QUANTILES, "mean"))
@@ -73,35 +82,37 @@ def test_ties_at_the_cut(spark):
     assert [r.k for r in rows] == [f"z{i:02}" for i in range(10)]
 
 
-RUNS = "workload string, engine string, elapsed_s double, seq int"
+ENGINES = ["a", "b", "c"]
+ELAPSED = st.sampled_from([0.0, 0.25, 0.5, 2.0])
+TIMED = st.lists(st.tuples(st.sampled_from(["w1", "w2", "w3"]), st.sampled_from(ENGINES), ELAPSED), min_size=1, max_size=20)
+ONCE = settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 
 
-def test_compare_engines(spark):
-    nan = float("nan")
-    rows = [
-        ("w1", "a", 9.0, 0),
-        ("w1", "a", 0.25, 1),  # the later result wins
-        ("w1", "b", 0.5, 2),
-        ("w1", "c", 0.75, 3),
-        ("w2", "c", 1.0, 4),  # fast engine missing
-        ("w3", "a", 0.0, 5),
-        ("w3", "c", 1.0, 6),  # nothing to divide by
-    ]
-    wide = compare_engines(spark.createDataFrame(rows, RUNS), ["a", "b", "c"], slow="c", fast="a")
-    got = [["NaN" if v != v else v for v in r] for r in wide.collect()]
-    assert wide.columns == ["workload", "a", "b", "c", "speedup"]
-    assert got[0] == ["w1", 0.25, 0.5, 0.75, 3.0]
-    assert got[1] == ["w2", "NaN", "NaN", 1.0, 0.0]
-    assert got[2] == ["w3", 0.0, "NaN", 1.0, 0.0]
-    assert nan != nan
+@ONCE
+@given(TIMED)
+def test_compare_engines(spark, runs):
+    rows = [(w, e, t, i) for i, (w, e, t) in enumerate(runs)]
+    frame = spark.createDataFrame(rows, "workload string, engine string, elapsed_s double, seq int")
+    wide = compare_engines(frame, ENGINES, slow="c", fast="a")
+    assert wide.columns == ["workload", *ENGINES, "speedup"]
+    latest = {(w, e): t for w, e, t in runs}
+    for row in wide.collect():
+        times = [latest.get((row.workload, e), math.nan) for e in ENGINES]
+        assert [repr(row[e]) for e in ENGINES] == [repr(t) for t in times]
+        fast, slow = times[0], times[2]
+        assert repr(row.speedup) == repr(slow / fast if fast > 0 else 0.0)
+    assert [r.workload for r in wide.collect()] == sorted({w for w, _, _ in runs})
 
 
-def test_best_of(spark):
-    rows = [("e", "w", 0.3, 10, 0), ("e", "w", 0.1, 11, 1), ("e", "w", 0.2, 12, 2)]
-    frame = spark.createDataFrame(
-        rows, "engine string, workload string, elapsed_s double, rows int, repeat int"
-    )
-    assert [tuple(r) for r in best_of(frame).collect()] == [("e", "w", 0.1, 12)]
+@ONCE
+@given(TIMED)
+def test_best_of(spark, runs):
+    rows = [(e, w, t, 10 * i, i) for i, (w, e, t) in enumerate(runs)]
+    frame = spark.createDataFrame(rows, "engine string, workload string, elapsed_s double, rows int, repeat int")
+    want = {}
+    for e, w, t, n, _ in rows:
+        want[e, w] = (min(t, want.get((e, w), (t, 0))[0]), n)
+    assert {(r.engine, r.workload): (r.elapsed_s, r.rows) for r in best_of(frame).collect()} == want
 
 
 @pytest.mark.parametrize(
@@ -111,13 +122,30 @@ def test_best_of(spark):
         (T.LongType(), T.DoubleType(), T.DoubleType()),
         (T.NullType(), T.StringType(), T.StringType()),
         (T.DateType(), T.TimestampNTZType(), T.TimestampNTZType()),
-        (T.IntegerType(), T.StringType(), T.StringType()),
     ],
 )
 def test_wider_type(left, right, want):
     assert wider_type(left, right) == want and wider_type(right, left) == want
 
 
+def test_types_without_a_common_one():
+    with pytest.raises(TypeError, match="no common type"):
+        wider_type(T.BooleanType(), T.IntegerType())
+    schemas = [T.StructType([T.StructField("flag", t)]) for t in (T.BooleanType(), T.LongType())]
+    with pytest.raises(TypeError, match="column flag"):
+        widen(schemas)
+
+
+def test_doubles_become_integers_only_if_they_are(spark):
+    frame = spark.createDataFrame([(1.0,), (float("nan"),), (None,), (1e12,), (-0.0,)], "x double")
+    wanted = T.StructType([T.StructField("x", T.LongType())])
+    assert [r.x for r in conform(frame, wanted).collect()] == [1, None, None, 10**12, 0]
+    for bad in (1.7, float("inf"), 1e300):
+        broken = conform(spark.createDataFrame([(bad,)], "x double"), wanted)
+        with pytest.raises(Exception, match="column x holds"):
+            broken.collect()
+
+
 def test_union_by_name_spelling_and_gaps(spark):
     left = spark.createDataFrame([(1, 2.0, 0.5)], "VendorID bigint, passengers double, Airport_fee double")
     right = spark.createDataFrame([(2, 3, 0.25, 9)], "VendorID int, passengers bigint, airport_fee double, extra int")

@@ -26,6 +26,17 @@ def test_all_reports(spark, months, zones_dir):
     assert all(frame.count() > 0 for _, frame in found)
 
 
+def test_a_layout_without_the_columns_is_refused(spark, tmp_path, zones_dir):
+    green = {k.replace("tpep", "lpep"): t for k, t in COLUMNS.items()}
+    rows = [{**trip(), "lpep_pickup_datetime": trip()["tpep_pickup_datetime"]}]
+    write_trips(rows, tmp_path / "green_tripdata_2024-01.parquet", green)
+    for name in ("hourly-revenue", "duration-percentiles", "all"):
+        with pytest.raises(ValueError, match="tpep_pickup_datetime"):
+            query.results(spark, str(tmp_path), str(zones_dir), name, "green")
+    (_, frame) = query.results(spark, str(tmp_path), str(zones_dir), "top-zones", "green")[0]
+    assert frame.count() == 1
+
+
 def test_unknown_name(spark, months, zones_dir):
     with pytest.raises(ValueError, match="no report"):
         query.results(spark, months, str(zones_dir), "nope")

@@ -1,7 +1,9 @@
 from __future__ import annotations
 
 import logging
+import math
 
+import duckdb
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -9,7 +11,7 @@ from pyspark.sql import functions as F
 from farelake import schemas
 from farelake.sources.dimensions import payment_types, read_zones
 from farelake.sources.files import find_trip_files, list_files
-from farelake.sources.tables import display_text, load, save
+from farelake.sources.tables import display_text, load, print_table, save
 from farelake.sources.trips import conform_trips, read_union_by_name
 from farelake.sources.views import register_views
 from helpers import COLUMNS, sql_rows, trip, write_trips
@@ -39,7 +41,9 @@ def test_falls_back_to_the_sample(spark, tmp_path):
 def test_a_month_may_be_a_folder_of_parts(spark, tmp_path):
     month = tmp_path / "yellow_tripdata_2024-01.parquet"
     spark.range(10).repartition(2).write.parquet(str(month))
-    assert len(find_trip_files(spark, str(tmp_path), str(tmp_path))) == 2
+    found = find_trip_files(spark, str(tmp_path), str(tmp_path))
+    assert [p.rsplit("/", 1)[1] for p in found] == [month.name]
+    assert read_union_by_name(spark, found).count() == 10
 
 
 def test_listing_reads_no_content(spark, tmp_path):
@@ -175,10 +179,37 @@ def test_missing_zones_only_warn(spark, tmp_path, caplog):
 
 def test_saved_table_outlives_the_session(spark, tmp_path):
     path = str(tmp_path / "t")
-    save(spark.createDataFrame([(1,), (2,)], "a int"), path)
-    again = load(spark.newSession(), path)
-    assert [r.a for r in again.orderBy("a").collect()] == [1, 2]
-    assert all(".zstd." in row.path for row in list_files(spark, f"{path}/*.parquet").collect())
+    trips = spark.range(500).selectExpr("id", "id % 7 AS day", "CAST(id AS string) AS name")
+    save(trips, path, partition_by=["day"])
+    again = load(spark.newSession(), path, trips.schema)
+    assert sorted(map(tuple, again.select("id", "day", "name").collect())) == sorted(map(tuple, trips.collect()))
+    assert all(".zstd." in row.path for row in list_files(spark, f"{path}/*/*.parquet").collect())
+
+
+def test_names_as_first_seen(spark, tmp_path):
+    """Spelling, order and types over the files in order, as the oracle has them."""
+    layouts = [
+        {"id": pa.int64()},
+        {"id": pa.int32(), "airport_fee": pa.float64()},
+        {"id": pa.int64(), "Airport_fee": pa.float64(), "late": pa.int32()},
+    ]
+    paths = []
+    for i, types in enumerate(layouts):
+        row = {"id": i, "airport_fee": 0.5, "Airport_fee": 0.25, "late": 3}
+        paths.append(write_trips([row], tmp_path / f"yellow_tripdata_2024-0{i + 1}.parquet", types))
+    frame = read_union_by_name(spark, paths)
+    oracle = duckdb.sql(f"FROM read_parquet({paths}, union_by_name=true)")
+    assert frame.columns == oracle.columns == ["id", "airport_fee", "late"]
+    assert [t for _, t in frame.dtypes] == ["bigint", "double", "int"]
+    assert sorted(map(tuple, frame.collect())) == sorted(oracle.fetchall())
+
+
+def test_a_stale_zone_view_goes(spark, tmp_path, zones_dir):
+    write_month(tmp_path, "2024-01")
+    register_views(spark, str(tmp_path), str(zones_dir))
+    assert spark.catalog.tableExists("taxi_zones")
+    register_views(spark, str(tmp_path), str(tmp_path))
+    assert not spark.catalog.tableExists("taxi_zones")
 
 
 def test_overwrite_touches_only_its_partitions(spark, tmp_path):
@@ -199,3 +230,23 @@ def test_display_text(spark):
         ("w", "4", "-2500000000.0"),
     ]
     assert frame.where(F.col("s") == "-").count() == 1
+
+
+DOUBLES = [
+    0.0, -0.0, 1.0, -1.5, 0.1, 0.001, 0.0001, 0.00012345, 1e-5, -2.5e-7, 1e7, 12345678.9, 1e15, 123456789012345680.0,
+    1e16, 1.5e16, -1e22, 1.7976931348623157e308, 1e-300, 0.3, 100.0, 9999999.0, 10000000.5, math.nan, math.inf, -math.inf,
+]
+
+
+def test_doubles_as_text(spark):
+    frame = display_text(spark.createDataFrame([(d,) for d in DOUBLES], "d double"))
+    assert [r.d for r in frame.collect()] == [str(d) for d in DOUBLES]
+    flags = display_text(spark.createDataFrame([(True,), (False,), (None,)], "b boolean"))
+    assert [r.b for r in flags.collect()] == ["True", "False", "-"]
+
+
+def test_every_row_is_printed(spark, capsys):
+    print_table(spark.range(10_001).selectExpr("id", "id / 2 AS half"))
+    lines = capsys.readouterr().out.splitlines()
+    assert len([line for line in lines if line.startswith("|")]) == 10_002
+    assert lines[-2].split("|")[1:3] == [" 10000 ", " 5000.0 "]
