@@ -5,10 +5,10 @@ blocks of a fixed size so that the dictionary counts for the whole text and not
 The difference of the compressed sizes, by the size of the text, is the feature: by the sum of the
 compressed sizes, the few bytes that are left of endless repetition would weigh as much as prose. A
 logistic curve, fitted to labelled texts that the dictionaries have not seen and weighted to the
-shares of the labels, turns the feature into a score.
+shares of the labels, turns the feature into a score: each half of the sample is compared with the
+dictionaries of the other half, and the dictionaries of the whole sample are the ones that stay.
 
-The dictionaries and the curve are fitted to a bounded sample: of each label the `sample` rows whose
-doc_ids hash lowest, half for the dictionaries and half for the curve.
+The sample is bounded: of each label the `sample` rows whose doc_ids hash lowest.
 
 Cases: null and empty texts get the score of equal sizes; rows without a label or text teach nothing;
 without labels of both kinds all scores are the share of good labels (one half without labels);
@@ -31,7 +31,7 @@ from farelake.llm.common import keyed, rekeyed
 
 #: Labelled rows of each kind that are used at most.
 SAMPLE = 2_000
-#: Bytes of a text that go into a dictionary at most, of a dictionary, and of a block of a text.
+#: Bytes of a text that go into a dictionary of many texts, of a dictionary, and of a block of a text.
 PART, DICTIONARY, PIECE = 1_024, 1 << 19, 512
 
 
@@ -66,10 +66,12 @@ def feature(model: Model, text: str | None) -> float:
 def dictionary(texts: list[str]) -> bytes:
     """A stretch from the middle of each text, the first ones last, where they are cheapest to refer to."""
     parts, total = [], 0
+    # Of few texts more is taken.
+    part = max(PART, DICTIONARY // max(1, len(texts)))
     for text in texts:
         data = text.encode("utf-8", "surrogatepass")
-        start = max(0, (len(data) - PART) // 2)
-        parts.append(data[start : start + PART])
+        start = max(0, (len(data) - part) // 2)
+        parts.append(data[start : start + part])
         total += len(parts[-1])
         if total >= DICTIONARY:
             break
@@ -110,18 +112,32 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     texts = docs.where("text IS NOT NULL AND text <> ''").select("doc_id", "text").join(F.broadcast(picked), "doc_id")
     found = texts.toPandas().sort_values(["doc_id", "text"]).drop_duplicates("doc_id").reset_index(drop=True)
     order = np.random.default_rng(1).permutation(len(found))
-    half = {kind: order[found["quality"].to_numpy()[order] == kind] for kind in (0, 1)}
-    for_words = {kind: rows[: len(rows) // 2] for kind, rows in half.items()}
-    rest = np.concatenate([rows[len(rows) // 2 :] for rows in half.values()])
-    made = {kind: dictionary(found["text"].to_numpy()[rows].tolist()) for kind, rows in for_words.items()}
-    if not made[0] or not made[1]:
-        share = min(max(0.5 if share is None else share, 0.01), 0.99)
-        return Model(b"", b"", 0.0, float(np.log(share / (1 - share))))
-    made[0], made[1] = trimmed(made[0], made[1])
-    plain = Model(made[1], made[0], 1.0, 0.0)
-    x = np.array([feature(plain, text) for text in found["text"].to_numpy()[rest]])
-    slope, middle = curve(x, found["quality"].to_numpy()[rest].astype(float), share)
-    return Model(made[1], made[0], slope, middle)
+    content, quality = found["text"].to_numpy(), found["quality"].to_numpy()
+
+    def dictionaries(rows: np.ndarray) -> Model | None:
+        good, bad = (dictionary(content[rows[quality[rows] == kind]].tolist()) for kind in (1, 0))
+        return Model(*trimmed(good, bad), 1.0, 0.0) if good and bad else None
+
+    def unknown() -> Model:
+        """Nothing to tell good and bad apart: the share of good labels is all that is known."""
+        usual = min(max(0.5 if share is None else share, 0.01), 0.99)
+        return Model(b"", b"", 0.0, float(np.log(usual / (1 - usual))))
+
+    # Every second row of each label, so that both halves have both.
+    turn = np.zeros(len(found), dtype=np.int64)
+    for kind in (0, 1):
+        mine = order[quality[order] == kind]
+        turn[mine] = np.arange(len(mine)) % 2
+    x, seen = np.zeros(len(found)), np.zeros(len(found), dtype=bool)
+    for half in (0, 1):
+        plain = dictionaries(order[turn[order] != half])
+        if plain is None:
+            return unknown()
+        for i in np.flatnonzero(turn == half):
+            x[i], seen[i] = feature(plain, content[i]), True
+    slope, middle = curve(x[seen], quality[seen].astype(float), share)
+    whole = dictionaries(order)
+    return Model(whole.good, whole.bad, slope, middle)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:

@@ -192,13 +192,20 @@ def identify(docs: DataFrame, profiles: Profiles) -> DataFrame:
     return rekeyed(keyed(docs).mapInPandas(run, "doc_id string, lang_pred string, score double"), docs)
 
 
-def with_language(docs: DataFrame, profiles: Profiles, least: float) -> DataFrame:
-    """The documents that have a learned language with at least this cosine, unchanged."""
+def with_language(docs: DataFrame, profiles: Profiles, least: float, letters_to_judge: int = 100) -> DataFrame:
+    """The documents that have a learned language with at least this cosine, unchanged.
+
+    A text of few letters has a small cosine with any language, so it stays if it has a letter at all.
+    """
     predict, count = predictor(profiles), len(profiles.langs)
 
     @F.pandas_udf("boolean")
     def known(text: pd.Series) -> pd.Series:
-        best, score = predict(text.fillna("").tolist())
-        return pd.Series((best < count) & (score >= least))
+        texts = text.fillna("").tolist()
+        best, score = predict(texts)
+        alike = score >= least
+        for i in np.flatnonzero(~alike):
+            alike[i] = sum(map(str.isalpha, texts[i])) < letters_to_judge
+        return pd.Series((best < count) & alike)
 
     return docs.where(known("text"))

@@ -66,7 +66,7 @@ SENTENCES = {
 PATTERNS = {
     "copyright": r"(?:copyright|\(c\)|©)(?: \(c\)| ©)? (?:\S+ ){0,12}\S+",
     "rights": r"all rights reserved",
-    "spdx": r"spdx-license-identifier (?P<name>\S+)",
+    "spdx": r"spdx-license-identifier \S+",
 }
 
 #: Licence and the identifiers that show it, in order of precedence.
@@ -121,8 +121,9 @@ def identify(sentence: str) -> str | None:
     if words in KNOWN:
         return KNOWN[words]
     for name, pattern in BLANKS:
-        if found := pattern.fullmatch(words):
-            return f"spdx:{found['name']}" if name == "spdx" else name
+        if pattern.fullmatch(words):
+            # The name as the text spells it.
+            return f"spdx:{sentence.split()[-1]}" if name == "spdx" else name
     return None
 
 
