@@ -8,6 +8,8 @@ import zipfile
 from collections.abc import Callable
 from pathlib import Path
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -73,3 +75,32 @@ def stored(frame: DataFrame, name: str) -> DataFrame:
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     frame.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
+
+
+#: Bits of the membership table, whatever the number of members: 8 MB.
+MEMBER_BITS = 1 << 26
+
+
+def narrowed(docs: DataFrame, ids: DataFrame, name: str = "doc_id") -> DataFrame:
+    """The documents but most of those whose doc_id is not among `ids`; a join with them stays to be done.
+
+    Keeps texts that no join will want out of the shuffle. The members are told by a table of bits of
+    a fixed size, set by hash; the more members, the more strangers pass, and none gets lost.
+    """
+    slot = F.pmod(F.xxhash64(F.col(name)), F.lit(MEMBER_BITS))
+    words = (
+        ids.select(slot.alias("slot"))
+        .groupBy(F.shiftright("slot", 5).alias("word"))
+        .agg(F.expr("bit_or(shiftleft(1L, CAST(slot % 32 AS int)))").alias("bits"))
+        .toPandas()
+    )
+    bits = np.zeros(MEMBER_BITS >> 5, dtype=np.uint32)
+    bits[words["word"].to_numpy(dtype=np.int64)] = words["bits"].to_numpy(dtype=np.int64)
+    sent = docs.sparkSession.sparkContext.broadcast(bits)
+
+    @F.pandas_udf("boolean")
+    def member(place: pd.Series) -> pd.Series:
+        at = place.to_numpy(dtype=np.int64)
+        return pd.Series((sent.value[at >> 5] >> (at & 31).astype(np.uint32)) & 1 == 1)
+
+    return docs.where(member(F.pmod(F.xxhash64("doc_id"), F.lit(MEMBER_BITS))))

@@ -3,12 +3,16 @@
 1. `signatures`: per document the size of its shingle set, a 128-bit name of the set, a key per band
    of minima, and the low bits of all minima, packed.
 2. Documents with equal sets are one class, represented by the smallest doc_id, so copies never meet.
-3. `candidates`: representatives that share a band key are candidates. No group emits all its pairs:
-   first every member meets only the smallest one of its bucket. The pairs are thinned by the sizes
-   of the sets and by the similarity estimated from the packed bits (equal bits, corrected for those
-   equal by chance), then confirmed. What is linked by then is one component, and in a second pass
-   every member outside a bucket's largest component meets the members of other components. So any
-   two members of a bucket were either compared or are connected already.
+3. Representatives that share a band key are candidates. No group emits all its pairs: at first every
+   member of a bucket meets the smallest one, and the smallest one of a salted part of the bucket,
+   which is another one in every band. The pairs are thinned by the sizes of the sets and by the
+   similarity estimated from the packed bits (equal bits, corrected for those equal by chance), then
+   confirmed. What is linked by then is one component.
+   In a second pass, every stray, a member outside a bucket's largest component, meets the members of
+   that bucket, so that any two of them were either compared or are connected. Before that, shingles
+   that no other open document has are counted: a set with too many of them cannot link at all, which
+   ends most strays of a large group without comparing them. The others meet lot by lot; a task gives
+   back links, not pairs.
 4. `confirm` compares the full sets.
 
 With 32 bands of 4 minima a pair of similarity 0.80 shares a band but for 5 in 10^8 cases, one of
@@ -29,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from farelake.llm.common import keyed, rekeyed, stored
+from farelake.llm.common import keyed, narrowed, rekeyed, stored
 from farelake.llm.components import components
 from farelake.llm.shingles import shingle_set
 
@@ -37,6 +41,10 @@ BANDS, ROWS, BITS = 32, 4, 2
 MINIMA = BANDS * ROWS
 #: Longs that hold the low bits of all minima.
 LONGS = MINIMA * BITS // 64
+#: Members of a bucket's salted parts, about.
+MEET = 8
+#: Strays and members of a large group that meet in one task, about.
+FEW, MANY = 128, 2_000
 #: Six standard deviations of the estimated similarity, at 0.8.
 MARGIN = 0.25
 
@@ -109,6 +117,93 @@ def thinned(pairs: DataFrame, reps: DataFrame, part: int, whole: int) -> DataFra
     return pairs.join(left, "a").join(right, "b").where(size & near).select("a", "b").distinct()
 
 
+def own_shingles(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
+    """doc_id and `own`, the shingles that no other of these documents has, for those that have any."""
+
+    def sets(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            made = [shingle_set(text, words).view(np.int64) for text in frame["text"]]
+            yield pd.DataFrame({"doc_id": frame["doc_id"], "shingles": made})
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    texts = narrowed(docs.select("doc_id", "text").where("doc_id IS NOT NULL"), ids)
+    each = texts.join(ids, "doc_id", "left_semi").mapInPandas(sets, f"doc_id {kind}, shingles array<long>")
+    having = each.select("doc_id", F.explode("shingles").alias("shingle")).groupBy("shingle")
+    ends = having.agg(F.min("doc_id").alias("doc_id"), F.max("doc_id").alias("other")).where("doc_id = other")
+    return ends.groupBy("doc_id").agg(F.count(F.lit(1)).alias("own"))
+
+
+def linked(few: pd.DataFrame, many: pd.DataFrame, words: int, part: int, whole: int) -> pd.DataFrame:
+    """Links between two bounded lots of documents, from an index of the shingles of the first."""
+    few = few.drop_duplicates("doc_id")
+    sets = [shingle_set(text, words) for text in few["text"]]
+    sizes = np.array([len(s) for s in sets], dtype=np.int64)
+    shingles = np.concatenate(sets) if sets else np.zeros(0, dtype=np.uint64)
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    order = np.argsort(shingles, kind="stable")
+    shingles, owner = shingles[order], owner[order]
+    ids, out = few["doc_id"].to_numpy(), []
+    for doc_id, text in zip(many["doc_id"], many["text"]):
+        own = shingle_set(text, words)
+        first, last = np.searchsorted(shingles, own, "left"), np.searchsorted(shingles, own, "right")
+        count = last - first
+        place = np.repeat(first - (np.cumsum(count) - count), count) + np.arange(count.sum())
+        both = np.bincount(owner[place], minlength=len(sets))
+        near = ids[(both > 0) & (whole * both >= part * (sizes + len(own) - both))]
+        out.extend((doc_id, other) for other in near if other != doc_id)
+    return pd.DataFrame(out, columns=["a", "b"])
+
+
+def remaining(docs: DataFrame, open_: DataFrame, reps: DataFrame, words: int, part: int, whole: int) -> DataFrame:
+    """Links (a, b) between documents of different components in one bucket.
+
+    The buckets of one component are taken together. Its strays are dealt into lots of `FEW`, its
+    members into lots of `MANY`, and each lot of strays meets each lot of members in a task of its
+    own, which compares full sets and gives back links only.
+    """
+    ids = open_.select("doc_id").distinct()
+    facts = (
+        reps.join(ids, "doc_id", "left_semi")
+        .join(own_shingles(docs, ids, words), "doc_id", "left")
+        .where(whole * (F.col("n_shingles") - F.coalesce("own", F.lit(0))) >= part * F.col("n_shingles"))
+        .select("doc_id")
+        .distinct()
+    )
+    # A document with more shingles of its own than a link allows is ruled out here.
+    hopeful = stored(
+        open_.join(facts, "doc_id").select("most", "doc_id", (F.col("label") != F.col("most")).alias("stray")).distinct(),
+        "open",
+    )
+    sizes = hopeful.groupBy("most").agg(
+        F.ceil(F.count_if("stray") / FEW).cast("int").alias("few"), F.ceil(F.count(F.lit(1)) / MANY).cast("int").alias("many")
+    )
+    dealt = hopeful.join(sizes.where("few > 0"), "most")
+    spread = F.xxhash64("doc_id")
+
+    def lots(count: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.col(count) - 1))
+
+    strays = dealt.where("stray").select(
+        "most", F.pmod(spread, F.col("few")).cast("int").alias("f"), lots("many").alias("m"), "doc_id"
+    )
+    members = dealt.select(
+        "most", lots("few").alias("f"), F.pmod(spread, F.col("many")).cast("int").alias("m"), "doc_id"
+    )
+
+    wanted = narrowed(docs.select("doc_id", "text").where("doc_id IS NOT NULL"), dealt.select("doc_id"))
+
+    def unit_of(lot: DataFrame) -> DataFrame:
+        # Names of its own for either side, which come from the same frames.
+        return wanted.join(lot, "doc_id").select(*[F.col(c).alias(c) for c in ("most", "f", "m", "doc_id", "text")])
+
+    def run(few: pd.DataFrame, many: pd.DataFrame) -> pd.DataFrame:
+        return linked(few, many, words, part, whole)
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    few, many = (unit_of(lot).groupBy("most", "f", "m") for lot in (strays, members))
+    return few.cogroup(many).applyInPandas(run, f"a {kind}, b {kind}")
+
+
 def confirm(docs: DataFrame, pairs: DataFrame, words: int, part: int, whole: int) -> DataFrame:
     """Pairs whose full sets reach part / whole. The set of `b` travels to the text of `a`."""
 
@@ -129,7 +224,9 @@ def confirm(docs: DataFrame, pairs: DataFrame, words: int, part: int, whole: int
                 linked.append(whole * both >= part * (len(own) + len(theirs) - both))
             yield frame.loc[linked, ["doc_id", "b"]].rename(columns={"doc_id": "a"})
 
-    texts = docs.select("doc_id", "text").where("doc_id IS NOT NULL")
+    pairs = stored(pairs, "pairs")
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id"))
+    texts = narrowed(docs.select("doc_id", "text").where("doc_id IS NOT NULL"), ids)
     kind = docs.schema["doc_id"].dataType.simpleString()
     with_b = texts.join(pairs.withColumnRenamed("b", "doc_id"), "doc_id").mapInPandas(
         sets, f"a {kind}, b {kind}, set_b binary"
@@ -149,11 +246,17 @@ def near_duplicates(docs: DataFrame, words: int = 5, part: int = 80, whole: int
     reps = stored(named.join(classes.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi"), "classes")
 
     members = reps.select("doc_id", F.explode("bands").alias("bucket"))
-    first = members.groupBy("bucket").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("z")).where("a < z")
-    shared = stored(members.join(first.select("bucket", "a"), "bucket"), "buckets")
-
-    star = shared.where("a < doc_id").select("a", F.col("doc_id").alias("b")).distinct()
-    links = stored(confirm(docs, thinned(star, reps, part, whole), words, part, whole), "links")
+    sized = members.groupBy("bucket").agg(
+        F.min("doc_id").alias("a"), F.max("doc_id").alias("z"), F.count(F.lit(1)).alias("size")
+    )
+    part_of = F.pmod(F.xxhash64("doc_id", "bucket"), F.ceil(F.col("size") / MEET)).alias("salt")
+    shared = stored(
+        members.join(sized.where("a < z").select("bucket", "a", "size"), "bucket").select("*", part_of), "buckets"
+    )
+    nearby = shared.groupBy("bucket", "salt").agg(F.min("doc_id").alias("p"))
+    met = shared.join(nearby, ["bucket", "salt"]).select(F.explode(F.array("a", "p")).alias("a"), F.col("doc_id").alias("b"))
+    met = met.where("a < b").distinct()
+    links = stored(confirm(docs, thinned(met, reps, part, whole), words, part, whole), "links")
     joined = stored(components(links), "components")
 
     labelled = shared.join(joined, shared["doc_id"] == joined["node"], "left").select(
@@ -167,14 +270,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, part: int = 80, whole: int
         .select("bucket", "most")
     )
     open_ = stored(labelled.join(mixed, "bucket"), "open")
-    few = open_.where("label <> most").select("bucket", F.col("doc_id").alias("x"), F.col("label").alias("own"))
-    other = (
-        few.join(open_, "bucket")
-        .where("own <> label AND (label = most OR x < doc_id)")
-        .select(F.least("x", "doc_id").alias("a"), F.greatest("x", "doc_id").alias("b"))
-        .distinct()
-    )
-    rest = stored(confirm(docs, thinned(other, reps, part, whole), words, part, whole), "links")
+    rest = stored(remaining(docs, open_, reps, words, part, whole), "links")
     if not rest.isEmpty():
         joined = stored(components(links.union(rest)), "components")
 
