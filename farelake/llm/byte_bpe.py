@@ -22,7 +22,7 @@ import tiktoken
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 PROBE = "Un  élan, 12 it's\n\n über\t日本 \U0001f600 x "
 #: Parts remembered by a task at most; then it starts anew.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 
 
 def byte_letters() -> dict[str, int]:

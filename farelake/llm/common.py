@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,7 +47,12 @@ def rekeyed(frame: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def shipped(spark: SparkSession) -> None:
-    """Send this library to the Python workers, once per application; they may have no path to it."""
+    """Send this library to the Python workers, once per application; they may have no path to it.
+
+    Texts are long, so a batch for a worker is a thousand of them, unless the session says otherwise.
+    """
+    if spark.conf.get(BATCH, "10000") == "10000":
+        spark.conf.set(BATCH, "1000")
     context = spark.sparkContext
     if context.applicationId not in _SHIPPED:
         folder = Path(__file__).resolve().parents[2]
@@ -57,6 +65,22 @@ def shipped(spark: SparkSession) -> None:
 
 
 _SHIPPED: set[str] = set()
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def tidy(run: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]):
+    """The same function over frames, which at its end hands freed memory back to the machine.
+
+    Workers live on from task to task and from stage to stage, beside an executor that needs the room.
+    """
+
+    def tidied(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        yield from run(frames)
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):  # only this C library has it
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+    return tidied
 
 
 def shared_folder(spark: SparkSession) -> str:

@@ -25,11 +25,13 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from farelake.llm.common import keyed, rekeyed
+from farelake.llm.common import keyed, rekeyed, tidy
 
 UNKNOWN = "und"
 #: Characters handled at once in a task.
 BLOCK_CHARS = 400_000
+#: N-gram vectors made at once.
+GRAMS = 2_048
 
 
 @dataclass(frozen=True)
@@ -127,7 +129,8 @@ def bundles(texts: list[str], order: int, dim: int, seed: int) -> np.ndarray:
         if len(spelled):
             weights = np.zeros((part.stop - part.start, len(spelled)), dtype=np.float32)
             weights[doc, column] = counts
-            out[part] = weights @ gram_vectors(spelled, dim, seed)
+            for at in range(0, len(spelled), GRAMS):
+                out[part] += weights[:, at : at + GRAMS] @ gram_vectors(spelled[at : at + GRAMS], dim, seed)
     return out
 
 
@@ -144,13 +147,14 @@ def learn(docs: DataFrame, dim: int = 1024, order: int = 3, seed: int = 7) -> Pr
                     _, column, counts, spelled = grams(texts[part], order)
                     if len(spelled):
                         weight = np.bincount(column, counts, len(spelled)).astype(np.float32)
-                        total += weight @ gram_vectors(spelled, dim, seed)
+                        for at in range(0, len(spelled), GRAMS):
+                            total += weight[at : at + GRAMS] @ gram_vectors(spelled[at : at + GRAMS], dim, seed)
         for lang, total in sums.items():
             yield pd.DataFrame({"lang": lang, "place": np.arange(dim), "value": total})
 
     parts = docs.where("text IS NOT NULL AND lang IS NOT NULL").select("text", "lang")
     summed = (
-        parts.mapInPandas(partial, "lang string, place int, value double")
+        parts.mapInPandas(tidy(partial), "lang string, place int, value double")
         .groupBy("lang", "place")
         .agg(F.sum("value").alias("value"))
         .toPandas()
@@ -189,7 +193,7 @@ def identify(docs: DataFrame, profiles: Profiles) -> DataFrame:
             best, score = predict(frame["text"].fillna("").tolist())
             yield pd.DataFrame({"doc_id": frame["doc_id"], "lang_pred": names[best], "score": score})
 
-    return rekeyed(keyed(docs).mapInPandas(run, "doc_id string, lang_pred string, score double"), docs)
+    return rekeyed(keyed(docs).mapInPandas(tidy(run), "doc_id string, lang_pred string, score double"), docs)
 
 
 def with_language(docs: DataFrame, profiles: Profiles, least: float, letters_to_judge: int = 100) -> DataFrame:

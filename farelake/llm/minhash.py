@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from farelake.llm.common import keyed, narrowed, rekeyed, stored
+from farelake.llm.common import keyed, narrowed, rekeyed, stored, tidy
 from farelake.llm.components import components
 from farelake.llm.shingles import shingle_set
 
@@ -90,7 +90,7 @@ def signatures(docs: DataFrame, words: int) -> DataFrame:
             yield out.astype({"set_hi": "Int64", "set_lo": "Int64"})
 
     schema = "doc_id string, n_shingles long, set_hi long, set_lo long, bands array<long>, bits array<long>"
-    return rekeyed(keyed(docs).mapInPandas(sign, schema), docs)
+    return rekeyed(keyed(docs).mapInPandas(tidy(sign), schema), docs)
 
 
 def estimated(left: str, right: str) -> Column:
@@ -127,7 +127,7 @@ def own_shingles(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     texts = narrowed(docs.select("doc_id", "text").where("doc_id IS NOT NULL"), ids)
-    each = texts.join(ids, "doc_id", "left_semi").mapInPandas(sets, f"doc_id {kind}, shingles array<long>")
+    each = texts.join(ids, "doc_id", "left_semi").mapInPandas(tidy(sets), f"doc_id {kind}, shingles array<long>")
     having = each.select("doc_id", F.explode("shingles").alias("shingle")).groupBy("shingle")
     ends = having.agg(F.min("doc_id").alias("doc_id"), F.max("doc_id").alias("other")).where("doc_id = other")
     return ends.groupBy("doc_id").agg(F.count(F.lit(1)).alias("own"))
@@ -229,10 +229,10 @@ def confirm(docs: DataFrame, pairs: DataFrame, words: int, part: int, whole: int
     texts = narrowed(docs.select("doc_id", "text").where("doc_id IS NOT NULL"), ids)
     kind = docs.schema["doc_id"].dataType.simpleString()
     with_b = texts.join(pairs.withColumnRenamed("b", "doc_id"), "doc_id").mapInPandas(
-        sets, f"a {kind}, b {kind}, set_b binary"
+        tidy(sets), f"a {kind}, b {kind}, set_b binary"
     )
     with_a = texts.join(with_b.withColumnRenamed("a", "doc_id"), "doc_id")
-    return with_a.select("doc_id", "text", "b", "set_b").mapInPandas(compare, f"a {kind}, b {kind}")
+    return with_a.select("doc_id", "text", "b", "set_b").mapInPandas(tidy(compare), f"a {kind}, b {kind}")
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, part: int = 80, whole: int = 100) -> DataFrame:

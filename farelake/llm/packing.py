@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from farelake.llm.byte_bpe import open_tokenizer
-from farelake.llm.common import keyed, rekeyed, stored
+from farelake.llm.common import keyed, rekeyed, stored, tidy
 
 #: Pieces of one length and salt, about; they are sorted in one task.
 GROUP = 50_000
@@ -61,7 +61,7 @@ def tokenize(docs: DataFrame, tokenizer: str, limit: int = 2048, end: int = 0, k
             yield out.assign(ids=ids) if keep_ids else out
 
     schema = "doc_id string, piece int, start long, length long, ids_crc32 long"
-    pieces = keyed(docs).mapInPandas(encode, schema + (", ids array<int>" if keep_ids else ""))
+    pieces = keyed(docs).mapInPandas(tidy(encode), schema + (", ids array<int>" if keep_ids else ""))
     return rekeyed(pieces, docs)
 
 

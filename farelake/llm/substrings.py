@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from farelake.llm.common import stored
+from farelake.llm.common import stored, tidy
 from farelake.llm.shingles import mixed, window_hashes, word_hashes
 
 EDGES = 4
@@ -107,7 +107,7 @@ def anchors(docs: DataFrame, size: int) -> DataFrame:
         yield told[known].drop_duplicates(["anchor", "doc_id"])
 
     texts = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", "text")
-    rows = texts.mapInPandas(gather, "route long, anchor long, doc_id long, name long, known boolean")
+    rows = texts.mapInPandas(tidy(gather), "route long, anchor long, doc_id long, name long, known boolean")
     met = "OVER (PARTITION BY route, anchor, known)"
     return (
         rows.selectExpr("doc_id", "anchor", "known", f"min(name) {met} < max(name) {met} AS met")
@@ -155,7 +155,7 @@ def suffixes(texts: DataFrame, repeated: DataFrame, size: int, full: list[set[in
     return (
         texts.join(marked, "doc_id")
         .select("doc_id", "text", "anchors")
-        .mapInPandas(cut, "doc_id long, start int, length int, path1 long, path2 long, depth byte")
+        .mapInPandas(tidy(cut), "doc_id long, start int, length int, path1 long, path2 long, depth byte")
     )
 
 
@@ -206,7 +206,7 @@ def full_cells(docs: DataFrame, size: int, group: int) -> list[set[int]]:
     counts = (
         docs.where("doc_id IS NOT NULL AND text IS NOT NULL")
         .select("text")
-        .mapInPandas(count, "depth int, cell int, n long")
+        .mapInPandas(tidy(count), "depth int, cell int, n long")
         .groupBy("depth", "cell")
         .agg(F.sum("n").alias("n"))
     )
@@ -258,7 +258,7 @@ def subtrees(groups: DataFrame) -> DataFrame:
             yield as_runs(leaf[later, 0], leaf[later, 1])
             before = way[-1], earliest[-1]
 
-    return groups.mapInPandas(walk, "doc_id long, start int, length int")
+    return groups.mapInPandas(tidy(walk), "doc_id long, start int, length int")
 
 
 def removals(texts: DataFrame, size: int, group: int = GROUP) -> DataFrame:
@@ -306,7 +306,7 @@ def without_repeats(docs: DataFrame, size: int = 20, group: int = GROUP) -> Data
         "doc_id", "text", "CAST(NULL AS boolean) AS copy", "CAST(NULL AS array<struct<start:int,length:int>>) AS runs"
     )
     return flagged.union(nameless).mapInPandas(
-        remove, "doc_id long, n_words long, n_removed long, kept string"
+        tidy(remove), "doc_id long, n_words long, n_removed long, kept string"
     )
 
 
