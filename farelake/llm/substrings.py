@@ -8,7 +8,7 @@ those words. The tree is never in one place:
 2. `anchors`: a window of `size` words is named by the smallest hash among its short word runs, so
    equal windows have equal anchors. A suffix can only repeat if its anchor occurs twice; the others
    are left out of the tree. A task that meets an anchor twice needs nobody else to know that it
-   repeats, and tells the others by one row.
+   repeats, and tells the others by two rows, of its smallest and its largest text name.
 3. `suffixes`: each task first merges its own suffixes. Of equal ones the earliest goes on, the others
    are repeats already; so a passage that a third of all documents share is one row per task.
 4. Suffixes are grouped by a prefix of their path. A prefix is one edge long; where a fixed-size table
@@ -98,11 +98,14 @@ def anchors(docs: DataFrame, size: int) -> DataFrame:
         again = np.zeros(len(anchor), dtype=bool)
         again[1:] = (anchor[1:] == anchor[:-1]) & ((name[1:] != name[:-1]) | (doc_id[1:] == doc_id[:-1]))
         known = np.repeat(np.logical_or.reduceat(again, start), sizes)
-        # Where it is not known here, all rows of the anchor have one name, and one of them asks.
-        first = np.zeros(len(anchor), dtype=bool)
-        first[start] = True
+        # Where it is known here, the smallest and the largest name ask: whatever name another task has,
+        # one of the two differs from it. Elsewhere all rows of the anchor have one name, and all ask.
+        last = start + sizes - 1
+        ends = np.zeros(len(anchor), dtype=bool)
+        ends[start] = True
+        ends[last] |= name[last] != name[start]
         asks = pd.DataFrame({"route": anchor, "anchor": anchor, "doc_id": doc_id, "name": name, "known": False})
-        yield asks[~known | first]
+        yield asks[~known | ends]
         told = pd.DataFrame({"route": doc_id, "anchor": anchor, "doc_id": doc_id, "name": name, "known": True})
         yield told[known].drop_duplicates(["anchor", "doc_id"])
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 import random
 
 from farelake.llm import substrings
@@ -56,6 +57,22 @@ def test_passages(spark):
     assert found(substrings.without_repeats(frame, size=20)) == brute(rows, 20)
 
 
+def test_copies_and_a_sharer_in_several_partitions(spark):
+    # A text, its exact copy and another text with the same passage, dealt to two or three tasks in every way.
+    rng = random.Random(5)
+    tasks = [[], [], []]
+    for group, places in enumerate(list(itertools.product(range(3), repeat=3)) * 4):
+        passage = " ".join(f"g{group}p{i}" for i in range(25))
+        ids = [3 * group, 3 * group + 1, 3 * group + 2]
+        rng.shuffle(ids)
+        for doc_id, text, place in zip(ids, [passage, passage, f"{passage} tail{group}"], places):
+            tasks[place].append((doc_id, text))
+    rows = [row for task in tasks for row in task]
+    dealt = spark.sparkContext.parallelize(tasks, 3).flatMap(lambda task: task)
+    frame = spark.createDataFrame(dealt, "doc_id long, text string")
+    assert found(substrings.without_repeats(frame, size=20)) == brute(rows, 20)
+
+
 def test_awkward_rows_and_empty(spark):
     docs = awkward(spark, "copy runs path1 start")
     out = substrings.digest(substrings.without_repeats(docs, size=20)).collect()
