@@ -81,6 +81,26 @@ def test_checksums_and_context(spark):
     assert kinds == {0: ["iban", "iban"], 1: [], 2: ["short_card"], 3: [], 4: ["ssn"], 5: []}
 
 
+def test_account_numbers_before_other_words(spark):
+    compact, spaced = "DE89370400440532013000", "DE89 3704 0044 0532 0130 00"
+    tails = ["", " Thanks", " Please", " BIC COBADEFF", " 2024", " A", ", DE", " GB82 WEST 1234 5698 7654 32", " x"]
+    heads = ["my iban ", "IBAN ", "AT12 3456 ", "NO93 8601 ", "XX12 "]
+    texts = [f"{head}{value}{tail}" for head in heads for value in (compact, spaced) for tail in tails]
+    # Too short, too long, a wrong check digit, an unknown country.
+    wrong = ["DE8937040044053201300", "DE893704004405320130000", "DE88370400440532013000 Thanks", "ZZ89370400440532013000"]
+    frame = spark.createDataFrame(list(enumerate(texts + wrong)), "doc_id long, text string")
+    got = {r.doc_id: [(s.start, s.value) for s in r.pii if s.kind == "iban"] for r in pii.find_pii(frame).collect()}
+    for i, text in enumerate(texts):
+        value = compact if compact in text else spaced
+        want = [(text.index(value), value)]
+        if "GB82" in text:
+            want.append((text.index("GB82"), "GB82 WEST 1234 5698 7654 32"))
+        assert got[i] == want, text
+    assert not any(got[len(texts) + i] for i in range(len(wrong)))
+    cleaned = {r.doc_id: r.text for r in pii.redact(frame).collect()}
+    assert cleaned[1] == "my iban [IBAN] Thanks"
+
+
 def test_redact(spark):
     docs = awkward(spark, "pii doc cleaned kind").union(
         spark.createDataFrame(
