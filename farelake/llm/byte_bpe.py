@@ -2,7 +2,8 @@
 
 The file is one of the `tokenizers` library. Its vocabulary is handed to `tiktoken`, which does the
 same merges several times faster; when a task opens the file, both libraries are compared on a probe
-and, should they differ, `tokenizers` itself is used.
+and, should they differ, `tokenizers` itself is used. Texts that contain an added token of the file, as
+`<|endoftext|>`, always go through `tokenizers` as a whole, so their ids are its own.
 
 A text without double spaces falls apart before each space: the pretokens of this family never span
 a space that follows a character, so each part is encoded once and remembered. Other texts are
@@ -58,9 +59,8 @@ class ByteBpe:
             if all(c in spelled for c in token)
         }
         self.slow = Tokenizer.from_file(path)
-        self.slow.encode_special_tokens = True
-        special = {t.content for t in self.slow.get_added_tokens_decoder().values()}
-        ranks = {token: n for token, n in ranks.items() if token.decode("utf-8", "replace") not in special}
+        self.added = sorted(t.content for t in self.slow.get_added_tokens_decoder().values())
+        ranks = {token: n for token, n in ranks.items() if token.decode("utf-8", "replace") not in self.added}
         fast = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.ordinary = fast.encode_ordinary
         if self.ordinary(PROBE) != self.slow_ids(PROBE):
@@ -75,6 +75,8 @@ class ByteBpe:
 
     def encode(self, text: str) -> bytes:
         """Ids of a text as little-endian unsigned 32-bit bytes."""
+        if any(token in text for token in self.added):
+            return np.array(self.slow_ids(text), dtype="<u4").tobytes()
         if "  " in text:
             return self.packed(text)
         if len(self.parts) > REMEMBERED:

@@ -14,8 +14,11 @@ from farelake.llm.common import table
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from samples import awkward, empty
+from tokenizers import Tokenizer
 
 PATH = str(public_tokenizers.path("byte_bpe_50k.json"))
+#: Freshly opened, with nothing set.
+LIBRARY = Tokenizer.from_file(PATH)
 
 
 @pytest.fixture(scope="module")
@@ -29,6 +32,19 @@ def test_ids(bpe, text):
     assert np.frombuffer(bpe.encode(text), dtype="<u4").tolist() == bpe.slow_ids(text)
 
 
+MARKED = st.lists(st.sampled_from(["<|endoftext|>", "<|endoftext", "|>", " ", "  ", "\n", "a", "it's", "é"]), max_size=12)
+
+
+@settings(max_examples=300, deadline=None)
+@given(MARKED.map("".join))
+def test_ids_of_texts_with_added_tokens(bpe, text):
+    assert np.frombuffer(bpe.encode(text), dtype="<u4").tolist() == LIBRARY.encode(text, add_special_tokens=False).ids
+
+
+def test_added_token_is_one_id(bpe):
+    assert np.frombuffer(bpe.encode("a <|endoftext|> b"), dtype="<u4").tolist() == [64, 220, 50256, 275]
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(1, 64), max_size=300))
 def test_plan(lengths):
