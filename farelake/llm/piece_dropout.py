@@ -1,20 +1,21 @@
 """SentencePiece BPE encoding with seeded merge-dropout, and decoding.
 
 A text is spelled with the space mark of the model and merged pair by pair, best score first, from an
-agenda. Each candidate merge that comes up is skipped if a hash keyed with the seed, the variant, the
-stretch, the place and the piece falls below the dropout rate. A skipped candidate comes up again only
-if a neighbour changes, so the pieces stay those that merges can give. Without dropout the ids are
-those of the library.
+agenda. Each candidate merge that comes up draws once and is skipped with the dropout rate. A skipped
+candidate comes up again only if a neighbour changes, so the pieces stay those that merges can give.
+Without dropout the ids are those of the library.
 
-No piece of such a model has a space mark after another character, so merges never leave a stretch
-of marks and what follows them; equal stretches of one variant are merged once and remembered. The
-variant of a document is a hash of its doc_id, so repeated words differ between documents.
+The draws of a document are one stream, keyed with the seed and its doc_id, that its stretches use up in
+order of place: a word is segmented anew wherever it stands. No piece of such a model has a space mark
+after another character, so merges never leave a stretch of marks and what follows them. What is
+remembered has no draws in it: where a stretch can be cut, how many draws it takes, and what it becomes
+once the skipped draws are known (`Parts`).
 
 Characters without a piece become bytes, and so does the space mark itself if a text has it: every
 text decodes to itself.
 
-Cases: null text gives null ids, empty text no ids; rows that occur twice are encoded alike; a null
-doc_id has variant 0; an empty table gives an empty result; other columns are ignored; texts of any
+Cases: null text gives null ids, empty text no ids; rows that occur twice are encoded alike; with a null
+doc_id the text itself keys the stream; an empty table gives an empty result; other columns are ignored; texts of any
 length are encoded whole.
 """
 
@@ -23,7 +24,9 @@ from __future__ import annotations
 import heapq
 import re
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 from functools import lru_cache
+from itertools import count, repeat
 
 import numpy as np
 import pandas as pd
@@ -36,8 +39,12 @@ from farelake.llm.common import keyed, rekeyed
 
 MARK = "▁"
 STRETCH = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
-#: Stretches remembered by a task at most; then it starts anew.
-REMEMBERED = 400_000
+#: Stretches, and outcomes of their parts, remembered by a task at most; then it starts anew.
+REMEMBERED = 200_000
+#: Longer parts are merged on a heap and not remembered.
+SHORT = 48
+#: Skips whose places are drawn at once.
+DRAWN = 64
 #: Stands for a space mark that the text itself has; no text that Spark holds has a lone surrogate.
 OWN_MARK = "\udc81"
 
@@ -72,23 +79,23 @@ class Pieces:
             return [stretch]
         return [stretch[i:j] for i, j in zip([0, *cuts], [*cuts, len(stretch)])]
 
-    def merge(self, stretch: str, rate: float, seed: int, variant: int) -> list[int]:
-        """Ids of a stretch."""
-        named = f"{seed}/{variant}/{stretch}".encode("utf-8", "surrogatepass")
-        key, bar, number = xxhash.xxh64_intdigest(named), int(rate * (1 << 64)), self.number
+    def merge(self, part: str, skips: Callable[[int], bool]) -> tuple[int, bytes]:
+        """The number of draws that a part takes if those of the numbers `skips` skip, and its ids."""
+        drawn = 0
 
         def skipped(place: int, piece: str) -> bool:
-            mixed = (key ^ (number[piece] * 0x9E3779B97F4A7C15 + place * 0xC2B2AE3D27D4EB4F)) * 0xD6E8FEB86659FD93
-            return (mixed & 0xFFFFFFFFFFFFFFFF) < bar
+            nonlocal drawn
+            drawn += 1
+            return skips(drawn - 1)
 
-        made = self.merge_short(stretch, skipped) if len(stretch) <= 48 else self.merge_long(stretch, skipped)
+        made = self.merge_short(part, skipped) if len(part) <= SHORT else self.merge_long(part, skipped)
         ids = []
         for symbol in made:
             if symbol in self.number:
                 ids.append(self.number[symbol])
             else:
                 ids.extend(self.byte[b] for b in symbol.replace(OWN_MARK, MARK).encode())
-        return ids
+        return drawn, np.array(ids, dtype=np.int32).tobytes()
 
     def merge_short(self, stretch: str, skipped: Callable[[int, str], bool]) -> list[str]:
         """The agenda as a plain list of the scores of neighbours; the leftmost of equal ones is first."""
@@ -150,43 +157,106 @@ class Pieces:
         return text[1:]
 
 
-class Stretches(dict):
-    """Ids of stretches after a single mark, as bytes, for one variant."""
-
-    def __init__(self, pieces: Pieces, rate: float, seed: int, variant: int):
-        self.args = pieces, rate, seed, variant
-        #: Ids of parts of stretches.
-        self.known: dict[str, bytes] = {}
-
-    def whole(self, stretch: str) -> bytes:
-        pieces, rate, seed, variant = self.args
-        out = []
-        for part in pieces.parts(stretch):
-            ids = self.known.get(part)
-            if ids is None:
-                ids = np.array(pieces.merge(part, rate, seed, variant), dtype=np.int32).tobytes()
-                self.known[part] = ids
-            out.append(ids)
-        return b"".join(out)
-
-    def __missing__(self, part: str) -> bytes:
+class Parts(dict):
+    """Per part and places of its skips among its draws: the number of draws and the ids."""
+
+    def __init__(self, pieces: Pieces):
+        self.pieces = pieces
+
+    def __missing__(self, key: tuple[str, tuple[int, ...]]) -> tuple[int, bytes]:
         if len(self) > REMEMBERED:
             self.clear()
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        ids = self[part] = self.whole(MARK + part)
-        return ids
+        part, skips = key
+        outcome = self[key] = self.pieces.merge(part, skips.__contains__)
+        return outcome
+
+
+class Stretches(dict):
+    """Per stretch after a single mark: draws and ids without a skip, and the parts."""
+
+    def __init__(self, pieces: Pieces):
+        self.pieces, self.parts = pieces, Parts(pieces)
+
+    def whole(self, stretch: str) -> tuple[int, bytes, list[str]]:
+        parts = self.pieces.parts(stretch)
+        plain = [self.parts[part, ()] if len(part) <= SHORT else self.pieces.merge(part, ().__contains__) for part in parts]
+        return sum(n for n, _ in plain), b"".join(ids for _, ids in plain), parts
 
-    def encode(self, text: str) -> np.ndarray:
+    def __missing__(self, part: str) -> tuple[int, bytes, list[str]]:
+        if len(self) > REMEMBERED:
+            self.clear()
+        found = self[part] = self.whole(MARK + part)
+        return found
+
+
+def skip_places(rate: float, key: str) -> Iterator[int]:
+    """The places of the skips in the stream of draws of a key, ascending and without end."""
+    if rate <= 0:
+        yield from repeat(1 << 62)
+    if rate >= 1:
+        yield from count()
+    stream, last = np.random.PCG64(xxhash.xxh64_intdigest(key.encode("utf-8", "surrogatepass"))), -1
+    while True:
+        # Gaps between skips are geometric.
+        uniform = ((stream.random_raw(DRAWN) >> np.uint64(11)) + 0.5) / (1 << 53)
+        places = last + np.cumsum(np.floor(np.log(uniform) / np.log1p(-rate)).astype(np.int64) + 1)
+        last = int(places[-1])
+        yield from places.tolist()
+
+
+@dataclass(frozen=True)
+class Encoder:
+    """Encodes texts under a rate and a seed."""
+
+    stretches: Stretches
+    rate: float
+    seed: int
+    variant: int
+
+    def encode(self, text: str, name: str | None = None) -> np.ndarray:
+        """Ids of a text; the draws are keyed with the name, or else with the variant."""
         if not text:
             return np.zeros(0, dtype=np.int32)
         text = text.replace(MARK, OWN_MARK)
+        known = self.stretches
         if text[0] == " " or "  " in text or text[-1] == " ":
             spelled = STRETCH.findall(MARK + text.replace(" ", MARK))
-            ids = b"".join(self[s[1:]] if s[1:2] != MARK else self.whole(s) for s in spelled)
+            found = (known[s[1:]] if s[1:2] != MARK else known.whole(s) for s in spelled)
         else:
-            ids = b"".join(map(self.__getitem__, text.split(" ")))
-        return np.frombuffer(ids, dtype=np.int32)
+            found = map(known.__getitem__, text.split(" "))
+        places = skip_places(self.rate, f"{self.seed}/{self.variant if name is None else name}")
+        at, skip, out = 0, next(places), []
+        for draws, ids, parts in found:
+            if at + draws <= skip:
+                at += draws
+                out.append(ids)
+                continue
+            for part in parts:
+                if len(part) > SHORT:
+                    at, skip, ids = self.long(part, at, skip, places)
+                else:
+                    skips: tuple[int, ...] = ()
+                    draws, ids = known.parts[part, skips]
+                    while skip < at + draws:
+                        skips = (*skips, skip - at)
+                        skip = next(places)
+                        draws, ids = known.parts[part, skips]
+                    at += draws
+                out.append(ids)
+        return np.frombuffer(b"".join(out), dtype=np.int32)
+
+    def long(self, part: str, at: int, skip: int, places: Iterator[int]) -> tuple[int, int, bytes]:
+        """Merge a long part under the draws from `at` on: the draw after it, the next skip, and its ids."""
+
+        def skips(number: int) -> bool:
+            nonlocal skip
+            if at + number < skip:
+                return False
+            skip = next(places)
+            return True
+
+        draws, ids = self.stretches.pieces.merge(part, skips)
+        return at + draws, skip, ids
 
 
 @lru_cache(maxsize=2)
@@ -194,23 +264,37 @@ def open_model(path: str) -> Pieces:
     return Pieces(path)
 
 
+@lru_cache(maxsize=2)
+def stretches(path: str) -> Stretches:
+    return Stretches(open_model(path))
+
+
 @lru_cache(maxsize=16)
-def remembered(path: str, rate: float, seed: int, variant: int) -> Stretches:
-    return Stretches(open_model(path), rate, seed, variant)
+def remembered(path: str, rate: float, seed: int, variant: int = 0) -> Encoder:
+    return Encoder(stretches(path), rate, seed, variant)
 
 
-def encode(docs: DataFrame, model: str, rate: float = 0.1, seed: int = 1, variants: int = 1, check: bool = False) -> DataFrame:
-    """doc_id and `ids`, segmented anew for every seed and in `variants` ways for one.
+def encode(
+    docs: DataFrame, model: str, rate: float = 0.1, seed: int = 1, variants: int | None = None, check: bool = False
+) -> DataFrame:
+    """doc_id and `ids`, segmented anew for every seed and document.
 
-    `check` adds `lossless`: whether the ids decode to the text.
+    With `variants`, the documents share that many streams of draws instead of having one each. `check`
+    adds `lossless`: whether the ids decode to the text.
     """
 
+    def stream(doc_id: str | None, text: str) -> str:
+        if variants is None:
+            return f"text/{text}" if doc_id is None else f"doc/{doc_id}"
+        return str(0 if doc_id is None else xxhash.xxh64_intdigest(f"{seed}/{doc_id}") % variants)
+
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        encoder = remembered(model, rate, seed)
         for frame in frames:
-            ids = []
-            for doc_id, text in zip(frame["doc_id"], frame["text"]):
-                variant = 0 if doc_id is None else xxhash.xxh64_intdigest(f"{seed}/{doc_id}") % variants
-                ids.append(None if text is None else remembered(model, rate, seed, variant).encode(text))
+            ids = [
+                None if text is None else encoder.encode(text, stream(doc_id, text))
+                for doc_id, text in zip(frame["doc_id"], frame["text"])
+            ]
             out = pd.DataFrame({"doc_id": frame["doc_id"], "ids": ids})
             if check:
                 decoded = [None if i is None else open_model(model).decode(i) for i in ids]

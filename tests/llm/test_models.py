@@ -56,6 +56,53 @@ def test_dropout_varies_by_seed_and_not_by_run():
     assert len(encoder(1.0).encode("the")) == 4
 
 
+def test_words_vary_within_and_between_documents(spark):
+    text = "intention ordering whatever " * 40 + "intention"
+    rows = [(1, text), (2, text), (2, text), (None, text), (None, text[10:])]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    encoded = piece_dropout.encode(frame, MODEL, rate=0.1, seed=1, check=True).collect()
+    assert all(r.lossless for r in encoded)
+    by_id = {}
+    for row in encoded:
+        by_id.setdefault(row.doc_id, set()).add(tuple(row.ids))
+    assert len(by_id[1]) == len(by_id[2]) == 1 and by_id[1] != by_id[2] and len(by_id[None]) == 2
+    pieces = piece_dropout.open_model(MODEL)
+    words = b"|".join(pieces.surface[i] for i in next(iter(by_id[1]))).decode().split("| ")
+    spellings = {w for w in words if w.replace("|", "") == "ordering"}
+    assert len(spellings) > 3
+
+
+def test_a_tenth_of_the_draws_skips():
+    # A part of two characters draws once.
+    ids = encoder(0.1).encode(" ".join("a" for _ in range(40_000)), "x").tolist()
+    whole = LIBRARY.encode("a")
+    assert len(whole) == 1 and abs(ids.count(whole[0]) / 40_000 - 0.9) < 0.01
+
+
+@settings(max_examples=100, deadline=None)
+@given(TEXT, st.sampled_from([0.1, 0.5, 1.0]), st.integers(0, 3))
+def test_remembered_outcomes_are_those_of_merging(text, rate, seed):
+    made = encoder(rate, seed).encode(text, "x").tolist()
+    pieces = piece_dropout.open_model(MODEL)
+    places = piece_dropout.skip_places(rate, f"{seed}/x")
+    at, skip, plain = 0, next(places), []
+
+    def skips(number):
+        nonlocal skip
+        if at + number < skip:
+            return False
+        skip = next(places)
+        return True
+
+    spelled = piece_dropout.MARK + text.replace(piece_dropout.MARK, piece_dropout.OWN_MARK).replace(" ", piece_dropout.MARK)
+    for stretch in piece_dropout.STRETCH.findall(spelled) if text else ():
+        for part in pieces.parts(stretch):
+            draws, ids = pieces.merge(part, skips)
+            at += draws
+            plain += np.frombuffer(ids, dtype=np.int32).tolist()
+    assert made == plain
+
+
 def test_encode_documents(spark):
     docs = awkward(spark, "ids lossless").union(
         table(spark, SMALL, "documents").selectExpr("doc_id + 100", "text", "lang", "source", "n_chars", "''", "''")
