@@ -60,19 +60,69 @@ SENTENCES = {
     "cc-by-nd-notice": "licensed under cc by-nd 4.0",
     "cc0-notice": "to the extent possible under law the author has waived all copyright and related or neighboring rights to this work",
     "unlicense-free": "this is free and unencumbered software released into the public domain",
+    "bsd-third": "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission",
+    "bsd-advert": "all advertising materials mentioning features or use of this software must display the following acknowledgement",
+    "isc-grant-and": "permission to use copy modify and distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies",
+    "0bsd-grant": "permission to use copy modify and/or distribute this software for any purpose with or without fee is hereby granted",
+    "zlib-asis": "this software is provided as-is without any express or implied warranty",
+    "zlib-grant": "permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely subject to the following restrictions",
+    "zlib-origin": "the origin of this software must not be misrepresented",
+    "bsl-title": "boost software license version 1.0 august 17th 2003",
+    "bsl-notice": "distributed under the boost software license version 1.0",
+    "bsl-grant": "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation covered by this license the software to use reproduce display distribute execute and transmit the software and to prepare derivative works of the software and to permit third-parties to whom the software is furnished to do so all subject to the following",
+    "epl2-title": "eclipse public license v 2.0",
+    "epl1-title": "eclipse public license v 1.0",
+    "epl2-notice": "this program and the accompanying materials are made available under the terms of the eclipse public license 2.0 which is available at https www.eclipse.org/legal/epl-2.0",
+    "apache-title": "apache license",
+    "apache-date": "version 2.0 january 2004",
+    "mpl2-title": "mozilla public license version 2.0",
+    "cc0-title": "cc0 1.0 universal",
+    "artistic2-title": "the artistic license 2.0",
+    "wtfpl-title": "do what the fuck you want to public license",
+    "gpl-apply": "how to apply these terms to your new programs",
+    "lgpl-apply": "how to apply these terms to your new libraries",
 }
 
+#: The GNU licences: identifier, name in their notices, and the versions with the date below the title.
+GNU = [
+    ("GPL", "gnu general public license", {"2": "version 2 june 1991", "3": "version 3 29 june 2007"}),
+    ("LGPL", "gnu lesser general public license", {"2.1": "version 2.1 february 1999", "3": "version 3 29 june 2007"}),
+    ("LGPL", "gnu library general public license", {"2": "version 2 june 1991"}),
+    ("AGPL", "gnu affero general public license", {"3": "version 3 19 november 2007"}),
+]
+TERMS = "{} it and/or modify it under the terms of the {} as published by the free software foundation"
+LATER = "either version {} of the license or at your option any later version"
+#: Both halves of a notice, for a semicolon between them, and the halves joined, for a comma.
+for _, _name, _versions in GNU:
+    _key = _name.split()[1]
+    SENTENCES[f"{_key}-title"] = _name
+    SENTENCES[f"{_key}-terms"] = TERMS.format("you can redistribute", _name)
+    for _v, _date in _versions.items():
+        SENTENCES |= {_date.replace(" ", "-"): _date, f"later-{_v}": LATER.format(_v)}
+        SENTENCES |= {f"only-{_v}": f"version {_v} of the license", f"plain-{_v}": f"version {_v}"}
+        for _kind, _half in (("later", LATER.format(_v)), ("only", f"version {_v} of the license"), ("plain", f"version {_v}")):
+            if (_whole := f"{SENTENCES[f'{_key}-terms']} {_half}") not in SENTENCES.values():
+                SENTENCES[f"{_key}-{_kind}-{_v}"] = _whole
+
+ENDORSE = "be used to endorse or promote products derived from this software without specific prior written permission"
 #: Known sentences with a blank.
 PATTERNS = {
+    "gpl-free": r"(?:\S+ ){1,8}is free software",
+    "gpl-hope": r"(?:\S+ ){1,8}is distributed in the hope that it will be useful but without any warranty",
+    # A name as "Inc." ends a sentence, so the first half may be missing.
+    "bsd-third": rf"(?:neither (?:the )?names? of (?:\S+ ){{1,20}}?)?nor (?:the )?names? of (?:\S+ ){{1,12}}?may {ENDORSE}"
+    rf"|(?:the )?names? of (?:\S+ ){{1,20}}?may not {ENDORSE}",
     "copyright": r"(?:copyright|\(c\)|©)(?: \(c\)| ©)? (?:\S+ ){0,12}\S+",
     "rights": r"all rights reserved",
     "spdx": r"spdx-license-identifier \S+",
 }
 
-#: Licence and the identifiers that show it, in order of precedence.
-RULES = [
+#: Licence (or none) and the identifiers that show it, in order of precedence.
+RULES: list[tuple[str | None, tuple[str, ...]]] = [
     ("Apache-2.0", ("apache-notice-the", "apache-comply", "apache-copy", "apache-asis", "apache-see")),
     ("MIT", ("mit-grant", "mit-keep", "mit-asis")),
+    ("BSD-4-Clause", ("bsd-grant", "bsd-source", "bsd-binary", "bsd-advert", "bsd-third")),
+    ("BSD-3-Clause", ("bsd-grant", "bsd-source", "bsd-binary", "bsd-third")),
     ("BSD-2-Clause", ("bsd-grant", "bsd-source", "bsd-binary")),
     ("GPL-3.0-or-later", ("gpl-free", "gpl3-later", "gpl-hope", "gpl-see")),
     ("GPL-2.0-or-later", ("gpl-free", "gpl2-later", "gpl-hope", "gpl-see")),
@@ -96,16 +146,62 @@ RULES = [
     ("CC-BY-ND-4.0", ("cc-by-nd-notice",)),
     ("CC0-1.0", ("cc0-notice",)),
     ("Unlicense", ("unlicense-free",)),
+    ("ISC", ("isc-grant-and",)),
+    ("0BSD", ("0bsd-grant",)),
+    ("Zlib", ("zlib-asis", "zlib-grant", "zlib-origin")),
+    ("Zlib", ("zlib-grant", "zlib-origin")),
+    ("BSL-1.0", ("bsl-title", "bsl-grant")),
+    ("BSL-1.0", ("bsl-grant",)),
+    ("BSL-1.0", ("bsl-notice",)),
+    ("BSL-1.0", ("bsl-title",)),
+    ("EPL-2.0", ("epl2-notice",)),
+    ("EPL-2.0", ("epl2-title",)),
+    ("EPL-1.0", ("epl1-title",)),
+    ("Apache-2.0", ("apache-title", "apache-date")),
+    ("MPL-2.0", ("mpl2-title",)),
+    ("CC0-1.0", ("cc0-title",)),
+    ("Artistic-2.0", ("artistic2-title",)),
+    ("WTFPL", ("wtfpl-title",)),
 ]
+KNOWN = {sentence: name for name, sentence in SENTENCES.items()}
+
+
+def gnu_rules() -> list[tuple[str | None, tuple[str, ...]]]:
+    """Notices of the GNU licences, with and without their first and last sentences, and titles of full texts.
+
+    The sample notice at the end of a full text shows no licence.
+    """
+    rules = []
+    for licence, name, versions in GNU:
+        key = name.split()[1]
+        see = {"general": "gpl-see", "lesser": "lgpl-see"}.get(key, "gpl-see")
+        for version, date in versions.items():
+            number = version if "." in version else f"{version}.0"
+            terms = SENTENCES[f"{key}-terms"]
+            for half, suffix in ((LATER.format(version), "or-later"), (f"version {version} of the license", "only"), (f"version {version}", "only")):
+                for body in ((KNOWN[f"{terms} {half}"],), (f"{key}-terms", KNOWN[half])):
+                    rules += [(None, (apply, "gpl-free", *body)) for apply in ("gpl-apply", "lgpl-apply")]
+                    for rule in (("gpl-free", *body, "gpl-hope", see), ("gpl-free", *body), body):
+                        rules.append((f"{licence}-{number}-{suffix}", rule))
+            rules.append((f"{licence}-{number}-only", (f"{key}-title", KNOWN[date])))
+    return sorted(rules, key=lambda rule: -len(rule[1]))
+
+
+SAMPLES = [rule for rule in gnu_rules() if rule[0] is None]
+RULES = SAMPLES + RULES + [rule for rule in gnu_rules() if rule[0] and rule not in RULES]
 GAP = 3
 
-CUE = re.compile(r"licen[sc]e|copyright|permission|redistribut|warrant|public domain|unencumbered|\(c\)|©|free software|subject to the terms", re.I)
-SENTENCE_END = re.compile(r"(?<=[.;:!?])(?<!identifier:)\s+", re.I)
+#: Every known sentence and pattern has one of these words; words, as a line may end between two of them.
+CUE = re.compile(
+    r"licen[sc]e|copyright|permission|redistribut|warrant|domain|unencumbered|\(c\)|©|software|reserved|contributors"
+    r"|universal|version|how to apply|advertising|subject",
+    re.I,
+)
+SENTENCE_END = re.compile(r"(?<=[.;:!?])(?<!identifier:)(?<!\bv\.)\s+", re.I)
 LINE = re.compile(r"[^\n]+")
 PARAGRAPH = re.compile(r"[^\n]+(?:\n[^\n\S]*[^\n\s][^\n]*)*")
 COMMENT = re.compile(r"^\s*(?:/\*+|\*+/?|//+|#+|;+|--+|%+|<!--|dnl\b|rem\b)\s?", re.I | re.M)
 DROPPED = re.compile(r"[^\w\s./()©-]+|(?<!\w)[./-]+|[./-]+(?!\w)|[()](?<!\(c\))(?!c\))")
-KNOWN = {sentence: name for name, sentence in SENTENCES.items()}
 BLANKS = [(name, re.compile(pattern)) for name, pattern in PATTERNS.items()]
 
 
@@ -175,7 +271,8 @@ def match(names: list[str]) -> list[tuple[int, int, str]]:
             if free[at] and name == rule[0] and (places := follow(rule, at)):
                 for i in places:
                     free[i] = False
-                taken.append((places[0], places[-1], licence))
+                if licence:
+                    taken.append((places[0], places[-1], licence))
     for at, name in enumerate(names):
         if name.startswith("spdx:"):
             taken.append((at, at, name[5:]))

@@ -164,6 +164,90 @@ def test_licences(spark):
     assert licences.scan(empty(spark)).count() == 0
 
 
+BSD = """Copyright (c) {holder}
+All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+THIRD = """
+3. Neither the name of {holder} nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+NOTICE = """
+# This {what} is free software; you can redistribute it and/or modify
+# it under the terms of the GNU {kind} Public License as published by
+# the Free Software Foundation{mark} either version {version} of the License, or
+# (at your option) any later version.
+#
+# This {what} is distributed in the hope that it will be useful,
+# but WITHOUT ANY WARRANTY; without even the implied warranty of
+# MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+# GNU {kind} Public License for more details.
+"""
+ZLIB = """
+This software is provided 'as-is', without any express or implied warranty. In no event will the
+authors be held liable for any damages arising from the use of this software.
+
+Permission is granted to anyone to use this software for any purpose, including commercial applications,
+and to alter it and redistribute it freely, subject to the following restrictions:
+
+1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software.
+"""
+BOOST = """
+Boost Software License - Version 1.0 - August 17th, 2003
+
+Permission is hereby granted, free of charge, to any person or organization
+obtaining a copy of the software and accompanying documentation covered by
+this license (the "Software") to use, reproduce, display, distribute,
+execute, and transmit the Software, and to prepare derivative works of the
+Software, and to permit third-parties to whom the Software is furnished to
+do so, all subject to the following:
+"""
+
+
+def licences_of(text):
+    return [name for _, _, name in licences.match([found[2] for found in licences.sentences(text)])]
+
+
+def test_official_wordings():
+    for holder in ("the copyright holder", "Some Body, Inc."):
+        assert licences_of((BSD + THIRD).format(holder=holder)) == ["BSD-3-Clause"]
+    assert licences_of(BSD.format(holder="X")) == ["BSD-2-Clause"]
+    for kind, licence, version in (
+        ("General", "GPL", "2"),
+        ("General", "GPL", "3"),
+        ("Lesser General", "LGPL", "2.1"),
+        ("Lesser General", "LGPL", "3"),
+        ("Affero General", "AGPL", "3"),
+    ):
+        for mark in ";,":
+            text = NOTICE.format(what="library", kind=kind, version=version, mark=mark)
+            assert licences_of(text) == [f"{licence}-{version if '.' in version else version + '.0'}-or-later"]
+    assert licences_of(ZLIB) == ["Zlib"] and licences_of(BOOST) == ["BSL-1.0"]
+    assert licences_of("Eclipse Public License - v 2.0\n\nTHE ACCOMPANYING PROGRAM") == ["EPL-2.0"]
+    mpl = "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy of the MPL was not"
+    assert licences_of(mpl) == ["MPL-2.0"]
+    title = "GNU GENERAL PUBLIC LICENSE\n  Version 2, June 1991\n\nHow to Apply These Terms to Your New Programs\n"
+    assert licences_of(title + NOTICE.format(what="program", kind="General", version="2", mark=";")) == ["GPL-2.0-only"]
+
+
+def test_every_known_sentence_is_found_alone():
+    for name, sentence in licences.SENTENCES.items():
+        assert [found[2] for found in licences.sentences(sentence)] == [name]
+    for text in ("All rights reserved.", "all rights\n * reserved", "(c) 2020 X", "SPDX-License-Identifier: MIT"):
+        assert licences.CUE.search(text)
+    assert [found[2] for found in licences.sentences("Prose.\nAll rights reserved.")] == ["rights"]
+
+
 def test_rules_are_ordered():
     names = ["copyright", "mit-grant", "rights", "mit-keep", "mit-asis", "mit-grant", "spdx:ISC"]
     assert licences.match(names) == [(1, 4, "MIT"), (5, 5, "MIT"), (6, 6, "ISC")]
