@@ -14,6 +14,7 @@ from farelake.llm import (
     licences,
     minhash,
     packing,
+    periodic_runs,
     piece_dropout,
     pii,
     quality_rules,
@@ -104,6 +105,11 @@ def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
     return pii.digest(pii.find_pii(table(spark, folder, "documents")))
 
 
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    docs = periodic_runs.planted(table(spark, folder, "documents"))
+    return periodic_runs.digest(periodic_runs.periodic_runs(docs, least=6, exponent=4))
+
+
 QUERIES: dict[str, Query] = {
     "op1_piece_dropout": op1_piece_dropout,
     "op2_licences": op2_licences,
@@ -115,4 +121,5 @@ QUERIES: dict[str, Query] = {
     "op8_substrings": op8_substrings,
     "op9_language_id": op9_language_id,
     "op10_pii": op10_pii,
+    "op11_periodic_runs": op11_periodic_runs,
 }

@@ -20,6 +20,7 @@ COLUMNS = {
     "op8_substrings": "doc_id n_words n_removed kept_sha256",
     "op9_language_id": "doc_id held_out lang_pred score",
     "op10_pii": "doc_id n_email n_ip n_card n_phone base_sha256 spans",
+    "op11_periodic_runs": "doc_id n_runs start length period exponent_milli runs_sha256 collapsed_sha256",
 }
 
 
