@@ -1,8 +1,8 @@
 """The operators' results in plain SQL, where SQL can express them.
 
 Not here: the encoders and packing (token ids are no SQL), the language, compression and licence
-models, and the spans of personal data, whose patterns look around. Those are tested against brute
-force, round trips or held-out accuracy.
+models, the spans of personal data, whose patterns look around, and periodic runs, whose periods are
+compared at every distance. Those are tested against brute force, round trips or held-out accuracy.
 """
 
 from __future__ import annotations
@@ -164,9 +164,61 @@ def _quality() -> str:
     """
 
 
+def terms(text: str) -> str:
+    lowered = f"translate(coalesce({text}, ''), '{LETTERS}', '{LETTERS.lower()}')"
+    return rf"list_filter(string_split_regex({lowered}, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"
+
+
+DECONTAMINATION = f"""
+WITH d AS (SELECT doc_id, {terms("text")} AS w FROM documents),
+i AS (SELECT CAST(item_id AS VARCHAR) AS item, {terms("text")} AS w FROM benchmark WHERE item_id IS NOT NULL),
+wanted AS (
+    SELECT DISTINCT item, w[k:k + 9] AS win FROM i, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS t(k)
+    WHERE len(w) > 0
+),
+sizes AS (SELECT DISTINCT len(win) AS s FROM wanted),
+there AS (
+    SELECT doc_id, k, s, w[k:k + s - 1] AS win FROM d, sizes, unnest(range(1, len(w) - s + 2)) AS t(k)
+),
+hits AS (SELECT doc_id, k, s, item FROM there JOIN wanted USING (win)),
+covered AS (
+    SELECT doc_id, count(DISTINCT p) AS n_hit FROM hits, unnest(range(k, k + s)) AS t(p) GROUP BY doc_id
+),
+named AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names
+    FROM (SELECT DISTINCT doc_id, item FROM hits) GROUP BY doc_id
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+    sha256(coalesce(names, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
+
+RANKED_SEARCH = f"""
+WITH d AS (SELECT doc_id, {terms("text")} AS w FROM documents),
+lengths AS (SELECT doc_id, len(w) AS n FROM d WHERE len(w) > 0),
+totals AS (SELECT count(*) AS all_docs, CAST(sum(n) AS BIGINT) AS all_terms FROM lengths),
+held AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(w) AS term FROM d) GROUP BY ALL),
+spread AS (SELECT term, count(*) AS df FROM held GROUP BY term),
+asked AS (SELECT DISTINCT item_id, unnest({terms("text")}) AS term FROM benchmark WHERE item_id IS NOT NULL),
+scored AS (
+    SELECT item_id, doc_id, CAST(sum(
+        CAST(floor(1000 * ln((2 * all_docs + 2) / (2 * df + 1))) AS BIGINT)
+        * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * all_docs) // all_terms)))
+    ) AS BIGINT) AS score
+    FROM asked JOIN held USING (term) JOIN spread USING (term) JOIN lengths USING (doc_id) CROSS JOIN totals
+    GROUP BY item_id, doc_id
+)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank,
+    doc_id, score
+FROM scored WHERE score > 0
+QUALIFY rank <= 50
+"""
+
 ORACLES: dict[str, str] = {
     "op3_minhash": MINHASH,
     "op4_vectors": VECTORS,
     "op5_quality_rules": _quality(),
     "op8_substrings": SUBSTRINGS,
+    "op12_decontamination": DECONTAMINATION,
+    "op13_ranked_search": RANKED_SEARCH,
 }

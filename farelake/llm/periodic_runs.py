@@ -39,6 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from farelake.llm.common import keyed, let, rekeyed, shipped, tidy, words
+from farelake.llm.suffixes import suffix_order
 
 RUNS = "array<struct<start: bigint, length: bigint, period: bigint>>"
 FOUND = f"doc_id string, n_words bigint, runs {RUNS}, collapsed string"
@@ -59,48 +60,6 @@ def numbered(texts: list[list[bytes]]) -> np.ndarray:
     return np.concatenate(parts)
 
 
-def heads(changes: np.ndarray) -> np.ndarray:
-    """For every place the last place at or before it where `changes` is set."""
-    return np.maximum.accumulate(np.where(changes, np.arange(len(changes)), 0))
-
-
-def sorted_repeats(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Suffixes that share three words with another, sorted, and whether each shares them with the one before.
-
-    Suffixes of equal first words are contiguous, to any depth.
-    """
-    n = len(ids)
-    padded = np.concatenate([ids, np.full(2, ids[-1])])
-    # Three numbers of 21 bits; a batch of more words than that is ranked by pairs first.
-    if ids[-1] >= 1 << 21:
-        pair = (padded[:-1] << 32) | padded[1:]
-        _, ranks = np.unique(pair, return_inverse=True)
-        key = (ranks[:n] << 31) | padded[2:]
-    else:
-        key = (padded[:n] << 42) | (padded[1 : n + 1] << 21) | padded[2:]
-    order = np.argsort(key, kind="stable")
-    key = key[order]
-    new = np.concatenate([[True], key[1:] != key[:-1]])
-    first = heads(new)
-    rank = np.full(n + 1, -1, dtype=np.int64)
-    rank[order] = first
-    alone = new & np.concatenate([new[1:], [True]])
-    kept = np.flatnonzero(~alone)
-    follows = ~new[kept]
-    places, depth = kept, 3
-    while len(places):
-        at = order[places]
-        key = (rank[at] << 32) | (rank[np.minimum(at + depth, n)] + 1)
-        by = np.argsort(key, kind="stable")
-        key, at = key[by], at[by]
-        order[places] = at
-        new = np.concatenate([[True], key[1:] != key[:-1]])
-        rank[at] = places[heads(new)]
-        alone = new & np.concatenate([new[1:], [True]])
-        places, depth = places[~alone], depth * 2
-    return order[kept], follows
-
-
 def common_prefixes(ids: list[int], order: list[int], follows: list[bool]) -> list[int]:
     """Words that each sorted suffix shares with the one before it; 0 where that is fewer than three."""
     before = {at: order[i - 1] for i, at in enumerate(order) if follows[i]}
@@ -200,11 +159,13 @@ def runs_of(texts: list[list[bytes]], least: int = 6, exponent: int = 4) -> list
     if starts[-1] == 0:
         return out
     ids = numbered(texts)
-    order, follows = sorted_repeats(ids)
+    order, differs = suffix_order(ids)
+    # Suffixes that share no three words with another one are left out.
+    kept = ~(differs & np.concatenate([differs[1:], [True]]))
+    order, plain = order[kept], ids.tolist()
     if not len(order):
         return out
-    plain = ids.tolist()
-    shared = common_prefixes(plain, order.tolist(), follows.tolist())
+    shared = common_prefixes(plain, order.tolist(), (~differs[kept]).tolist())
     # The first word of a text has a left word that no other has.
     left = [-1, *plain]
     for start in starts[:-1].tolist():

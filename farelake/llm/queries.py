@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from farelake.llm import (
     compression,
+    decontamination,
     language_id,
     licences,
     minhash,
@@ -18,6 +19,7 @@ from farelake.llm import (
     piece_dropout,
     pii,
     quality_rules,
+    ranked_search,
     substrings,
     vectors,
 )
@@ -110,6 +112,15 @@ def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     return periodic_runs.digest(periodic_runs.periodic_runs(docs, least=6, exponent=4))
 
 
+def op12_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    docs, items = table(spark, folder, "documents"), table(spark, folder, "benchmark")
+    return decontamination.digest(decontamination.contamination(docs, items, size=10))
+
+
+def op13_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    return ranked_search.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"), top=50)
+
+
 QUERIES: dict[str, Query] = {
     "op1_piece_dropout": op1_piece_dropout,
     "op2_licences": op2_licences,
@@ -122,4 +133,6 @@ QUERIES: dict[str, Query] = {
     "op9_language_id": op9_language_id,
     "op10_pii": op10_pii,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_decontamination": op12_decontamination,
+    "op13_ranked_search": op13_ranked_search,
 }
