@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from checks.oracles import BATCH_COLUMNS, ORACLES
 from farelake import bindings
@@ -21,12 +22,14 @@ from farelake.operators.aggregates import group_count, mean, share_of_total
 from farelake.operators.timing import best_of, compare_engines
 from farelake.operators.union import union_by_name
 from farelake.plans.ingest import expected_files, load_plan, load_summary, month_spine
-from farelake.plans.reports import REPORTS, ROLLUPS, daily_trend, hourly_revenue, run_all, weekend_vs_weekday
+from farelake.plans.reports import MONTHLY, REPORTS, daily_trend, hourly_revenue, run_all, weekend_vs_weekday
 from farelake.plans.workloads import WORKLOADS, hourly_trip_count, top10_pickup_zones
 from farelake.schemas import TAXI_TYPES
 from farelake.sources.dimensions import payment_types
-from farelake.sources.tables import display_text
+from farelake.sources.scratch import new_folder, stored
+from farelake.sources.tables import display_text, save
 from farelake.sources.trips import read_union_by_name
+from farelake.sources.versions import ENTRY, entries, folder_of, new_load, publish, read_folders, versions
 from farelake.sources.views import create_views
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -72,10 +75,17 @@ def run_all_rows(spark: SparkSession, folder: str) -> DataFrame:
     return union_by_name(counts)
 
 
+def percentiles(spark: SparkSession, folder: str) -> DataFrame:
+    """The trips are derived by a join, so their two times are saved; the report then reads them twice."""
+    chosen = REPORTS["duration-percentiles"]
+    return chosen.over(stored(bindings.trips(spark, folder, chosen.reads), "trip_times"))
+
+
 def batch(spark: SparkSession, folder: str) -> DataFrame:
-    """Every value of the batch, through the rollups that the job saves."""
-    trips, zones = bindings.trips(spark, folder), bindings.zones(spark, folder)
-    rollups = {name: build(trips) for name, build in ROLLUPS.items()}
+    """Every value of the batch, from rollups kept per month as a load keeps them, added up over the months."""
+    trips, zones = stored(bindings.trips(spark, folder), "trips"), bindings.zones(spark, folder)
+    month = F.date_format(bindings.PICKUP, "yyyy-MM").alias("month")
+    rollups = {name: stored(build(trips, month), name) for name, build in MONTHLY.items()}
     cells = []
     for found, frame in run_all(trips, zones, rollups):
         keys, values = BATCH_COLUMNS[found.name]
@@ -105,6 +115,40 @@ def files_unioned(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def version_log(spark: SparkSession, folder: str) -> DataFrame:
+    """Three versions of a table of orders by year: what readers of each of them see.
+
+    The first holds the years before 1997. The second brings the later ones, replaces 1992 by its dear
+    orders and 1993 by none, all at once. The third replaces 1994 by its urgent orders.
+    """
+    table = new_folder(spark, "orders")
+    year = F.date_format("o_orderdate", "yyyy-01").alias("month")
+    orders = bindings.table(spark, folder, "orders").select("o_totalprice", "o_orderpriority", year)
+    columns = T.StructType([orders.schema["o_totalprice"], orders.schema["o_orderpriority"]])
+
+    def load(rows: DataFrame, *emptied: str) -> None:
+        name = new_load()
+        keyed = rows.withColumns({"taxi_type": F.lit("orders"), "load": F.lit(name)})
+        save(keyed, table, partition_by=["taxi_type", "month", "load"])
+        for month in emptied:
+            save(rows.select(columns.names).limit(0), folder_of(table, "orders", month, name))
+        found = [*emptied, *[r.month for r in rows.select("month").distinct().collect()]]
+        rows = [("orders", month, name, month, None, None, False, None, None) for month in found]
+        publish(spark, table, spark.createDataFrame(rows, ENTRY))
+
+    dear, urgent = F.col("o_totalprice") > 200000, F.col("o_orderpriority") == "1-URGENT"
+    load(orders.where("month < '1997-01'"))
+    load(orders.where((F.col("month") >= "1997-01") | ((F.col("month") == "1992-01") & dear)), "1993-01")
+    load(orders.where((F.col("month") == "1994-01") & urgent))
+    seen = []
+    for version in versions(spark, table):
+        held = read_folders(spark, table, entries(spark, table, version).collect(), columns)
+        cents = F.sum(F.round(F.col("o_totalprice") * 100).cast("bigint"))
+        counted = held.groupBy("month").agg(F.count(F.lit(1)).alias("n"), cents.alias("cents"))
+        seen.append(counted.select(F.lit(version).alias("version"), "month", "n", "cents"))
+    return union_by_name(seen)
+
+
 def adhoc_sql(spark: SparkSession, folder: str) -> DataFrame:
     """SQL text over the registered views."""
     create_views(bindings.trips(spark, folder), bindings.zones(spark, folder))
@@ -377,7 +421,7 @@ QUERIES: dict[str, Query] = {
     "q01_top_zones": report("top-zones"),
     "q02_hourly_revenue": report("hourly-revenue"),
     "q03_tip_patterns": report("tip-patterns"),
-    "q04_duration_percentiles": report("duration-percentiles"),
+    "q04_duration_percentiles": percentiles,
     "q05_fare_per_mile": report("fare-per-mile"),
     "q06_weekend_vs_weekday": report("weekend-vs-weekday"),
     "q07_fraud_heuristics": report("fraud-heuristics"),
@@ -397,6 +441,7 @@ QUERIES: dict[str, Query] = {
     "op_adhoc_sql": adhoc_sql,
     "op_union_by_name": union_drifted,
     "op_union_files": files_unioned,
+    "op_version_log": version_log,
     "op_inline_dimension": inline_dimension,
     "op_left_join_unmatched": left_join_unmatched,
     "op_half_even_int": half_even_int,

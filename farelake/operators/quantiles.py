@@ -2,12 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def histogram(
+    rows: DataFrame, bucket: Column, value: Column, unit: float = 1.0, keys: Sequence[Column] = ()
+) -> DataFrame:
+    """Rows and their sum of `value` (in `unit`s) per bucket, and per key. Histograms of parts of the rows add up."""
+    return rows.groupBy(*keys, bucket.alias("bucket")).agg(
+        F.count(F.lit(1)).alias("inside"), F.sum(value / F.lit(unit)).alias("in_amount")
+    )
+
+
 def exact_quantiles(
     rows: DataFrame,
     bucket: Column,
@@ -15,6 +24,7 @@ def exact_quantiles(
     quantiles: Mapping[str, float],
     max_buckets: int,
     unit: float = 1.0,
+    known: DataFrame | None = None,
 ) -> DataFrame:
     """One row: every quantile of the integer `value` (in `unit`s, interpolated), plus `mean` and `rows`.
 
@@ -24,12 +34,15 @@ def exact_quantiles(
        to shuffle, and the running total of the counts tells which few buckets hold the wanted ranks;
     2. only the rows in those buckets, at most two per quantile, are counted per value and ranked.
 
+    With `known`, histograms of the very same rows in any number of parts, the first reading is spared.
+
     The built-in `percentile` would merge all distinct values in one task. More than `max_buckets`
     buckets stop the query: the running total is taken in one task.
     """
-    counted = rows.groupBy(bucket.alias("bucket")).agg(
-        F.count(F.lit(1)).alias("inside"), F.sum(value / F.lit(unit)).alias("in_amount")
-    )
+    if known is None:
+        counted = histogram(rows, bucket, value, unit)
+    else:
+        counted = known.groupBy("bucket").agg(F.sum("inside").alias("inside"), F.sum("in_amount").alias("in_amount"))
     total = "OVER (ORDER BY bucket ROWS UNBOUNDED PRECEDING)"
     running = counted.selectExpr(
         "bucket AS wanted_bucket",

@@ -9,13 +9,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+class CannotUnite(TypeError):
+    """Columns of one name whose types have nothing in common."""
+
+
 _INTEGERS = (T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType())
 
 
 def wider_type(left: T.DataType, right: T.DataType) -> T.DataType:
     """Smallest type that holds both: null < integers by size < double; dates < zoneless < zoned times.
 
-    Raises TypeError for types that have nothing in common, such as boolean and integer.
+    Raises CannotUnite for types that have nothing in common, such as boolean and integer.
     """
     if left == right or isinstance(right, T.NullType):
         return left
@@ -28,7 +32,7 @@ def wider_type(left: T.DataType, right: T.DataType) -> T.DataType:
     moments = (T.DateType, T.TimestampNTZType, T.TimestampType)
     if isinstance(left, moments) and isinstance(right, moments):
         return max(left, right, key=lambda t: moments.index(type(t)))
-    raise TypeError(f"{left.simpleString()} and {right.simpleString()} have no common type")
+    raise CannotUnite(f"{left.simpleString()} and {right.simpleString()} have no common type")
 
 
 def widen(schemas: Sequence[T.StructType]) -> T.StructType:
@@ -39,8 +43,8 @@ def widen(schemas: Sequence[T.StructType]) -> T.StructType:
             seen = fields.setdefault(field.name.lower(), T.StructField(field.name, field.dataType))
             try:
                 seen.dataType = wider_type(seen.dataType, field.dataType)
-            except TypeError as error:
-                raise TypeError(f"column {field.name}: {error}") from None
+            except CannotUnite as error:
+                raise CannotUnite(f"column {field.name}: {error}") from None
     return T.StructType(list(fields.values()))
 
 

@@ -1,12 +1,17 @@
-"""Monthly load: what is expected, what must be loaded, the load itself, and its summary."""
+"""Monthly load: what is expected, what must be loaded, the load itself, and its summary.
+
+Every month is written to a folder of its own, with the rollups of just that month beside it. All months
+of a load are published at once as a version of the table (`sources/versions.py`).
+"""
 
 from __future__ import annotations
 
+import json
 import logging
 import re
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from datetime import date
+from datetime import date, datetime
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
@@ -16,23 +21,16 @@ from pyspark.sql import types as T
 
 from farelake import schemas
 from farelake.functions import file_name, month_start
-from farelake.operators.union import conform
+from farelake.operators.union import CannotUnite, widen
+from farelake.plans.reports import MONTHLY
 from farelake.sources.files import list_files
+from farelake.sources.tables import load as load_table
 from farelake.sources.tables import save
 from farelake.sources.trips import conform_trips, read_union_by_name
+from farelake.sources.versions import ENTRY, entries, folder_of, new_load, present, publish, read_folders
 
 log = logging.getLogger(__name__)
 
-MANIFEST = T.StructType(
-    [
-        T.StructField("taxi_type", T.StringType()),
-        T.StructField("month", T.StringType()),
-        T.StructField("file_name", T.StringType()),
-        T.StructField("bytes", T.LongType()),
-        T.StructField("loaded_at", T.TimestampType()),
-    ]
-)
-
 _FILE_PATTERN = r"([a-z]+)_tripdata_(\d{4}-\d{2})\.parquet"
 
 
@@ -130,80 +128,75 @@ def source_listing(spark: SparkSession, source_dir: str) -> DataFrame:
     return listing.groupBy(name.alias("file_name")).agg(F.sum("length").alias("source_bytes"))
 
 
-def landed_listing(
-    spark: SparkSession, table_dir: str, manifest_dir: str, wanted: Iterable[tuple[str, str]]
-) -> DataFrame:
-    """(file_name, landed_bytes): the latest manifest entry of each month whose data is still there.
+def landed_listing(spark: SparkSession, table_dir: str, wanted: DataFrame) -> DataFrame:
+    """(file_name, landed_bytes) of the `wanted` months that the newest version holds whole.
 
-    Only the partitions of the `wanted` (taxi type, month) pairs are listed, not the whole table.
+    A month whose folder is gone, or that landed without some of its parts, counts as not landed.
     """
-    try:
-        manifest = spark.read.schema(MANIFEST).parquet(manifest_dir)
-    except PySparkException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.range(0).select(
-            F.lit(None).cast("string").alias("file_name"),
-            F.lit(None).cast("bigint").alias("landed_bytes"),
-        )
-    latest = manifest.groupBy("taxi_type", "month", "file_name").agg(
-        F.max_by("bytes", "loaded_at").alias("landed_bytes")
-    )
-    months: dict[str, list[str]] = {}
-    for taxi_type, month in wanted:
-        months.setdefault(taxi_type, []).append(month)
-    files = None
-    for taxi_type, names in months.items():
-        # One glob per type: a path that does not exist alone would stop the listing of the others.
-        found = list_files(spark, f"{table_dir}/taxi_type={taxi_type}/month={{{','.join(sorted(names))}}}")
-        files = found if files is None else files.union(found)
-    if files is None:
-        files = spark.createDataFrame([], "path string, length bigint")
-    partition = r"taxi_type=([a-z]+)/month=(\d{4}-\d{2})/"
-    present = files.select(
-        F.regexp_extract("path", partition, 1).alias("taxi_type"),
-        F.regexp_extract("path", partition, 2).alias("month"),
-    )
-    return latest.join(present, ["taxi_type", "month"], "left_semi").select(
-        "file_name", "landed_bytes"
-    )
+    held = entries(spark, table_dir).join(wanted.select("taxi_type", "month"), ["taxi_type", "month"], "left_semi")
+    whole = present(spark, table_dir, held.select(ENTRY.names)).where("coalesce(size(rejected), 0) = 0")
+    return whole.select("file_name", F.col("bytes").alias("landed_bytes"))
 
 
 def land_month(
-    spark: SparkSession, source_dir: str, table_dir: str, taxi_type: str, month: str
-) -> None:
-    """Replace one month of the table by the rows of its source file.
+    spark: SparkSession, paths: Sequence[str], table_dir: str, taxi_type: str, month: str, load: str
+) -> T.StructType:
+    """Write one month to its own folder, then its rollups, which read that folder alone; return its columns.
 
-    The write has no shuffle: every task appends to the one partition. Dynamic overwrite swaps the
-    partition when the job commits, so a lost executor or a failed job leaves the old month in place.
+    Nothing is shuffled but the parts of the rollups. Until a version names the folder nobody reads it.
     """
-    rows = read_union_by_name(spark, [f"{source_dir}/{taxi_type}_tripdata_{month}.parquet"])
+    rows = read_union_by_name(spark, paths)
     if taxi_type == "yellow":
         rows = conform_trips(rows, keep_extra=True)
         # One width per kind of number, so that the months of the table merge.
         wide = {T.IntegerType(): "bigint", T.ShortType(): "bigint", T.ByteType(): "bigint", T.FloatType(): "double"}
         further = [f for f in rows.schema if f.dataType in wide]
         rows = rows.withColumns({f.name: F.col(f"`{f.name}`").cast(wide[f.dataType]) for f in further})
-    if rows.isEmpty():
-        # A dynamic overwrite without rows names no partition and would keep the old month.
-        empty = f"{table_dir}/taxi_type={taxi_type}/month={month}"
-        # Hidden from readers by its name until it takes the old month's place.
-        fresh = f"{table_dir}/taxi_type={taxi_type}/_new_month={month}"
-        save(rows, fresh)
-        swap_folder(spark, fresh, empty)
-        return
-    keyed = rows.withColumns({"taxi_type": F.lit(taxi_type), "month": F.lit(month)})
-    save(keyed, table_dir, partition_by=["taxi_type", "month"])
-
-
-def swap_folder(spark: SparkSession, fresh: str, place: str) -> None:
-    """Move a finished folder to its place; what was there goes only after the new one is complete."""
-    jvm = spark.sparkContext._jvm
-    source, target = jvm.org.apache.hadoop.fs.Path(fresh), jvm.org.apache.hadoop.fs.Path(place)
-    store = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    store.delete(target, True)
-    if not store.rename(source, target):
-        raise OSError(f"could not move {fresh} to {place}")
+    folder = folder_of(table_dir, taxi_type, month, load)
+    save(rows, folder)
+    if taxi_type == "yellow":
+        roll_up(load_table(spark, folder, schemas.TRIPS), lambda part: folder_of(table_dir, taxi_type, month, load, part))
+    return rows.schema
+
+
+def roll_up(trips: DataFrame, place: Callable[[str], str]) -> None:
+    """Write what the reports need of some trips, each rollup to its place."""
+    for name, build in MONTHLY.items():
+        save(build(trips), place(name))
+
+
+def part_paths(spark: SparkSession, path: str) -> list[str]:
+    """The part files of a month that is a folder; none of a month that is a file."""
+    found = [row.path for row in list_files(spark, f"{path}/*").collect()]
+    return sorted(part for part in found if part.rstrip("/") != path.rstrip("/"))
+
+
+def land_parts(
+    spark: SparkSession, path: str, table_dir: str, taxi_type: str, month: str, load: str
+) -> tuple[T.StructType, list[str]]:
+    """Land a month without those of its parts that cannot be read; return its columns and their names.
+
+    An error that names a part puts that part aside, and the rest is tried again.
+    """
+    try:
+        return land_month(spark, [path], table_dir, taxi_type, month, load), []
+    except (Py4JJavaError, PySparkException) as error:
+        if not unreadable(error):
+            raise
+        parts, broken = part_paths(spark, path), error
+    rejected: list[str] = []
+    while True:
+        named = [part for part in parts if part.rsplit("/", 1)[-1] in str(broken)]
+        parts = [part for part in parts if part not in named]
+        if not named or not parts:
+            raise broken
+        rejected += [part.rsplit("/", 1)[-1] for part in named]
+        try:
+            return land_month(spark, parts, table_dir, taxi_type, month, load), sorted(rejected)
+        except (Py4JJavaError, PySparkException) as error:
+            if not unreadable(error):
+                raise
+            broken = error
 
 
 #: What an unreadable file says; anything else that goes wrong is no fault of the file.
@@ -232,56 +225,67 @@ def run_load(
 ) -> DataFrame:
     """Bring the table up to date and return the plan with what happened to each file.
 
-    Months load `at_once` side by side, each committed on its own, so readers never see half a month.
-    A month whose file cannot be read is recorded as `failed`, and the others still load; any other
-    error stops the load. The plan has one row per type and month, which is what the driver holds.
+    Months are written `at_once` side by side and published together, in one version. A month whose file
+    cannot be read is recorded as `failed`, a part of a month in `rejected`, and the rest still lands; any
+    other error stops the load, after the months that are whole were published. The plan has one row per
+    type and month, which is what the driver holds.
     """
-    manifest_dir = f"{table_dir.rstrip('/')}_manifest"
     expected = expected_files(months_between(spark, start, end), taxi_types)
-    wanted = [(row.taxi_type, row.month) for row in expected.collect()]
-    plan = load_plan(
-        expected,
-        source_listing(spark, source_dir),
-        landed_listing(spark, table_dir, manifest_dir, wanted),
-    )
+    plan = load_plan(expected, source_listing(spark, source_dir), landed_listing(spark, table_dir, expected))
+    load = new_load()
 
     def bring(step: Row) -> tuple:
-        action = step.action
+        action, rejected, columns = step.action, [], None
         if action in ("load", "reload"):
+            path = f"{source_dir}/{step.taxi_type}_tripdata_{step.month}.parquet"
             try:
-                land_month(spark, source_dir, table_dir, step.taxi_type, step.month)
-            except (Py4JJavaError, PySparkException, TypeError) as error:
-                if not (isinstance(error, TypeError) or unreadable(error)):
+                columns, rejected = land_parts(spark, path, table_dir, step.taxi_type, step.month, load)
+            except (Py4JJavaError, PySparkException, CannotUnite) as error:
+                if not (isinstance(error, CannotUnite) or unreadable(error)):
                     raise
                 log.error("Could not load %s: %s", step.file_name, error)
                 action = "failed"
         size = None if action == "failed" else step.bytes
-        return step.taxi_type, step.month, step.file_name, action, size
+        return (step.taxi_type, step.month, step.file_name, action, size, rejected), columns
 
     steps = plan.orderBy("taxi_type", "month").collect()
-    # Every dynamic overwrite stages in a folder of its own, so they may run side by side.
     with ThreadPoolExecutor(at_once) as pool:
         running = [pool.submit(bring, step) for step in steps]
     outcome = [done.result() for done in running if done.exception() is None]
-    landed = [row for row in outcome if row[3] in ("load", "reload")]
+    landed = [
+        (taxi_type, month, load, name, size, columns.json(), taxi_type == "yellow", rejected, datetime.now())
+        for (taxi_type, month, name, _, size, rejected), columns in outcome
+        if columns is not None
+    ]
     if landed:
-        # One manifest file per load, however many months it brought.
-        entries = spark.createDataFrame(landed, plan.schema).coalesce(1)
-        save(conform(entries.withColumn("loaded_at", F.current_timestamp()), MANIFEST), manifest_dir, mode="append")
+        publish(spark, table_dir, spark.createDataFrame(landed, ENTRY))
     for done in running:
         done.result()
-    return spark.createDataFrame(outcome, plan.schema)
+    schema = T.StructType([*plan.schema, T.StructField("rejected", T.ArrayType(T.StringType()))])
+    return spark.createDataFrame([row for row, _ in outcome], schema)
+
+
+def yellow_months(spark: SparkSession, table_dir: str, version: int | None = None) -> list[Row]:
+    """The entries of the yellow months, in order."""
+    return entries(spark, table_dir, version).where("taxi_type = 'yellow'").orderBy("month").collect()
 
 
-def read_table(spark: SparkSession, table_dir: str) -> DataFrame:
+def read_table(spark: SparkSession, table_dir: str, version: int | None = None) -> DataFrame:
     """The landed yellow trips with every column they came with, and `month` for pruning.
 
-    Declared columns come first; further ones are found in the footers, merged by one distributed job.
+    Of the newest version, or of the given one. Declared columns come first; further ones are known from
+    the version, so no footer is read.
     """
-    path = f"{table_dir}/taxi_type=yellow"
-    found = spark.read.option("mergeSchema", True).parquet(path).schema
-    known = {name.lower() for name in [*schemas.TRIPS.names, "month"]}
-    further = [field for field in found if field.name.lower() not in known]
-    # As text: the month would be taken for a date.
-    month = T.StructField("month", T.StringType())
-    return spark.read.schema(T.StructType([*schemas.TRIPS, *further, month])).parquet(path)
+    months = yellow_months(spark, table_dir, version)
+    columns = [T.StructType.fromJson(json.loads(r.columns)) for r in months]
+    return read_folders(spark, table_dir, months, widen([schemas.TRIPS, *columns]))
+
+
+def read_rollups(spark: SparkSession, table_dir: str, version: int | None = None) -> dict[str, DataFrame]:
+    """The rollups of all yellow months of a version; those of one month only stand beside each other."""
+    months = yellow_months(spark, table_dir, version)
+    no_trips = spark.createDataFrame([], schemas.TRIPS)
+    return {
+        name: read_folders(spark, table_dir, months, build(no_trips).schema, part=name)
+        for name, build in MONTHLY.items()
+    }

@@ -8,30 +8,34 @@
 from __future__ import annotations
 
 import argparse
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from farelake.plans.ingest import load_summary, read_table, run_load
-from farelake.plans.reports import ROLLUPS, run_all
+from farelake.plans.ingest import load_summary, read_rollups, read_table, roll_up, run_load
+from farelake.plans.reports import MONTHLY, run_all
 from farelake.plans.workloads import WORKLOADS
 from farelake.session import get_session
 from farelake.sources.dimensions import read_zones
 from farelake.sources.tables import load, save
+from farelake.sources.versions import versions
 from farelake.sources.views import create_views
 
 
-def write_reports(trips: DataFrame, zones: DataFrame, out_dir: str) -> list[str]:
+def write_reports(
+    trips: DataFrame, zones: DataFrame, out_dir: str, rollups: Mapping[str, DataFrame] | None = None
+) -> list[str]:
     """Write each report and workload as its own table; return their names.
 
-    The rollups are written first: they are small, survive lost executors, and spare every result but
-    the percentiles a scan of the trips: five scans in all.
+    `rollups` are those of the loaded months; without them they are made here, and written first: they
+    are small, survive lost executors, and spare every result but the percentiles a scan of the trips.
     """
-    rollups = {}
-    for name, build in ROLLUPS.items():
-        frame, path = build(trips), f"{out_dir}/rollups/{name}"
-        save(frame, path)
-        rollups[name] = load(trips.sparkSession, path, frame.schema)
+    if rollups is None:
+        roll_up(trips, lambda name: f"{out_dir}/rollups/{name}")
+        rollups = {
+            name: load(trips.sparkSession, f"{out_dir}/rollups/{name}", build(trips).schema)
+            for name, build in MONTHLY.items()
+        }
     written = []
     for report, frame in run_all(trips, zones, rollups):
         save(frame, f"{out_dir}/reports/{report.name}")
@@ -53,21 +57,25 @@ def run(
     end: str,
     allow_missing: bool = False,
 ) -> list[str]:
-    """Load, register, report. Failed months stop the job before the reports unless they are allowed;
+    """Load, register, report. Months that failed, or landed in part, stop the job before the reports unless
 
-    then the reports stand beside the list of them, `reports/_missing`.
+    they are allowed; then the reports stand beside the list of them, `reports/_missing`. The reports are
+    of one version of the table. Trips are read again for the percentiles alone, and there only once;
+    all else comes from the rollups of the months, of which a load makes only those of its own months.
     """
     outcome = run_load(spark, source_dir, table_dir, taxi_types, start, end)
     save(outcome, f"{out_dir}/load/files")
     save(load_summary(outcome), f"{out_dir}/load/summary")
-    missing = outcome.where("action = 'failed'").select("taxi_type", "month", "file_name")
+    bad = outcome.where("action = 'failed' OR size(rejected) > 0")
+    missing = bad.select("taxi_type", "month", "file_name", "rejected")
     failed = [row.file_name for row in missing.collect()]
     if failed and not allow_missing:
         raise RuntimeError(f"no reports, as {len(failed)} months failed: {', '.join(sorted(failed)[:20])}")
     save(missing, f"{out_dir}/reports/_missing")
-    trips, zones = read_table(spark, table_dir), read_zones(spark, zones_csv)
+    version = max(versions(spark, table_dir), default=None)
+    trips, zones = read_table(spark, table_dir, version), read_zones(spark, zones_csv)
     create_views(trips, zones)
-    return write_reports(trips, zones, out_dir)
+    return write_reports(trips, zones, out_dir, read_rollups(spark, table_dir, version))
 
 
 def main(argv: Sequence[str] | None = None) -> None:

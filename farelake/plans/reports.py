@@ -31,7 +31,7 @@ from farelake.functions import (
     to_int_half_even,
 )
 from farelake.operators.aggregates import count_flags, share_of_total, top_by_count
-from farelake.operators.quantiles import exact_quantiles
+from farelake.operators.quantiles import exact_quantiles, histogram
 from farelake.sources.dimensions import payment_types
 
 PICKUP, DROPOFF = "tpep_pickup_datetime", "tpep_dropoff_datetime"
@@ -152,22 +152,36 @@ def _tip_patterns(parts: DataFrame, payments: DataFrame | None = None) -> DataFr
     )
 
 
-def duration_percentiles(trips: DataFrame) -> DataFrame:
+def _lengths(trips: DataFrame) -> tuple[DataFrame, Column, Column]:
+    """Trips of up to six hours, the second of their length, and the length in microseconds."""
+    length = interval_micros(F.col(DROPOFF) - F.col(PICKUP))
+    too_long = longer_than(F.col(PICKUP), F.col(DROPOFF), 360 * 60)
+    plausible = trips.where((F.col(DROPOFF) > F.col(PICKUP)) & ~too_long)
+    return plausible, F.floor(length / MICROS_PER_SECOND), length
+
+
+def length_histogram(trips: DataFrame, *keys: Column) -> DataFrame:
+    """Trips of up to six hours per second of length, and their minutes; at most 21,601 rows per key."""
+    plausible, second, length = _lengths(trips)
+    return histogram(plausible, second, length, unit=60.0 * MICROS_PER_SECOND, keys=keys)
+
+
+def duration_percentiles(trips: DataFrame, lengths: DataFrame | None = None) -> DataFrame:
     """Exact, interpolated duration percentiles in minutes over trips of up to six hours.
 
-    Six hours are 21,601 buckets of a second. The trips are scanned twice, two columns each time.
+    Six hours are 21,601 buckets of a second. The trips are scanned twice, two columns each time; once
+    where `lengths` gives the histograms of all their months.
     """
-    length = F.col(DROPOFF) - F.col(PICKUP)
-    too_long = longer_than(F.col(PICKUP), F.col(DROPOFF), 360 * 60)
-    plausible = trips.where((F.col(DROPOFF) > F.col(PICKUP)) & ~too_long)
+    plausible, second, length = _lengths(trips)
     percentiles = {"p50_min": 0.50, "p75_min": 0.75, "p90_min": 0.90, "p99_min": 0.99}
     found = exact_quantiles(
         plausible,
-        bucket=F.floor(interval_micros(length) / MICROS_PER_SECOND),
-        value=interval_micros(length),
+        bucket=second,
+        value=length,
         quantiles=percentiles,
         max_buckets=21_601,
         unit=60.0 * MICROS_PER_SECOND,
+        known=lengths,
     )
     return found.select(
         *[round_half_away(F.col(name), 1).alias(name) for name in percentiles],
@@ -309,25 +323,29 @@ def passenger_distribution(trips: DataFrame) -> DataFrame:
     return _passenger_distribution(_passenger_parts(trips))
 
 
-def time_rollup(trips: DataFrame) -> DataFrame:
-    """Parts per calendar date and hour of pickup, for every report keyed by time."""
+def time_rollup(trips: DataFrame, *keys: Column) -> DataFrame:
+    """Parts per calendar date and hour of pickup, for every report keyed by time.
+
+    Further `keys` of a rollup tell the parts of several months apart; whatever is finished from them adds
+    them up.
+    """
     measures = _same("total_amount", "tip_amount", "trip_distance")
-    return trips.groupBy(_date(), _hour()).agg(
+    return trips.groupBy(*keys, _date(), _hour()).agg(
         _rows().alias("trips"), *_sums(measures, "paid_", PAID), *_sums(RATES, "rated_", RATED)
     )
 
 
-def place_rollup(trips: DataFrame) -> DataFrame:
+def place_rollup(trips: DataFrame, *keys: Column) -> DataFrame:
     """Parts per pickup and dropoff id, for every report keyed by place."""
-    return trips.groupBy("PULocationID", "DOLocationID").agg(
+    return trips.groupBy(*keys, "PULocationID", "DOLocationID").agg(
         *_sums(_same("total_amount", "trip_distance")),
         *_sums(_same("total_amount"), "paid_", PAID),
     )
 
 
-def payment_rollup(trips: DataFrame) -> DataFrame:
+def payment_rollup(trips: DataFrame, *keys: Column) -> DataFrame:
     """Parts per payment type and passenger count, for the reports and the workload keyed by neither."""
-    return trips.groupBy("payment_type", "passenger_count").agg(
+    return trips.groupBy(*keys, "payment_type", "passenger_count").agg(
         *_sums(_same("total_amount")),
         *_sums(TIPS, "tipped_", PRICED),
         *_sums(_same("fare_amount"), "long_", LONG),
@@ -337,12 +355,17 @@ def payment_rollup(trips: DataFrame) -> DataFrame:
 
 ROLLUPS = {"time": time_rollup, "place": place_rollup, "payment": payment_rollup}
 
+#: What a load keeps of every month: all reports are finished from these, added up over the months, but
+#: that the percentiles look once more at the trips of a few lengths.
+MONTHLY = {**ROLLUPS, "lengths": length_histogram}
+
 
 @dataclass(frozen=True)
 class Report:
     """A named report and the trip columns it reads.
 
-    With `rollup` set, `finish` gives the same result from that rollup instead of the trips.
+    With `rollup` set, `finish` gives the same result from that rollup instead of the trips. `spares`
+    names a rollup that spares `build` one of its scans.
     """
 
     name: str
@@ -352,6 +375,7 @@ class Report:
     with_zones: bool = False
     rollup: str | None = None
     finish: Callable[..., DataFrame] | None = None
+    spares: str | None = None
 
     def over(
         self,
@@ -362,6 +386,8 @@ class Report:
         rest = (zones,) if self.with_zones else ()
         if rollups and self.rollup in rollups:
             return self.finish(rollups[self.rollup], *rest)
+        if rollups and self.spares in rollups:
+            return self.build(trips, *rest, rollups[self.spares])
         return self.build(trips, *rest)
 
 
@@ -399,6 +425,7 @@ REPORTS: dict[str, Report] = {
             "Percentiles of trip length in minutes",
             duration_percentiles,
             (PICKUP, DROPOFF),
+            spares="lengths",
         ),
         Report(
             "fare-per-mile",
