@@ -115,6 +115,29 @@ def files_unioned(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def drifting_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Files that share names, spelled and typed in three ways; read by the layouts that a first reading logged."""
+    place = new_folder(spark, "drifting")
+
+    def write(name: str, columns: list[str]) -> str:
+        save(spark.read.parquet(f"{folder}/{name}.parquet").selectExpr(*columns), f"{place}/{name}.parquet")
+        return f"{place}/{name}.parquet"
+
+    paths = [
+        write("customer", ["int(c_custkey) AS ID", "c_acctbal AS amount", "c_name AS Name"]),
+        write("supplier", ["bigint(s_suppkey) AS id", "bigint(floor(s_acctbal)) AS Amount"]),
+        write("nation", ["n_name AS label", "smallint(n_nationkey) AS Id", "float(n_regionkey) AS AMOUNT"]),
+    ]
+    read_union_by_name(spark, paths, f"{place}/layouts")
+    rows = read_union_by_name(spark, paths, f"{place}/layouts")
+    return rows.groupBy((F.col("ID") % 7).alias("part")).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count("Name").alias("names"),
+        F.max("label").alias("label"),
+        F.sum(F.round(F.col("amount") * 100).cast("bigint")).alias("cents"),
+    )
+
+
 def version_log(spark: SparkSession, folder: str) -> DataFrame:
     """Three versions of a table of orders by year: what readers of each of them see.
 
@@ -441,6 +464,7 @@ QUERIES: dict[str, Query] = {
     "op_adhoc_sql": adhoc_sql,
     "op_union_by_name": union_drifted,
     "op_union_files": files_unioned,
+    "op_drifting_files": drifting_files,
     "op_version_log": version_log,
     "op_inline_dimension": inline_dimension,
     "op_left_join_unmatched": left_join_unmatched,

@@ -7,16 +7,20 @@
 from __future__ import annotations
 
 import argparse
+import logging
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from farelake.plans.reports import REPORTS, ROLLUPS, Report
+from farelake.plans.reports import MONTHLY, REPORTS, Report
 from farelake.session import get_session
+from farelake.sources.scratch import stored
 from farelake.sources.tables import print_table
 from farelake.sources.trips import conform_trips
 from farelake.sources.views import register_views
 
+log = logging.getLogger(__name__)
+
 
 def check_columns(trips: DataFrame, reports: Sequence[Report]) -> None:
     """ValueError with the names of columns that the reports read and the files do not have."""
@@ -28,19 +32,24 @@ def check_columns(trips: DataFrame, reports: Sequence[Report]) -> None:
 
 
 def results(
-    spark: SparkSession, data_dir: str, sample_dir: str, name: str = "all", taxi_type: str = "yellow"
+    spark: SparkSession,
+    data_dir: str,
+    sample_dir: str,
+    name: str = "all",
+    taxi_type: str = "yellow",
+    log_dir: str | None = None,
 ) -> list[tuple[str, DataFrame]]:
     """(title, lazy result) of the named report or of all ten, over the registered views."""
     if name != "all" and name not in REPORTS:
         raise ValueError(f"no report is named {name!r}; choose 'all' or one of {', '.join(REPORTS)}")
-    register_views(spark, data_dir, sample_dir, taxi_type)
+    register_views(spark, data_dir, sample_dir, taxi_type, log_dir)
     wanted = list(REPORTS.values()) if name == "all" else [REPORTS[name]]
     check_columns(spark.table("trips"), wanted)
     trips = conform_trips(spark.table("trips"))
     rollups = {}
     if name == "all":
-        # Kept in the executors while the reports run: they are small, and a lost one is made again.
-        rollups = {key: build(trips).persist() for key, build in ROLLUPS.items()}
+        # Small, made once, and safe from lost executors.
+        rollups = {key: stored(build(trips), key) for key, build in MONTHLY.items()}
     found = []
     for report in wanted:
         zones = spark.table("taxi_zones") if report.with_zones else None
@@ -53,12 +62,23 @@ def main(argv: Sequence[str] | None = None) -> None:
     parser.add_argument("name", nargs="?", default="all", help="report name, or 'all'")
     parser.add_argument("--data", required=True, help="folder of monthly files")
     parser.add_argument("--sample", required=True, help="fallback folder, with taxi_zones.csv")
-    parser.add_argument("--types", default="yellow", help="comma list; the first is read")
+    parser.add_argument("--types", default="yellow", help="comma list; each is reported on in turn")
+    parser.add_argument("--layouts", help="folder in which the layouts of the files are remembered")
     args = parser.parse_args(argv)
-    first = next(t.strip().lower() for t in args.types.split(",") if t.strip())
-    for title, frame in results(get_session(), args.data, args.sample, args.name, first):
-        print(title)
-        print_table(frame)
+    types = [t.strip().lower() for t in args.types.split(",") if t.strip()]
+    spark = get_session()
+    for taxi_type in types:
+        try:
+            found = results(spark, args.data, args.sample, args.name, taxi_type, args.layouts)
+        except (FileNotFoundError, ValueError) as error:
+            # The first type has to be there; a further one may have no files, or not the columns.
+            if taxi_type == types[0]:
+                raise
+            log.warning("%s is left out: %s", taxi_type, error)
+            continue
+        for title, frame in found:
+            print(title if taxi_type == types[0] else f"{taxi_type}: {title}")
+            print_table(stored(frame, "report"))
 
 
 if __name__ == "__main__":

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
-from itertools import chain
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
@@ -15,6 +14,7 @@ from pyspark.sql import types as T
 from farelake import schemas
 from farelake.operators.union import conform, widen
 from farelake.sources.files import list_files
+from farelake.sources.layouts import layouts
 
 # Footer probes are small jobs; a few at a time keep the cluster from idling between them.
 PROBES_AT_ONCE = 16
@@ -53,29 +53,25 @@ def _runs(spark: SparkSession, path: str) -> list[tuple[list[str], T.StructType]
     return found
 
 
-def _layouts(spark: SparkSession, paths: Sequence[str]) -> list[tuple[list[str], T.StructType]]:
-    """Schema per month, in the order of the paths; probed side by side."""
-    with ThreadPoolExecutor(PROBES_AT_ONCE) as pool:
-        return list(chain.from_iterable(pool.map(lambda path: _runs(spark, path), paths)))
-
-
 def _agree(left: T.StructType, right: T.StructType) -> bool:
     types = {field.name.lower(): field.dataType for field in left}
     return all(types.get(f.name.lower(), f.dataType) == f.dataType for f in right)
 
 
-def read_union_by_name(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+def read_union_by_name(spark: SparkSession, paths: Sequence[str], log_dir: str | None = None) -> DataFrame:
     """Scan all files, columns matched by name without case, numbers widened, gaps null.
 
+    With `log_dir` the layouts are kept there, and footers of unchanged files are not read again.
+
     Names are spelled and ordered as first seen over the paths in their order. Spark's `mergeSchema`
     adds columns but rejects int against bigint or double, and a declared read schema cannot turn a
     stored bigint into double. So files whose types agree share one scan, and only the handful of
     scans is unioned.
     """
-    layouts = _layouts(spark, paths)
-    names = widen([schema for _, schema in layouts])
+    found = layouts(spark, paths, lambda path: _runs(spark, path), log_dir)
+    names = widen([schema for _, schema in found])
     groups: list[tuple[list[str], T.StructType]] = []
-    for run, schema in layouts:
+    for run, schema in found:
         for i, (members, common) in enumerate(groups):
             if _agree(common, schema):
                 groups[i] = (members + run, widen([common, schema]))

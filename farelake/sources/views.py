@@ -23,11 +23,11 @@ def create_views(trips: DataFrame, zones: DataFrame | None = None) -> None:
 
 
 def register_views(
-    spark: SparkSession, data_dir: str, sample_dir: str, taxi_type: str = "yellow"
+    spark: SparkSession, data_dir: str, sample_dir: str, taxi_type: str = "yellow", log_dir: str | None = None
 ) -> int:
     """Register the views over the monthly files and return how many files back them.
 
-    Raises FileNotFoundError when neither folder has a file; a missing zone CSV is only a warning.
+    `log_dir` is where the layouts of the files are remembered, if they are. Raises FileNotFoundError when neither folder has a file; a missing zone CSV is only a warning.
     """
     files = find_trip_files(spark, data_dir, sample_dir, taxi_type)
     if not files:
@@ -43,5 +43,5 @@ def register_views(
         zones = None
         # Zones of an earlier call would belong to other data.
         spark.catalog.dropTempView("taxi_zones")
-    create_views(read_union_by_name(spark, files), zones)
+    create_views(read_union_by_name(spark, files, log_dir), zones)
     return len(files)
