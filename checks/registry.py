@@ -19,6 +19,7 @@ from farelake.functions import (
     to_int_half_even,
 )
 from farelake.operators.aggregates import group_count, mean, share_of_total
+from farelake.operators.exact_sums import exact_sums
 from farelake.operators.timing import best_of, compare_engines
 from farelake.operators.union import union_by_name
 from farelake.plans.ingest import expected_files, load_plan, load_summary, month_spine
@@ -61,6 +62,19 @@ def long_trips_avg_fare(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def long_trips_exact(spark: SparkSession, folder: str) -> DataFrame:
+    trips = bindings.trips(spark, folder, ["trip_distance", "fare_amount"])
+    return WORKLOADS["filter_long_trips_avg_fare"].build(trips, exact=True)
+
+
+def exact_totals(spark: SparkSession, folder: str) -> DataFrame:
+    """Unrounded sums of prices and of signed, far smaller parts of them."""
+    lines = bindings.table(spark, folder, "lineitem")
+    sign = F.when(F.col("l_linenumber") % 2 == 0, -1.0).otherwise(1.0)
+    values = {"price": F.col("l_extendedprice"), "part": sign * F.col("l_extendedprice") / 3000.0}
+    return exact_sums(lines, ["l_returnflag", "l_linestatus"], values)
+
+
 def on_events(build: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, folder: build(bindings.event_trips(spark, folder))
 
@@ -456,6 +470,8 @@ QUERIES: dict[str, Query] = {
     "b1_hourly_trip_count": workload("hourly_trip_count"),
     "b2_top10_pickup_zones": workload("top10_pickup_zones"),
     "b3_long_trips_avg_fare": long_trips_avg_fare,
+    "b3_long_trips_exact": long_trips_exact,
+    "op_exact_sums": exact_totals,
     "ev_hourly": on_events(hourly_revenue),
     "ev_weekend": on_events(weekend_vs_weekday),
     "ev_daily": on_events(daily_trend),

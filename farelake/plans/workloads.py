@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from farelake.functions import hour_of_day, mean_from
 from farelake.operators.aggregates import group_count, mean, top_by_count
+from farelake.operators.exact_sums import exact_sums
 
 
 def hourly_trip_count(trips: DataFrame, keep_missing: bool = True) -> DataFrame:
@@ -24,9 +25,16 @@ def top10_pickup_zones(trips: DataFrame, keep_missing: bool = True) -> DataFrame
     return top_by_count(counted, "n", ["PULocationID"], 10)
 
 
-def filter_long_trips_avg_fare(trips: DataFrame, skip_nan: bool = False) -> DataFrame:
-    """Mean fare of trips over five miles, unrounded."""
+def filter_long_trips_avg_fare(trips: DataFrame, skip_nan: bool = False, exact: bool = False) -> DataFrame:
+    """Mean fare of trips over five miles, unrounded.
+
+    `exact` adds up without rounding, so the last digits do not depend on how the trips are dealt to tasks.
+    """
     long_trips = trips.where(F.col("trip_distance") > 5)
+    if exact:
+        fare = F.when(~F.isnan("fare_amount"), F.col("fare_amount")) if skip_nan else F.col("fare_amount")
+        summed = exact_sums(long_trips, [], {"fare": fare})
+        return summed.select(F.try_divide("fare", "fare_n").alias("avg_fare"))
     return long_trips.agg(mean(F.col("fare_amount"), skip_nan).alias("avg_fare"))
 
 
