@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -21,11 +22,14 @@ from farelake.functions import (
 from farelake.operators.aggregates import group_count, mean, share_of_total
 from farelake.operators.exact_sums import exact_sums
 from farelake.operators.timing import best_of, compare_engines
+from farelake.operators.topk import top_keys
 from farelake.operators.union import union_by_name
 from farelake.plans.ingest import expected_files, load_plan, load_summary, month_spine
 from farelake.plans.reports import MONTHLY, REPORTS, daily_trend, hourly_revenue, run_all, weekend_vs_weekday
 from farelake.plans.workloads import WORKLOADS, hourly_trip_count, top10_pickup_zones
 from farelake.schemas import TAXI_TYPES
+from farelake.sources.catalog import append, create
+from farelake.sources.clustered import save_clustered
 from farelake.sources.dimensions import payment_types
 from farelake.sources.scratch import new_folder, stored
 from farelake.sources.tables import display_text, save
@@ -75,6 +79,47 @@ def exact_totals(spark: SparkSession, folder: str) -> DataFrame:
     return exact_sums(lines, ["l_returnflag", "l_linestatus"], values)
 
 
+def top_users(spark: SparkSession, folder: str) -> DataFrame:
+    """The busiest users, of whom only those are counted that can be among them."""
+    return top10_pickup_zones(bindings.event_trips(spark, folder), many_ids=True)
+
+
+def top_parts(spark: SparkSession, folder: str) -> DataFrame:
+    """Parts that are ordered most often; one in three lines counts for part 1 to 9."""
+    line = F.col("l_orderkey") * 7 + F.col("l_linenumber")
+    part = F.when(line % 3 == 0, 1 + line % 9).otherwise(F.col("l_partkey"))
+    return top_keys(bindings.table(spark, folder, "lineitem"), part, "part", 25)
+
+
+def bucketed_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders and their lines as catalog tables in buckets of the order key; the later lines are appended."""
+    names = [f"check_{uuid.uuid4().hex}" for _ in range(2)]
+    orders = bindings.table(spark, folder, "orders").select(F.col("o_orderkey").alias("key"), "o_orderpriority")
+    lines = bindings.table(spark, folder, "lineitem").select(F.col("l_orderkey").alias("key"), "l_linenumber", "l_quantity")
+    create(orders, names[0], new_folder(spark, "orders"), "key", 8)
+    place = new_folder(spark, "lines")
+    create(lines.where("l_linenumber <= 3"), names[1], place, "key", 8, split=2)
+    append(lines.where("l_linenumber > 3"), names[1], place, "key", 8)
+    joined = spark.table(names[0]).join(spark.table(names[1]), "key", "left")
+    per_order = joined.groupBy("key", "o_orderpriority").agg(F.sum("l_quantity").alias("quantity"))
+    return per_order.groupBy("o_orderpriority").agg(
+        F.count(F.lit(1)).alias("orders"), F.max("quantity").alias("largest"), F.sum("quantity").alias("quantity")
+    )
+
+
+def clustered_days(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders landed in ranges of their date; a filter on days skips most of what it reads."""
+    place = new_folder(spark, "days")
+    orders = bindings.table(spark, folder, "orders").select("o_orderdate", "o_totalprice")
+    save_clustered(orders, place, "o_orderdate", rows=2_000)
+    days = spark.read.schema(orders.schema).parquet(place).where(
+        "o_orderdate >= timestamp_ntz'1995-03-01' AND o_orderdate < timestamp_ntz'1995-03-15'"
+    )
+    return days.groupBy(F.to_date("o_orderdate").alias("day")).agg(
+        F.count(F.lit(1)).alias("n"), F.max("o_totalprice").alias("dearest")
+    )
+
+
 def on_events(build: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, folder: build(bindings.event_trips(spark, folder))
 
@@ -472,6 +517,10 @@ QUERIES: dict[str, Query] = {
     "b3_long_trips_avg_fare": long_trips_avg_fare,
     "b3_long_trips_exact": long_trips_exact,
     "op_exact_sums": exact_totals,
+    "ev_top_users_threshold": top_users,
+    "op_top_keys": top_parts,
+    "op_bucketed_join": bucketed_join,
+    "op_clustered_days": clustered_days,
     "ev_hourly": on_events(hourly_revenue),
     "ev_weekend": on_events(weekend_vs_weekday),
     "ev_daily": on_events(daily_trend),
