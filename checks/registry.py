@@ -25,17 +25,20 @@ from farelake.operators.timing import best_of, compare_engines
 from farelake.operators.topk import top_keys
 from farelake.operators.union import union_by_name
 from farelake.plans.ingest import expected_files, load_plan, load_summary, month_spine
+from farelake.plans.job import run as run_job
 from farelake.plans.reports import MONTHLY, REPORTS, daily_trend, hourly_revenue, run_all, weekend_vs_weekday
 from farelake.plans.workloads import WORKLOADS, hourly_trip_count, top10_pickup_zones
 from farelake.schemas import TAXI_TYPES
 from farelake.sources.catalog import append, create
 from farelake.sources.clustered import save_clustered
 from farelake.sources.dimensions import payment_types
+from farelake.sources.files import find_trip_files
 from farelake.sources.scratch import new_folder, stored
+from farelake.sources.store import Store
 from farelake.sources.tables import display_text, save
 from farelake.sources.trips import read_union_by_name
 from farelake.sources.versions import ENTRY, entries, folder_of, new_load, publish, read_folders, versions
-from farelake.sources.views import create_views
+from farelake.sources.views import create_views, register_views
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -231,6 +234,70 @@ def version_log(spark: SparkSession, folder: str) -> DataFrame:
     return union_by_name(seen)
 
 
+def _monthly_files(spark: SparkSession, folder: str, place: str) -> DataFrame:
+    """The trips as three months of part files in `place`, the months dealt by payment type; and the zone CSV."""
+    trips = stored(bindings.trips(spark, folder), "trips").withColumn(
+        "month", F.concat(F.lit("2024-0"), 1 + F.pmod("payment_type", F.lit(3)))
+    )
+    for month in ("2024-01", "2024-02", "2024-03"):
+        # One of the months has ids and counts of other types, and a column spelled in its own way.
+        rows = trips.where(F.col("month") == month).drop("month")
+        if month == "2024-02":
+            rows = rows.withColumn("VendorID", F.col("VendorID").cast("int"))
+            rows = rows.withColumnRenamed("total_amount", "Total_Amount")
+        save(rows, f"{place}/yellow_tripdata_{month}.parquet")
+    names = ["location_id AS LocationID", "borough AS Borough", "zone AS Zone", "service_zone"]
+    header = bindings.zones(spark, folder).selectExpr(*names).write.option("header", True)
+    header.mode("overwrite").csv(f"{place}/sample/taxi_zones.csv")
+    return trips
+
+
+def files_to_views(spark: SparkSession, folder: str) -> DataFrame:
+    """Monthly files and a zone CSV, found, registered and asked by SQL; the main folder is empty, so the sample counts."""
+    place = new_folder(spark, "files")
+    _monthly_files(spark, folder, place)
+    chosen = find_trip_files(spark, f"{place}/none", place)
+    found = register_views(spark, place, f"{place}/sample", log_dir=f"{place}/layouts")
+    return spark.sql(
+        f"""
+        SELECT z.borough, {found} AS files, {len(chosen)} AS chosen, count(*) AS trips,
+            sum(CAST(round(t.total_amount * 100) AS bigint)) AS cents, max(t.VendorID) AS vendor
+        FROM trips t LEFT JOIN taxi_zones z ON t.PULocationID = z.location_id GROUP BY z.borough
+        """
+    )
+
+
+def whole_job(spark: SparkSession, folder: str) -> DataFrame:
+    """The job over monthly files, one part of which is broken, and one month of which is missing.
+
+    What it says of the files, what it counts in them, and what two of its reports hold.
+    """
+    place = new_folder(spark, "job")
+    _monthly_files(spark, folder, place)
+    Store(spark, place).write(f"{place}/yellow_tripdata_2024-03.parquet/part-broken.parquet", "no Parquet file" * 9)
+    run_job(
+        spark, place, f"{place}/table", f"{place}/out", f"{place}/sample/taxi_zones.csv", ["yellow"], "2024-01", "2024-04", True
+    )
+    files = spark.read.parquet(f"{place}/out/load/files").select(
+        F.lit("file").alias("kind"),
+        F.concat_ws(" ", "month", "action", "rejected").alias("name"),
+        F.lit(1).cast("bigint").alias("n"),
+    )
+    summary = spark.read.parquet(f"{place}/out/load/summary").unpivot(
+        [], ["expected", "downloaded", "skipped", "failed"], "name", "n"
+    )
+    hours = spark.read.parquet(f"{place}/out/reports/hourly-revenue")
+    lengths = spark.read.parquet(f"{place}/out/reports/duration-percentiles")
+    return union_by_name(
+        [
+            files,
+            summary.select(F.lit("summary").alias("kind"), "name", F.col("n").cast("bigint").alias("n")),
+            hours.select(F.lit("hour").alias("kind"), F.col("hour_of_day").cast("string").alias("name"), F.col("trips").alias("n")),
+            lengths.select(F.lit("median").alias("kind"), F.col("p50_min").cast("string").alias("name"), F.col("trip_count").alias("n")),
+        ]
+    )
+
+
 def adhoc_sql(spark: SparkSession, folder: str) -> DataFrame:
     """SQL text over the registered views."""
     create_views(bindings.trips(spark, folder), bindings.zones(spark, folder))
@@ -531,6 +598,8 @@ QUERIES: dict[str, Query] = {
     "op_union_files": files_unioned,
     "op_drifting_files": drifting_files,
     "op_version_log": version_log,
+    "op_files_to_views": files_to_views,
+    "op_whole_job": whole_job,
     "op_inline_dimension": inline_dimension,
     "op_left_join_unmatched": left_join_unmatched,
     "op_half_even_int": half_even_int,

@@ -23,6 +23,7 @@ from farelake import schemas
 from farelake.functions import file_name, month_start
 from farelake.operators.union import CannotUnite, widen
 from farelake.plans.reports import MONTHLY
+from farelake.sources.clustered import save_clustered
 from farelake.sources.files import list_files
 from farelake.sources.tables import load as load_table
 from farelake.sources.tables import save
@@ -139,11 +140,19 @@ def landed_listing(spark: SparkSession, table_dir: str, wanted: DataFrame) -> Da
 
 
 def land_month(
-    spark: SparkSession, paths: Sequence[str], table_dir: str, taxi_type: str, month: str, load: str
+    spark: SparkSession,
+    paths: Sequence[str],
+    table_dir: str,
+    taxi_type: str,
+    month: str,
+    load: str,
+    file_rows: int | None = None,
 ) -> T.StructType:
     """Write one month to its own folder, then its rollups, which read that folder alone; return its columns.
 
-    Nothing is shuffled but the parts of the rollups. Until a version names the folder nobody reads it.
+    Nothing is shuffled but the parts of the rollups. With `file_rows` the trips are shuffled once, into
+    files of ranges of their pickup time, so that filters on days skip the others. Until a version names
+    the folder nobody reads it.
     """
     rows = read_union_by_name(spark, paths)
     if taxi_type == "yellow":
@@ -153,7 +162,10 @@ def land_month(
         further = [f for f in rows.schema if f.dataType in wide]
         rows = rows.withColumns({f.name: F.col(f"`{f.name}`").cast(wide[f.dataType]) for f in further})
     folder = folder_of(table_dir, taxi_type, month, load)
-    save(rows, folder)
+    if taxi_type == "yellow" and file_rows:
+        save_clustered(rows, folder, "tpep_pickup_datetime", file_rows)
+    else:
+        save(rows, folder)
     if taxi_type == "yellow":
         roll_up(load_table(spark, folder, schemas.TRIPS), lambda part: folder_of(table_dir, taxi_type, month, load, part))
     return rows.schema
@@ -172,14 +184,20 @@ def part_paths(spark: SparkSession, path: str) -> list[str]:
 
 
 def land_parts(
-    spark: SparkSession, path: str, table_dir: str, taxi_type: str, month: str, load: str
+    spark: SparkSession,
+    path: str,
+    table_dir: str,
+    taxi_type: str,
+    month: str,
+    load: str,
+    file_rows: int | None = None,
 ) -> tuple[T.StructType, list[str]]:
     """Land a month without those of its parts that cannot be read; return its columns and their names.
 
     An error that names a part puts that part aside, and the rest is tried again.
     """
     try:
-        return land_month(spark, [path], table_dir, taxi_type, month, load), []
+        return land_month(spark, [path], table_dir, taxi_type, month, load, file_rows), []
     except (Py4JJavaError, PySparkException) as error:
         if not unreadable(error):
             raise
@@ -192,7 +210,7 @@ def land_parts(
             raise broken
         rejected += [part.rsplit("/", 1)[-1] for part in named]
         try:
-            return land_month(spark, parts, table_dir, taxi_type, month, load), sorted(rejected)
+            return land_month(spark, parts, table_dir, taxi_type, month, load, file_rows), sorted(rejected)
         except (Py4JJavaError, PySparkException) as error:
             if not unreadable(error):
                 raise
@@ -222,13 +240,14 @@ def run_load(
     start: str,
     end: str,
     at_once: int = 4,
+    file_rows: int | None = None,
 ) -> DataFrame:
     """Bring the table up to date and return the plan with what happened to each file.
 
     Months are written `at_once` side by side and published together, in one version. A month whose file
     cannot be read is recorded as `failed`, a part of a month in `rejected`, and the rest still lands; any
-    other error stops the load, after the months that are whole were published. The plan has one row per
-    type and month, which is what the driver holds.
+    other error stops the load, after the months that are whole were published. `file_rows` clusters the
+    files by pickup time. The plan has one row per type and month, which is what the driver holds.
     """
     expected = expected_files(months_between(spark, start, end), taxi_types)
     plan = load_plan(expected, source_listing(spark, source_dir), landed_listing(spark, table_dir, expected))
@@ -239,7 +258,7 @@ def run_load(
         if action in ("load", "reload"):
             path = f"{source_dir}/{step.taxi_type}_tripdata_{step.month}.parquet"
             try:
-                columns, rejected = land_parts(spark, path, table_dir, step.taxi_type, step.month, load)
+                columns, rejected = land_parts(spark, path, table_dir, step.taxi_type, step.month, load, file_rows)
             except (Py4JJavaError, PySparkException, CannotUnite) as error:
                 if not (isinstance(error, CannotUnite) or unreadable(error)):
                     raise

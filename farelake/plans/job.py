@@ -56,6 +56,7 @@ def run(
     start: str,
     end: str,
     allow_missing: bool = False,
+    file_rows: int | None = None,
 ) -> list[str]:
     """Load, register, report. Months that failed, or landed in part, stop the job before the reports unless
 
@@ -63,7 +64,7 @@ def run(
     of one version of the table. Trips are read again for the percentiles alone, and there only once;
     all else comes from the rollups of the months, of which a load makes only those of its own months.
     """
-    outcome = run_load(spark, source_dir, table_dir, taxi_types, start, end)
+    outcome = run_load(spark, source_dir, table_dir, taxi_types, start, end, file_rows=file_rows)
     save(outcome, f"{out_dir}/load/files")
     save(load_summary(outcome), f"{out_dir}/load/summary")
     bad = outcome.where("action = 'failed' OR size(rejected) > 0")
@@ -86,10 +87,13 @@ def main(argv: Sequence[str] | None = None) -> None:
     parser.add_argument("--start", default="2024-01", help="YYYY-MM")
     parser.add_argument("--end", default="2024-03", help="YYYY-MM")
     parser.add_argument("--allow-missing", action="store_true", help="report although months failed")
+    parser.add_argument("--file-rows", type=int, help="cluster the landed trips by pickup time, so many to a file")
     args = parser.parse_args(argv)
     types = [t.strip().lower() for t in args.types.split(",") if t.strip()]
     spark = get_session()
-    run(spark, args.source, args.table, args.out, args.zones, types, args.start, args.end, args.allow_missing)
+    run(
+        spark, args.source, args.table, args.out, args.zones, types, args.start, args.end, args.allow_missing, args.file_rows
+    )
 
 
 if __name__ == "__main__":

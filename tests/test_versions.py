@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from concurrent.futures import ThreadPoolExecutor
 from types import SimpleNamespace
 
+import pyarrow.parquet as pq
 import pytest
 
 from farelake.plans import ingest, job
@@ -14,7 +16,7 @@ from farelake.plans.workloads import WORKLOADS
 from farelake.sources import versions
 from farelake.sources.dimensions import read_zones
 from farelake.sources.scratch import shared_folder
-from helpers import same, trip, write_trips
+from helpers import NOON, same, trip, write_trips
 
 
 @pytest.fixture
@@ -215,6 +217,17 @@ def test_reports_from_merged_months(spark, tmp_path, source, zones_dir):
     assert all(f.count() == 0 for f in read_rollups(spark, str(tmp_path / "none")).values())
 
 
+def test_clustered_months(spark, tmp_path, source):
+    table = str(tmp_path / "trips")
+    rows = [trip(tpep_pickup_datetime=NOON + dt.timedelta(hours=i * 37 % 700), fare_amount=float(i)) for i in range(700)]
+    write_trips(rows, source / "yellow_tripdata_2024-01.parquet")
+    run_load(spark, str(source), table, ["yellow"], "2024-01", "2024-01", file_rows=100)
+    files = sorted((tmp_path / "trips").glob("taxi_type=yellow/month=2024-01/load=*/*.parquet"))
+    ends = sorted((min(x), max(x)) for x in (pq.read_table(f)["tpep_pickup_datetime"].to_pylist() for f in files))
+    assert len(ends) == 7 and all(a[1] <= b[0] for a, b in zip(ends, ends[1:], strict=False))
+    assert counts(spark, table) == {"2024-01": 700}
+
+
 def test_a_cluster_needs_a_shared_folder():
     context = SimpleNamespace(getCheckpointDir=lambda: None, master="yarn")
     cluster = SimpleNamespace(conf=SimpleNamespace(get=lambda name, default: default), sparkContext=context)
