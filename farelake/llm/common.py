@@ -5,17 +5,19 @@ from __future__ import annotations
 import contextlib
 import ctypes
 import tempfile
-import uuid
 import zipfile
 from collections.abc import Callable, Iterator
 from pathlib import Path
 
-import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from farelake.sources.scratch import shared_folder, stored
+
+__all__ = ["shared_folder", "stored"]
+
 #: What separates words: space, tab, line feed, vertical tab, form feed, carriage return.
 WORD_BREAK = r"[\x20\x09-\x0D]+"
 
@@ -38,6 +40,7 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 def keyed(docs: DataFrame) -> DataFrame:
     """doc_id as text, and text: what tasks in Python get, so that large ids beside nulls stay exact."""
+    shipped(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text")
 
 
@@ -76,55 +79,41 @@ def tidy(run: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]):
 
     def tidied(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield from run(frames)
-        pa.default_memory_pool().release_unused()
-        with contextlib.suppress(OSError, AttributeError):  # only this C library has it
-            ctypes.CDLL("libc.so.6").malloc_trim(0)
+        hand_back()
 
     return tidied
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share. A local one is made only where none is named."""
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not named:
-        named = tempfile.mkdtemp(prefix="farelake-")
-        spark.sparkContext.setCheckpointDir(named)
-        named = spark.sparkContext.getCheckpointDir()
-    return named.rstrip("/")
-
-
-def stored(frame: DataFrame, name: str) -> DataFrame:
-    """The frame, written to the shared folder and read again: computed once, safe from lost executors."""
-    spark = frame.sparkSession
-    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    frame.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(frame.schema).parquet(path)
+def hand_back() -> None:
+    """Give memory that is free back to the machine."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only this C library has it
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
 
 
-#: Bits of the membership table, whatever the number of members: 8 MB.
-MEMBER_BITS = 1 << 26
+#: Bits of the membership table per member, and their number at least and at most: 8 MB.
+MEMBER_BITS, LEAST_BITS, MOST_BITS = 16, 1 << 14, 1 << 26
 
 
 def narrowed(docs: DataFrame, ids: DataFrame, name: str = "doc_id") -> DataFrame:
     """The documents but most of those whose doc_id is not among `ids`; a join with them stays to be done.
 
-    Keeps texts that no join will want out of the shuffle. The members are told by a table of bits of
-    a fixed size, set by hash; the more members, the more strangers pass, and none gets lost.
+    Keeps texts that no join will want out of the shuffle. The members are told by a table of bits, set by
+    hash: a row per 64 bits, which is joined by broadcast, as it has a million rows at most. With more
+    members than it was made for more strangers pass, and none gets lost.
     """
-    slot = F.pmod(F.xxhash64(F.col(name)), F.lit(MEMBER_BITS))
-    words = (
-        ids.select(slot.alias("slot"))
-        .groupBy(F.shiftright("slot", 5).alias("word"))
-        .agg(F.expr("bit_or(shiftleft(1L, CAST(slot % 32 AS int)))").alias("bits"))
-        .toPandas()
-    )
-    bits = np.zeros(MEMBER_BITS >> 5, dtype=np.uint32)
-    bits[words["word"].to_numpy(dtype=np.int64)] = words["bits"].to_numpy(dtype=np.int64)
-    sent = docs.sparkSession.sparkContext.broadcast(bits)
+    told = stored(ids.select(F.xxhash64(name).alias("hash")).distinct(), "members")
+    size = min(max(1 << (MEMBER_BITS * told.count()).bit_length(), LEAST_BITS), MOST_BITS)
 
-    @F.pandas_udf("boolean")
-    def member(place: pd.Series) -> pd.Series:
-        at = place.to_numpy(dtype=np.int64)
-        return pd.Series((sent.value[at >> 5] >> (at & 31).astype(np.uint32)) & 1 == 1)
+    def slot(value: Column) -> Column:
+        return F.pmod(value, F.lit(size))
 
-    return docs.where(member(F.pmod(F.xxhash64("doc_id"), F.lit(MEMBER_BITS))))
+    words = (
+        told.select(slot(F.col("hash")).alias("slot"))
+        .groupBy(F.shiftright("slot", 6).alias("member_word"))
+        .agg(F.expr("bit_or(shiftleft(1L, CAST(slot % 64 AS int)))").alias("member_bits"))
+    )
+    hashed = docs.withColumn("member_slot", slot(F.xxhash64("doc_id")))
+    bit = F.expr("shiftright(member_bits, CAST(member_slot % 64 AS int)) & 1L")
+    met = hashed.join(F.broadcast(words), F.shiftright("member_slot", 6) == F.col("member_word"))
+    return met.where(bit == 1).select(*[F.col(f"`{c}`") for c in docs.columns])

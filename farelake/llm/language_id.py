@@ -25,11 +25,13 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from farelake.llm.common import keyed, rekeyed, tidy
+from farelake.llm.common import hand_back, keyed, rekeyed, tidy
 
 UNKNOWN = "und"
 #: Characters handled at once in a task.
 BLOCK_CHARS = 400_000
+#: Length classes of texts, steps of a cosine, and what a text of a language has to reach.
+CLASSES, STEPS, QUANTILE, SLACK = 32, 512, 1 / 1000, 0.8
 #: N-gram vectors made at once.
 GRAMS = 2_048
 
@@ -196,20 +198,64 @@ def identify(docs: DataFrame, profiles: Profiles) -> DataFrame:
     return rekeyed(keyed(docs).mapInPandas(tidy(run), "doc_id string, lang_pred string, score double"), docs)
 
 
-def with_language(docs: DataFrame, profiles: Profiles, least: float, letters_to_judge: int = 100) -> DataFrame:
-    """The documents that have a learned language with at least this cosine, unchanged.
+def length_class(text: str) -> int:
+    """Texts of one class have half to twice each other's characters; short ones are less like any language."""
+    return min(len(text).bit_length(), CLASSES - 1)
 
-    A text of few letters has a small cosine with any language, so it stays if it has a letter at all.
+
+def learn_bounds(docs: DataFrame, profiles: Profiles) -> np.ndarray:
+    """Per language and length class the cosine that a text of it reaches: `SLACK` times a low quantile of theirs.
+
+    Tasks count the cosines of the documents with a language in `STEPS` steps; the counts add up, so a
+    bound moves little by little as documents come, and there is no size at which a rule changes. A class
+    without documents takes the bound of the next shorter one that has some.
+    """
+    predict, count = predictor(profiles), len(profiles.langs)
+
+    def partial(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        table = np.zeros((count + 1, CLASSES, STEPS), dtype=np.int64)
+        for frame in frames:
+            texts = frame["text"].tolist()
+            best, score = predict(texts)
+            step = np.minimum((score * STEPS).astype(np.int64), STEPS - 1)
+            np.add.at(table, (best, [length_class(t) for t in texts], step), 1)
+        best, size, step = np.nonzero(table)
+        yield pd.DataFrame({"best": best, "size": size, "step": step, "n": table[best, size, step]})
+
+    parts = docs.where("text IS NOT NULL AND lang IS NOT NULL").select("text")
+    summed = (
+        parts.mapInPandas(tidy(partial), "best int, size int, step int, n long")
+        .groupBy("best", "size", "step")
+        .agg(F.sum("n").alias("n"))
+        .where(F.col("best") < count)
+        .toPandas()
+    )
+    table = np.zeros((count, CLASSES, STEPS))
+    table[summed["best"], summed["size"], summed["step"]] = summed["n"]
+    bounds = np.zeros((count, CLASSES))
+    for lang in range(count):
+        for size in range(CLASSES):
+            known = table[lang, size].sum()
+            below = np.searchsorted(np.cumsum(table[lang, size]), QUANTILE * known, side="right") if known else None
+            bounds[lang, size] = bounds[lang, max(size - 1, 0)] if below is None else SLACK * below / STEPS
+    return bounds
+
+
+def with_language(docs: DataFrame, profiles: Profiles, least: float | np.ndarray) -> DataFrame:
+    """The documents that have a letter, and a cosine with a learned language of at least `least`, unchanged.
+
+    `least` is one number, or the bounds of `learn_bounds`.
     """
     predict, count = predictor(profiles), len(profiles.langs)
+    bounds = np.vstack([np.broadcast_to(np.asarray(least, dtype=float), (count, CLASSES)), np.ones((1, CLASSES))])
 
     @F.pandas_udf("boolean")
-    def known(text: pd.Series) -> pd.Series:
-        texts = text.fillna("").tolist()
-        best, score = predict(texts)
-        alike = score >= least
-        for i in np.flatnonzero(~alike):
-            alike[i] = sum(map(str.isalpha, texts[i])) < letters_to_judge
-        return pd.Series((best < count) & alike)
+    def known(columns: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for column in columns:
+            texts = column.fillna("").tolist()
+            best, score = predict(texts)
+            alike = score >= bounds[best, [length_class(t) for t in texts]]
+            yield pd.Series((best < count) & alike)
+        hand_back()
 
     return docs.where(known("text"))

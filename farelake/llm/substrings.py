@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from farelake.llm.common import stored, tidy
+from farelake.llm.common import hand_back, shipped, stored, tidy
 from farelake.llm.shingles import mixed, window_hashes, word_hashes
 
 EDGES = 4
@@ -269,6 +269,7 @@ def removals(texts: DataFrame, size: int, group: int = GROUP) -> DataFrame:
 
     Documents without either are left out.
     """
+    shipped(texts.sparkSession)
     known = stored(copies(texts), "copies")
     repeated = stored(anchors(texts, size).join(known, "doc_id", "left_anti"), "anchors")
     tree = suffixes(texts, repeated, size, full_cells(texts, size, group))
@@ -321,13 +322,15 @@ def remove_repeats(docs: DataFrame, size: int = 20, group: int = GROUP) -> DataF
     """
 
     @F.pandas_udf("string")
-    def rest(text: pd.Series, copy: pd.Series, runs: pd.Series) -> pd.Series:
-        out = []
-        for value, whole, found in zip(text, copy, runs):
-            words = (value or "").encode("utf-8", "surrogatepass").split()
-            stay, gone = kept_words(words, whole is True or whole is np.True_, found, size)
-            out.append(b" ".join(stay).decode("utf-8", "surrogatepass") if gone else value)
-        return pd.Series(out, dtype=object)
+    def rest(columns: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for text, copy, runs in columns:
+            out = []
+            for value, whole, found in zip(text, copy, runs):
+                words = (value or "").encode("utf-8", "surrogatepass").split()
+                stay, gone = kept_words(words, whole is True or whole is np.True_, found, size)
+                out.append(b" ".join(stay).decode("utf-8", "surrogatepass") if gone else value)
+            yield pd.Series(out, dtype=object)
+        hand_back()
 
     texts = docs.select("doc_id", "text").where("doc_id IS NOT NULL")
     flags = removals(texts, size, group).select(F.col("doc_id").alias("id"), "copy", "runs")
