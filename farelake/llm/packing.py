@@ -7,8 +7,9 @@
    each one to the histogram by non-negative least squares, rounds, and packs what is left best-fit,
    longest lengths first, still as patterns with counts. Its size depends on the lengths that occur,
    not on the number of documents.
-3. `pack` numbers the pieces of each length and looks up the slot of that number in the plan. A
-   length that a third of all pieces share is numbered in many salted groups.
+3. `pack` numbers the pieces of each length and looks up the slot of that number in the plan. A task
+   numbers its own pieces as it cuts them; what is added is the count of that length in earlier tasks.
+   So pieces, and their ids, are shuffled only where those counts are too many to be broadcast.
 
 Cases: null and empty texts are the end token alone; rows that occur twice are packed twice; null
 doc_ids are passed on; an empty table gives an empty result; other columns are ignored.
@@ -24,15 +25,13 @@ from itertools import groupby
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from farelake.llm.byte_bpe import open_tokenizer
 from farelake.llm.common import keyed, rekeyed, stored, tidy
 
-#: Pieces of one length and salt, about; they are sorted in one task.
-GROUP = 50_000
-
 
 def cut(total: int, limit: int) -> list[tuple[int, int]]:
     """(start, length) of the pieces of a document; only the first may be shorter than the limit."""
@@ -43,24 +42,30 @@ def cut(total: int, limit: int) -> list[tuple[int, int]]:
 
 
 def tokenize(docs: DataFrame, tokenizer: str, limit: int = 2048, end: int = 0, keep_ids: bool = True) -> DataFrame:
-    """doc_id, piece, start, length, ids_crc32 and, if asked for, the `ids` of every piece."""
+    """doc_id, piece, start, length, ids_crc32, if asked for the `ids`, and `task` and `nth` of every piece.
+
+    `nth` numbers the pieces of one length within a task.
+    """
     tail = np.array([end], dtype="<u4").tobytes()
 
     def encode(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bpe = open_tokenizer(tokenizer)
+        context = TaskContext.get()
+        task, met = context.partitionId() if context else 0, Counter()
         for frame in frames:
             rows, ids = [], []
             for doc_id, text in zip(frame["doc_id"], frame["text"]):
                 packed = (bpe.encode(text) if text else b"") + tail
                 for number, (start, length) in enumerate(cut(len(packed) // 4, limit)):
                     piece = packed[4 * start : 4 * (start + length)]
-                    rows.append((doc_id, number, start, length, zlib.crc32(piece)))
+                    rows.append((doc_id, number, start, length, zlib.crc32(piece), task, met[length]))
+                    met[length] += 1
                     if keep_ids:
                         ids.append(np.frombuffer(piece, dtype="<u4").astype(np.int32))
-            out = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
+            out = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32", "task", "nth"])
             yield out.assign(ids=ids) if keep_ids else out
 
-    schema = "doc_id string, piece int, start long, length long, ids_crc32 long"
+    schema = "doc_id string, piece int, start long, length long, ids_crc32 long, task int, nth long"
     pieces = keyed(docs).mapInPandas(tidy(encode), schema + (", ids array<int>" if keep_ids else ""))
     return rekeyed(pieces, docs)
 
@@ -193,25 +198,22 @@ def plan(histogram: np.ndarray, limit: int) -> Plan:
     return Plan(limit, table[:, 0], table[:, 1], table[:, 2], sequence)
 
 
-def numbered(pieces: DataFrame) -> tuple[DataFrame, np.ndarray | None]:
-    """The pieces with `number` (from 0 within their length), and the histogram of lengths."""
-    total = pieces.count()
-    salts = min(max(64, total // GROUP), 1 << 16)
-    salted = pieces.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(salts)).cast("int"))
-    counts = salted.groupBy("length", "salt").agg(F.count(F.lit(1)).alias("n"))
-    before = counts.selectExpr(
-        "length", "salt", "sum(n) OVER (PARTITION BY length ORDER BY salt) - n AS before"
-    )
-    within = salted.selectExpr(
-        "*", "row_number() OVER (PARTITION BY length, salt ORDER BY doc_id, piece, start, ids_crc32) - 1 AS inside"
+def numbered(pieces: DataFrame) -> tuple[DataFrame, pd.DataFrame]:
+    """The pieces with `number` (from 0 within their length), and the histogram of lengths.
+
+    Only the counts per task and length move; a piece gets what the earlier tasks have of its length.
+    """
+    counts = stored(pieces.groupBy("length", "task").agg(F.count(F.lit(1)).alias("n")), "lengths")
+    before = stored(
+        counts.selectExpr("length", "task", "sum(n) OVER (PARTITION BY length ORDER BY task) - n AS before"), "before"
     )
-    joined = within.join(before, ["length", "salt"]).withColumn("number", F.col("before") + F.col("inside"))
+    joined = pieces.join(before, ["length", "task"]).withColumn("number", F.col("before") + F.col("nth"))
     histogram = counts.groupBy("length").agg(F.sum("n").alias("n")).toPandas()
-    return joined.drop("salt", "before", "inside"), histogram
+    return joined.drop("task", "before", "nth"), histogram
 
 
 def pack(pieces: DataFrame, limit: int = 2048) -> DataFrame:
-    """The pieces with `sequence_id` and `offset`. They should be stored: they are read three times."""
+    """The pieces with `sequence_id` and `offset`. They have to be stored: their tasks are those of one run."""
     ranked, counted = numbered(pieces)
     histogram = np.zeros(limit + 1, dtype=np.int64)
     histogram[counted["length"].to_numpy(dtype=np.int64)] = counted["n"].to_numpy(dtype=np.int64)
@@ -226,7 +228,8 @@ def pack(pieces: DataFrame, limit: int = 2048) -> DataFrame:
         return pd.DataFrame({"sequence_id": sequence, "offset": slots.offset[slot]})
 
     placed = ranked.withColumn("slot", place("length", "number"))
-    return placed.select(*pieces.columns, "slot.sequence_id", "slot.offset")
+    told = [c for c in pieces.columns if c not in ("task", "nth")]
+    return placed.select(*told, "slot.sequence_id", "slot.offset")
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, limit: int = 2048, keep_ids: bool = True) -> DataFrame:

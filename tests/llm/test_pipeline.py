@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import random
+import struct
+import zlib
+
 import corpus_pipeline
 from conftest import SMALL
 from farelake.llm.common import stored, table
@@ -58,5 +62,31 @@ def test_run_is_registered(spark):
     import __spark_entry__ as contract
 
     assert contract.queries()["pipeline"] is corpus_pipeline.run
-    columns = "doc_id piece start length ids_crc32 sequence_id offset".split()
-    assert corpus_pipeline.run(spark, SMALL).columns == columns
+    columns = "doc_id piece start length ids_crc32 ids sequence_id offset".split()
+    frame = corpus_pipeline.run(spark, SMALL)
+    assert frame.columns == columns
+    # The ids are what is delivered: a sequence of them can be written as it is.
+    for row in frame.collect():
+        assert len(row.ids) == row.length and zlib.crc32(struct.pack(f"<{row.length}I", *row.ids)) == row.ids_crc32
+
+
+def test_foreign_texts_go(spark):
+    """Languages that nobody taught, and random letters, are not taken for one that is known."""
+    rng = random.Random(4)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    noise = " ".join("".join(rng.choices(letters, k=rng.randrange(2, 9))) for _ in range(400))
+    italian = (
+        "Nel mezzo del cammin di nostra vita mi ritrovai per una selva oscura, ché la diritta via era smarrita. "
+        "Ahi quanto a dir qual era è cosa dura esta selva selvaggia e aspra e forte che nel pensier rinova la paura. "
+    )
+    polish = (
+        "Litwo, ojczyzno moja, ty jesteś jak zdrowie; ile cię trzeba cenić, ten tylko się dowie, kto cię stracił. "
+        "Dziś piękność twą w całej ozdobie widzę i opisuję, bo tęsknię po tobie. "
+    )
+    foreign = [(-1, noise), (-2, italian * 8), (-3, polish * 8)]
+    docs = table(spark, "/root/testdata/sf0.01", "documents")
+    more = spark.createDataFrame([(i, t, None, None, None) for i, t in foreign], docs.schema)
+    kept = {r.doc_id for r in corpus_pipeline.language(spark, docs.union(more), SMALL).select("doc_id").collect()}
+    assert not kept & {-1, -2, -3}
+    clean = {r.doc_id for r in docs.where("lang IS NOT NULL AND text RLIKE '[a-z]'").select("doc_id").collect()}
+    assert len(clean - kept) <= len(clean) // 500
