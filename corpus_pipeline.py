@@ -16,14 +16,12 @@ from farelake.llm.common import shipped, stored, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-#: A document whose letters have less to do with every known language than this cosine is none of them.
-LEAST_LIKENESS = 0.1
-
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Learn the languages of the labelled documents; keep what is written in one of them."""
+    """Learn the languages of the labelled documents, and how like them a text is; keep what is."""
     shipped(spark)
-    return language_id.with_language(docs, language_id.learn(docs), LEAST_LIKENESS)
+    profiles = language_id.learn(docs)
+    return language_id.with_language(docs, profiles, language_id.learn_bounds(docs, profiles))
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,10 +44,10 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pack all documents into sequences of 2048 tokens; one row per piece."""
+    """Pack all documents into sequences of 2048 tokens; one row per piece, with its token ids."""
     shipped(spark)
     tokenizer = str(public_tokenizers.path("byte_bpe_50k.json"))
-    return packing.pack_documents(docs, tokenizer, limit=2048, keep_ids=False)
+    return packing.pack_documents(docs, tokenizer, limit=2048, keep_ids=True)
 
 
 STAGES: list[tuple[str, Stage]] = [
