@@ -275,25 +275,24 @@ def whole_job(spark: SparkSession, folder: str) -> DataFrame:
     place = new_folder(spark, "job")
     _monthly_files(spark, folder, place)
     Store(spark, place).write(f"{place}/yellow_tripdata_2024-03.parquet/part-broken.parquet", "no Parquet file" * 9)
-    run_job(
-        spark, place, f"{place}/table", f"{place}/out", f"{place}/sample/taxi_zones.csv", ["yellow"], "2024-01", "2024-04", True
-    )
-    files = spark.read.parquet(f"{place}/out/load/files").select(
+    table, out, zones = f"{place}/table", f"{place}/out", f"{place}/sample/taxi_zones.csv"
+    run_job(spark, place, table, out, zones, ["yellow"], "2024-01", "2024-04", allow_missing=True)
+    files = spark.read.parquet(f"{out}/load/files").select(
         F.lit("file").alias("kind"),
         F.concat_ws(" ", "month", "action", "rejected").alias("name"),
         F.lit(1).cast("bigint").alias("n"),
     )
-    summary = spark.read.parquet(f"{place}/out/load/summary").unpivot(
+    summary = spark.read.parquet(f"{out}/load/summary").unpivot(
         [], ["expected", "downloaded", "skipped", "failed"], "name", "n"
     )
-    hours = spark.read.parquet(f"{place}/out/reports/hourly-revenue")
-    lengths = spark.read.parquet(f"{place}/out/reports/duration-percentiles")
+    hours = spark.read.parquet(f"{out}/reports/hourly-revenue")
+    lengths = spark.read.parquet(f"{out}/reports/duration-percentiles")
     return union_by_name(
         [
             files,
-            summary.select(F.lit("summary").alias("kind"), "name", F.col("n").cast("bigint").alias("n")),
-            hours.select(F.lit("hour").alias("kind"), F.col("hour_of_day").cast("string").alias("name"), F.col("trips").alias("n")),
-            lengths.select(F.lit("median").alias("kind"), F.col("p50_min").cast("string").alias("name"), F.col("trip_count").alias("n")),
+            summary.selectExpr("'summary' AS kind", "name", "bigint(n) AS n"),
+            hours.selectExpr("'hour' AS kind", "string(hour_of_day) AS name", "trips AS n"),
+            lengths.selectExpr("'median' AS kind", "string(p50_min) AS name", "trip_count AS n"),
         ]
     )
 

@@ -70,7 +70,10 @@ def _rounded(digits: Column, lowest: Column) -> Column:
         leading = (state["taken"] == 0) & (digit == 0)
         full = state["taken"] == DIGITS
         return F.struct(
-            F.when(leading | full, state["held"]).otherwise(state["held"] * F.lit(1 << CLASS) + digit).cast(WIDE).alias("held"),
+            F.when(leading | full, state["held"])
+            .otherwise(state["held"] * F.lit(1 << CLASS) + digit)
+            .cast(WIDE)
+            .alias("held"),
             F.when(leading | full, state["taken"]).otherwise(state["taken"] + 1).alias("taken"),
             F.when(full, state["left"] + 1).otherwise(state["left"]).alias("left"),
             (state["more"] | (full & (digit > 0))).alias("more"),

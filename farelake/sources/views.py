@@ -27,7 +27,8 @@ def register_views(
 ) -> int:
     """Register the views over the monthly files and return how many files back them.
 
-    `log_dir` is where the layouts of the files are remembered, if they are. Raises FileNotFoundError when neither folder has a file; a missing zone CSV is only a warning.
+    `log_dir` is where the layouts of the files are remembered, if they are. Raises FileNotFoundError when
+    neither folder has a file; a missing zone CSV is only a warning.
     """
     files = find_trip_files(spark, data_dir, sample_dir, taxi_type)
     if not files:
