@@ -36,6 +36,8 @@ SENTENCES = {
     "mit-notice": "released under the mit license",
     "mit-licensed": "licensed under the mit license",
     "mit-title": "the mit license mit",
+    "mit-heading": "mit license",
+    "mit-heading-the": "the mit license",
     "mit-grant": "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and/or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions",
     "mit-keep": "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software",
     "mit-asis": "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement",
@@ -110,12 +112,59 @@ PATTERNS = {
     "gpl-free": r"(?:\S+ ){1,8}is free software",
     "gpl-hope": r"(?:\S+ ){1,8}is distributed in the hope that it will be useful but without any warranty",
     # A name as "Inc." ends a sentence, so the first half may be missing.
-    "bsd-third": rf"(?:neither (?:the )?names? of (?:\S+ ){{1,20}}?)?nor (?:the )?names? of (?:\S+ ){{1,12}}?may {ENDORSE}"
-    rf"|(?:the )?names? of (?:\S+ ){{1,20}}?may not {ENDORSE}",
-    "copyright": r"(?:copyright|\(c\)|©)(?: \(c\)| ©)? (?:\S+ ){0,12}\S+",
+    "bsd-third": rf"(?:neither (?:the )?names? of (?:\S+ )+?)?nor (?:the )?names? of (?:\S+ )+?may {ENDORSE}"
+    rf"|(?:the )?names? of (?:\S+ )+?may not {ENDORSE}",
+    "copyright": r"(?:copyright|\(c\)|©)(?: \(c\)| ©)? .*\S",
     "rights": r"all rights reserved",
-    "spdx": r"spdx-license-identifier \S+",
 }
+#: An expression of identifiers, as the text spells it.
+SPDX = re.compile(r"spdx-license-identifier:\s*(\(?[\w.+-]+\)?(?:\s+(?:and|or|with)\s+\(?[\w.+-]+\)?)*)", re.I)
+
+#: Names of licences in notices of the form "... is licensed under the <name>", normalised. Fixed values.
+NAMES = {
+    "Apache-2.0": r"apache(?: software)?(?: license)?(?: version| v)?[ -]?v?2(?:\.0)?(?: license)?",
+    "MIT": r"mit(?:/expat)?(?: license)?|expat license",
+    "BSD-3-Clause": r"(?:bsd 3-clause|3-clause bsd|bsd-3-clause|new bsd|modified bsd|revised bsd)(?: license)?",
+    "BSD-2-Clause": r"(?:bsd 2-clause|2-clause bsd|bsd-2-clause|simplified bsd)(?: license)?",
+    "ISC": r"isc license",
+    "MPL-2.0": r"mozilla public license(?: version)? v?\.? ?2\.0|mpl[ -]v?2\.0",
+    "EPL-2.0": r"eclipse public license(?: version| -)? v?2\.0",
+    "Unlicense": r"unlicense",
+    "CC0-1.0": r"(?:creative commons )?cc0(?: 1\.0)?(?: universal)?(?: license| public domain dedication)?",
+}
+for _code, _words in (
+    ("BY", "attribution"),
+    ("BY-SA", "attribution[- ]sharealike"),
+    ("BY-NC", "attribution[- ]noncommercial"),
+    ("BY-ND", "attribution[- ]noderivatives"),
+    ("BY-NC-SA", "attribution[- ]noncommercial[- ]sharealike"),
+    ("BY-NC-ND", "attribution[- ]noncommercial[- ]noderivatives"),
+):
+    for _version in ("4.0", "3.0"):
+        _number = _version.replace(".", r"\.")
+        NAMES[f"CC-{_code}-{_version}"] = (
+            rf"(?:creative commons {_words}|(?:creative commons )?cc[ -]{_code.lower()})[ -]{_number}"
+            r"(?: international| unported)?(?: public)?(?: license)?"
+        )
+for _short, _long, _numbers in (
+    ("GPL", "gnu general public license|gnu gpl|gpl", "23"),
+    ("LGPL", "gnu lesser general public license|gnu lgpl|lgpl", "23"),
+    ("AGPL", "gnu affero general public license|gnu agpl|agpl", "3"),
+):
+    for _version in _numbers:
+        _number = {"LGPL2": r"2\.1"}.get(_short + _version, rf"{_version}(?:\.0)?")
+        _shown = {"LGPL2": "2.1"}.get(_short + _version, f"{_version}.0")
+        _body = rf"(?:{_long})(?: license)?[ -]?(?:version |v\.? ?)?{_number}"
+        NAMES[f"{_short}-{_shown}-or-later"] = rf"{_body}(?:\+| or(?: at your option)?(?: any)? later(?: version)?)"
+        NAMES[f"{_short}-{_shown}-only"] = rf"{_body}(?: only)?(?: license)?"
+
+#: Any work, but no denial of it, then how it is given, then a name.
+GIVEN = re.compile(
+    r"(?:(?!(?:not|never|nor|neither|cannot|no|without|isn|aren)\b)\S+ )*?"
+    r"(?:licensed|released|distributed|published|provided|available|offered|shared|covered)(?: to you)?(?: freely)? "
+    r"(?:under|subject to|by)(?: the| an?)?(?: terms(?: and conditions)? of(?: the| an?)?)? (?P<name>.+)"
+)
+NAMED = [(f"notice-{licence}", re.compile(rf"(?:{pattern})(?: terms)?")) for licence, pattern in NAMES.items()]
 
 #: Licence (or none) and the identifiers that show it, in order of precedence.
 RULES: list[tuple[str | None, tuple[str, ...]]] = [
@@ -131,7 +180,10 @@ RULES: list[tuple[str | None, tuple[str, ...]]] = [
     ("Apache-2.0", ("apache-notice-the", "apache-comply")),
     ("Apache-2.0", ("apache-notice",)),
     ("Apache-2.0", ("apache-notice-the",)),
+    ("MIT", ("mit-heading", "mit-grant", "mit-keep", "mit-asis")),
     ("MIT", ("mit-title",)),
+    ("MIT", ("mit-heading",)),
+    ("MIT", ("mit-heading-the",)),
     ("MIT", ("mit-grant",)),
     ("MIT", ("mit-notice",)),
     ("MIT", ("mit-licensed",)),
@@ -189,12 +241,14 @@ def gnu_rules() -> list[tuple[str | None, tuple[str, ...]]]:
 
 SAMPLES = [rule for rule in gnu_rules() if rule[0] is None]
 RULES = SAMPLES + RULES + [rule for rule in gnu_rules() if rule[0] and rule not in RULES]
+#: Notices with a blank for the work come last.
+NOTICES: list[tuple[str | None, tuple[str, ...]]] = [(licence, (f"notice-{licence}",)) for licence in NAMES]
 GAP = 3
 
 #: Every known sentence and pattern has one of these words; words, as a line may end between two of them.
 CUE = re.compile(
     r"licen[sc]e|copyright|permission|redistribut|warrant|domain|unencumbered|\(c\)|©|software|reserved|contributors"
-    r"|universal|version|how to apply|advertising|subject",
+    r"|universal|version|how to apply|advertising|subject|released|available|published|\bunder\b",
     re.I,
 )
 SENTENCE_END = re.compile(r"(?<=[.;:!?])(?<!identifier:)(?<!\bv\.)\s+", re.I)
@@ -216,10 +270,17 @@ def identify(sentence: str) -> str | None:
     words = normalised(sentence)
     if words in KNOWN:
         return KNOWN[words]
+    if spdx := SPDX.search(sentence):
+        # As the text spells it, without brackets around the whole.
+        found = " ".join(spdx[1].split())
+        return f"spdx:{found[1:-1] if found[0] == '(' and found.find(')') == len(found) - 1 else found}"
     for name, pattern in BLANKS:
         if pattern.fullmatch(words):
-            # The name as the text spells it.
-            return f"spdx:{sentence.split()[-1]}" if name == "spdx" else name
+            return name
+    if given := GIVEN.fullmatch(words):
+        for name, pattern in NAMED:
+            if pattern.fullmatch(given["name"]):
+                return name
     return None
 
 
@@ -242,7 +303,9 @@ def sentences(text: str) -> list[tuple[int, int, str]]:
     for block in (LINE, PARAGRAPH):
         for start, end in cut(text, block):
             if CUE.search(text, start, end) or block is PARAGRAPH:
-                if name := identify(text[start:end]):
+                name = identify(text[start:end])
+                # A copyright line ends with its line, however many words it has.
+                if name and not (name == "copyright" and "\n" in text[start:end]):
                     found.append((start, end, name))
     out: list[tuple[int, int, str]] = []
     for start, end, name in sorted(set(found), key=lambda f: (f[0], -f[1])):
@@ -266,7 +329,7 @@ def match(names: list[str]) -> list[tuple[int, int, str]]:
             places.append(step)
         return places
 
-    for licence, rule in RULES:
+    for licence, rule in RULES + NOTICES:
         for at, name in enumerate(names):
             if free[at] and name == rule[0] and (places := follow(rule, at)):
                 for i in places:
