@@ -1,32 +1,32 @@
 """SentencePiece BPE encoding with seeded merge-dropout, and decoding.
 
 A text is spelled with the space mark of the model and merged pair by pair, best score first, from an
-agenda. Each candidate merge that comes up draws once and is skipped with the dropout rate. A skipped
-candidate comes up again only if a neighbour changes, so the pieces stay those that merges can give.
-Without dropout the ids are those of the library.
-
-The draws of a document are one stream, keyed with the seed and its doc_id, that its stretches use up in
-order of place: a word is segmented anew wherever it stands. No piece of such a model has a space mark
-after another character, so merges never leave a stretch of marks and what follows them. What is
-remembered has no draws in it: where a stretch can be cut, how many draws it takes, and what it becomes
-once the skipped draws are known (`Parts`).
+agenda. A candidate merge that comes up is skipped if its keyed hash is below the dropout rate: the key
+is the seed and the document, and what is hashed is the candidate, that is the place of its first
+character in the text and its length. A skipped candidate does not come up again; other ones may, as
+neighbours change. So a word is segmented anew wherever it stands, the pieces are those that merges can
+give, and without dropout the ids are those of the library.
+
+No piece of such a model has a space mark after another character, so merges never leave a stretch of
+marks and what follows them. As the hash of a candidate depends on nothing that happens elsewhere, the
+agendas of all stretches of a batch are processed side by side: a round takes the best candidate of every
+stretch that has one, skips or merges it, and scores the new neighbours (`Batch`). Long stretches without
+a place where they can be cut are merged one by one, on a heap.
 
 Characters without a piece become bytes, and so does the space mark itself if a text has it: every
 text decodes to itself.
 
 Cases: null text gives null ids, empty text no ids; rows that occur twice are encoded alike; with a null
-doc_id the text itself keys the stream; an empty table gives an empty result; other columns are ignored; texts of any
-length are encoded whole.
+doc_id the text itself is the key; an empty table gives an empty result; other columns are ignored; texts
+of any length are encoded whole, some stretches at a time.
 """
 
 from __future__ import annotations
 
 import heapq
-import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
-from itertools import count, repeat
 
 import numpy as np
 import pandas as pd
@@ -35,16 +35,18 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from farelake.llm.common import keyed, rekeyed
+from farelake.llm.common import keyed, rekeyed, shipped, tidy
+from farelake.llm.shingles import mixed
 
 MARK = "▁"
-STRETCH = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
-#: Stretches, and outcomes of their parts, remembered by a task at most; then it starts anew.
-REMEMBERED = 200_000
-#: Longer parts are merged on a heap and not remembered.
+#: Longer parts are merged on a heap.
 SHORT = 48
-#: Skips whose places are drawn at once.
-DRAWN = 64
+#: Widths of the agendas that are processed side by side, and how many cells of them at once.
+WIDTHS, CELLS = (4, 6, 8, 10, 12, 16, 24, SHORT), 1 << 20
+#: Characters of the texts that are encoded together.
+TOGETHER = 1 << 20
+#: Odd constants that tell places and lengths apart.
+AT, LONG = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 #: Stands for a space mark that the text itself has; no text that Spark holds has a lone surrogate.
 OWN_MARK = "\udc81"
 
@@ -79,23 +81,18 @@ class Pieces:
             return [stretch]
         return [stretch[i:j] for i, j in zip([0, *cuts], [*cuts, len(stretch)])]
 
-    def merge(self, part: str, skips: Callable[[int], bool]) -> tuple[int, bytes]:
-        """The number of draws that a part takes if those of the numbers `skips` skip, and its ids."""
-        drawn = 0
-
-        def skipped(place: int, piece: str) -> bool:
-            nonlocal drawn
-            drawn += 1
-            return skips(drawn - 1)
+    def merge(self, part: str, skipped: Callable[[int, str], bool]) -> list[str]:
+        """The symbols of a part after all merges; `skipped` is asked for the place and piece of a candidate."""
+        return self.merge_short(part, skipped) if len(part) <= SHORT else self.merge_long(part, skipped)
 
-        made = self.merge_short(part, skipped) if len(part) <= SHORT else self.merge_long(part, skipped)
-        ids = []
-        for symbol in made:
+    def ids(self, symbols: list[str]) -> list[int]:
+        out: list[int] = []
+        for symbol in symbols:
             if symbol in self.number:
-                ids.append(self.number[symbol])
+                out.append(self.number[symbol])
             else:
-                ids.extend(self.byte[b] for b in symbol.replace(OWN_MARK, MARK).encode())
-        return drawn, np.array(ids, dtype=np.int32).tobytes()
+                out.extend(self.byte[b] for b in symbol.replace(OWN_MARK, MARK).encode())
+        return out
 
     def merge_short(self, stretch: str, skipped: Callable[[int, str], bool]) -> list[str]:
         """The agenda as a plain list of the scores of neighbours; the leftmost of equal ones is first."""
@@ -157,106 +154,213 @@ class Pieces:
         return text[1:]
 
 
-class Parts(dict):
-    """Per part and places of its skips among its draws: the number of draws and the ids."""
-
-    def __init__(self, pieces: Pieces):
-        self.pieces = pieces
-
-    def __missing__(self, key: tuple[str, tuple[int, ...]]) -> tuple[int, bytes]:
-        if len(self) > REMEMBERED:
-            self.clear()
-        part, skips = key
-        outcome = self[key] = self.pieces.merge(part, skips.__contains__)
-        return outcome
-
-
-class Stretches(dict):
-    """Per stretch after a single mark: draws and ids without a skip, and the parts."""
-
-    def __init__(self, pieces: Pieces):
-        self.pieces, self.parts = pieces, Parts(pieces)
-
-    def whole(self, stretch: str) -> tuple[int, bytes, list[str]]:
-        parts = self.pieces.parts(stretch)
-        plain = [self.parts[part, ()] if len(part) <= SHORT else self.pieces.merge(part, ().__contains__) for part in parts]
-        return sum(n for n, _ in plain), b"".join(ids for _, ids in plain), parts
-
-    def __missing__(self, part: str) -> tuple[int, bytes, list[str]]:
-        if len(self) > REMEMBERED:
-            self.clear()
-        found = self[part] = self.whole(MARK + part)
-        return found
+class Merges:
+    """The merges of a vocabulary as arrays: symbols of characters, and what pairs of symbols become.
 
+    Symbols are piece numbers, further numbers for characters that only stand inside of pieces, and
+    negative ones for all others, which are never merged.
+    """
 
-def skip_places(rate: float, key: str) -> Iterator[int]:
-    """The places of the skips in the stream of draws of a key, ascending and without end."""
-    if rate <= 0:
-        yield from repeat(1 << 62)
-    if rate >= 1:
-        yield from count()
-    stream, last = np.random.PCG64(xxhash.xxh64_intdigest(key.encode("utf-8", "surrogatepass"))), -1
-    while True:
-        # Gaps between skips are geometric.
-        uniform = ((stream.random_raw(DRAWN) >> np.uint64(11)) + 0.5) / (1 << 53)
-        places = last + np.cumsum(np.floor(np.log(uniform) / np.log1p(-rate)).astype(np.int64) + 1)
-        last = int(places[-1])
-        yield from places.tolist()
+    def __init__(self, pieces: Pieces) -> None:
+        symbol = dict(pieces.number)
+        for piece in pieces.number:
+            for char in piece:
+                symbol.setdefault(char, len(pieces.surface) + len(symbol))
+        self.symbol = symbol
+        self.of_char = -np.arange(0x110000, dtype=np.int32) - 2
+        for char, number in symbol.items():
+            if len(char) == 1:
+                self.of_char[ord(char)] = number
+        found = [
+            (symbol[piece[:i]], symbol[piece[i:]], number, pieces.score[piece])
+            for piece, number in pieces.number.items()
+            for i in range(1, len(piece))
+            if piece[:i] in symbol and piece[i:] in symbol
+        ]
+        left, right, whole, score = zip(*found, strict=True) if found else ((), (), (), ())
+        keys = (np.array(left, dtype=np.int64) << 32) | np.array(right, dtype=np.int64)
+        # An open table, a quarter full at most: a key stands in its slot or in one of the next.
+        self.bits = max(4, (4 * len(keys)).bit_length())
+        size = 1 << self.bits
+        self.keys = np.full(size + len(keys) + 1, -1, dtype=np.int64)
+        self.whole = np.full(len(self.keys), -1, dtype=np.int32)
+        self.score = np.full(len(self.keys), -np.inf, dtype=np.float32)
+        for key, slot, made, value in zip(keys.tolist(), self.slot(keys).tolist(), whole, score, strict=True):
+            while self.keys[slot] != -1:
+                slot += 1
+            self.keys[slot], self.whole[slot], self.score[slot] = key, made, value
+
+    def slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.view(np.uint64) * AT) >> np.uint64(64 - self.bits)).view(np.int64)
+
+    def pairs(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The slot of every pair; one with a score of minus infinity where there is no merge."""
+        # A negative symbol gives a negative key, which no slot has but the empty ones.
+        keys = (left.astype(np.int64) << 32) | right.astype(np.int64)
+        keys[(left < 0) | (right < 0)] = -1
+        slots = self.slot(keys)
+        other = np.flatnonzero((self.keys[slots] != keys) & (self.keys[slots] != -1))
+        while len(other):
+            slots[other] += 1
+            at = slots[other]
+            other = other[(self.keys[at] != keys[other]) & (self.keys[at] != -1)]
+        return slots
 
 
 @dataclass(frozen=True)
 class Encoder:
     """Encodes texts under a rate and a seed."""
 
-    stretches: Stretches
+    pieces: Pieces
+    merges: Merges
     rate: float
     seed: int
     variant: int
 
     def encode(self, text: str, name: str | None = None) -> np.ndarray:
-        """Ids of a text; the draws are keyed with the name, or else with the variant."""
-        if not text:
-            return np.zeros(0, dtype=np.int32)
-        text = text.replace(MARK, OWN_MARK)
-        known = self.stretches
-        if text[0] == " " or "  " in text or text[-1] == " ":
-            spelled = STRETCH.findall(MARK + text.replace(" ", MARK))
-            found = (known[s[1:]] if s[1:2] != MARK else known.whole(s) for s in spelled)
-        else:
-            found = map(known.__getitem__, text.split(" "))
-        places = skip_places(self.rate, f"{self.seed}/{self.variant if name is None else name}")
-        at, skip, out = 0, next(places), []
-        for draws, ids, parts in found:
-            if at + draws <= skip:
-                at += draws
-                out.append(ids)
-                continue
-            for part in parts:
-                if len(part) > SHORT:
-                    at, skip, ids = self.long(part, at, skip, places)
-                else:
-                    skips: tuple[int, ...] = ()
-                    draws, ids = known.parts[part, skips]
-                    while skip < at + draws:
-                        skips = (*skips, skip - at)
-                        skip = next(places)
-                        draws, ids = known.parts[part, skips]
-                    at += draws
-                out.append(ids)
-        return np.frombuffer(b"".join(out), dtype=np.int32)
-
-    def long(self, part: str, at: int, skip: int, places: Iterator[int]) -> tuple[int, int, bytes]:
-        """Merge a long part under the draws from `at` on: the draw after it, the next skip, and its ids."""
-
-        def skips(number: int) -> bool:
-            nonlocal skip
-            if at + number < skip:
-                return False
-            skip = next(places)
-            return True
-
-        draws, ids = self.stretches.pieces.merge(part, skips)
-        return at + draws, skip, ids
+        """Ids of a text; the hash is keyed with the name, or else with the variant."""
+        return self.encode_all([text], [self.variant if name is None else name])[0]
+
+    def key(self, name: str | int) -> int:
+        return xxhash.xxh64_intdigest(f"{self.seed}/{name}".encode("utf-8", "surrogatepass"))
+
+    def skips(self, keys: np.ndarray, places: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """Whether the candidates of these lengths at these places of the texts of these keys are skipped."""
+        if self.rate <= 0 or self.rate >= 1:
+            return np.full(len(keys), self.rate >= 1)
+        hashed = mixed(keys + places.astype(np.uint64) * AT + lengths.astype(np.uint64) * LONG)
+        return hashed < np.uint64(int(self.rate * (1 << 64)))
+
+    def skipped(self, key: int, start: int) -> Callable[[int, str], bool]:
+        """The same for one candidate at a time, of a part that starts at `start`."""
+
+        def asked(place: int, piece: str) -> bool:
+            told = np.array([key], dtype=np.uint64), np.array([start + place]), np.array([len(piece)])
+            return bool(self.skips(*told)[0])
+
+        return asked
+
+    def encode_all(self, texts: list[str], names: list[str | int]) -> list[np.ndarray]:
+        """Ids of every text; as many texts at once as have `TOGETHER` characters."""
+        out: list[np.ndarray] = []
+        start = held = 0
+        for i, text in enumerate(texts):
+            held += len(text) + 1
+            if held >= TOGETHER or i + 1 == len(texts):
+                keys = np.array([self.key(name) for name in names[start : i + 1]], dtype=np.uint64)
+                out += Batch(self, texts[start : i + 1], keys).ids()
+                start, held = i + 1, 0
+        return out
+
+
+class Batch:
+    """The characters of some texts one after the other, and at every place the symbol that starts there."""
+
+    def __init__(self, encoder: Encoder, texts: list[str], keys: np.ndarray) -> None:
+        self.encoder, self.merges, self.keys = encoder, encoder.merges, keys
+        spelled = "".join([MARK + t.replace(MARK, OWN_MARK).replace(" ", MARK) if t else "" for t in texts])
+        self.spelled = spelled
+        chars = np.frombuffer(spelled.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        sizes = np.array([len(t) + 1 if t else 0 for t in texts], dtype=np.int64)
+        self.starts = np.concatenate([[0], np.cumsum(sizes)])
+        self.symbols = self.merges.of_char[chars]
+        mark = chars == ord(MARK)
+        new = mark & ~np.concatenate([[False], mark[:-1]])
+        new[self.starts[:-1][sizes > 0]] = True
+        self.stretches = np.flatnonzero(new)
+        self.lengths = np.diff(np.append(self.stretches, len(chars)))
+        owner = np.searchsorted(self.starts, self.stretches, side="right") - 1
+        self.key_of, self.place_of = keys[owner], self.stretches - self.starts[owner]
+
+    def ids(self) -> list[np.ndarray]:
+        low = 1
+        for width in WIDTHS:
+            some = np.flatnonzero((self.lengths > low) & (self.lengths <= width))
+            for at in range(0, len(some), CELLS // width):
+                self.merge(some[at : at + CELLS // width], width)
+            low = width
+        for i in np.flatnonzero(self.lengths > SHORT).tolist():
+            self.merge_alone(int(self.stretches[i]), int(self.lengths[i]), int(self.key_of[i]), int(self.place_of[i]))
+        symbols, places = self.symbols, np.flatnonzero(self.symbols != -1)
+        symbols = symbols[places]
+        owner = np.searchsorted(self.starts, places, side="right") - 1
+        pieces = self.encoder.pieces
+        strange = np.flatnonzero((symbols < 0) | (symbols >= len(pieces.surface)))
+        if len(strange):
+            # Characters without a piece are a few ids each.
+            spelled = [[pieces.byte[b] for b in self.char(p).encode()] for p in places[strange].tolist()]
+            repeats = np.ones(len(symbols), dtype=np.int64)
+            repeats[strange] = [len(x) for x in spelled]
+            first = np.cumsum(repeats) - repeats
+            symbols, owner = np.repeat(symbols, repeats), np.repeat(owner, repeats)
+            for at, found in zip(first[strange].tolist(), spelled, strict=True):
+                symbols[at : at + len(found)] = found
+        return np.split(symbols.astype(np.int32), np.searchsorted(owner, np.arange(1, len(self.starts) - 1)))
+
+    def char(self, place: int) -> str:
+        char = self.spelled[place]
+        return MARK if char == OWN_MARK else char
+
+    def merge_alone(self, start: int, length: int, key: int, place: int) -> None:
+        """A long stretch: cut where no merge reaches across, each part on its own agenda."""
+        pieces = self.encoder.pieces
+        for part in pieces.parts(self.spelled[start : start + length]):
+            symbols = pieces.merge(part, self.encoder.skipped(key, place))
+            at = start
+            for symbol in symbols:
+                self.symbols[at] = self.merges.symbol.get(symbol, self.symbols[at])
+                self.symbols[at + 1 : at + len(symbol)] = -1
+                at += len(symbol)
+            start, place = start + len(part), place + len(part)
+
+    def merge(self, some: np.ndarray, width: int) -> None:
+        """The agendas of stretches of at most `width` characters, a candidate of each per round."""
+        merges, n = self.merges, len(some)
+        # Cells of a stretch are its characters; one more at its end stands for no neighbour.
+        wide = width + 1
+        cells = self.stretches[some][:, None] + np.arange(wide)
+        inside = np.arange(wide) < self.lengths[some][:, None]
+        symbol = np.where(inside, self.symbols[np.minimum(cells, len(self.symbols) - 1)], -1).ravel()
+        begin = np.arange(n) * wide
+        after = (np.arange(n * wide).reshape(n, wide) + 1).ravel()
+        before = np.maximum(np.arange(n * wide) - 1, np.repeat(begin, wide))
+        size = np.ones(n * wide, dtype=np.int64)
+        score = np.full((n, wide), -np.inf, dtype=np.float32)
+        made = np.full(n * wide, -1, dtype=np.int32)
+        both = np.flatnonzero((inside & np.roll(inside, -1, axis=1) & (np.arange(wide) < width)).ravel())
+        slots = merges.pairs(symbol[both], symbol[both + 1])
+        score.reshape(-1)[both], made[both] = merges.score[slots], merges.whole[slots]
+        flat = score.reshape(-1)
+        end = begin + self.lengths[some]
+        live, keys, places = np.arange(n), self.key_of[some], self.place_of[some]
+        while True:
+            agenda = score[live]
+            best = agenda.argmax(axis=1)
+            found = agenda[np.arange(len(live)), best] > -np.inf
+            live, best = live[found], best[found]
+            if not len(live):
+                break
+            at = begin[live] + best
+            right = after[at]
+            skip = self.encoder.skips(keys[live], places[live] + best, size[at] + size[right])
+            flat[at[skip]] = -np.inf
+            row, at, right = live[~skip], at[~skip], right[~skip]
+            symbol[at] = made[at]
+            size[at] += size[right]
+            symbol[right], flat[right] = -1, -np.inf
+            following = after[right]
+            after[at] = following
+            last = following >= end[row]
+            before[following[~last]] = at[~last]
+            flat[at[last]] = -np.inf
+            inner, behind = at[~last], following[~last]
+            first = at == begin[row]
+            previous, me = before[at[~first]], at[~first]
+            left, beside = np.concatenate([inner, previous]), np.concatenate([behind, me])
+            slots = merges.pairs(symbol[left], symbol[beside])
+            flat[left], made[left] = merges.score[slots], merges.whole[slots]
+        kept = inside.ravel()
+        self.symbols[cells.ravel()[kept]] = symbol[kept]
 
 
 @lru_cache(maxsize=2)
@@ -265,13 +369,13 @@ def open_model(path: str) -> Pieces:
 
 
 @lru_cache(maxsize=2)
-def stretches(path: str) -> Stretches:
-    return Stretches(open_model(path))
+def open_merges(path: str) -> Merges:
+    return Merges(open_model(path))
 
 
 @lru_cache(maxsize=16)
 def remembered(path: str, rate: float, seed: int, variant: int = 0) -> Encoder:
-    return Encoder(stretches(path), rate, seed, variant)
+    return Encoder(open_model(path), open_merges(path), rate, seed, variant)
 
 
 def encode(
@@ -279,11 +383,12 @@ def encode(
 ) -> DataFrame:
     """doc_id and `ids`, segmented anew for every seed and document.
 
-    With `variants`, the documents share that many streams of draws instead of having one each. `check`
-    adds `lossless`: whether the ids decode to the text.
+    With `variants`, the documents share that many keys instead of having one each. `check` adds `lossless`:
+    whether the ids decode to the text.
     """
+    shipped(docs.sparkSession)
 
-    def stream(doc_id: str | None, text: str) -> str:
+    def name(doc_id: str | None, text: str) -> str:
         if variants is None:
             return f"text/{text}" if doc_id is None else f"doc/{doc_id}"
         return str(0 if doc_id is None else xxhash.xxh64_intdigest(f"{seed}/{doc_id}") % variants)
@@ -291,10 +396,9 @@ def encode(
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encoder = remembered(model, rate, seed)
         for frame in frames:
-            ids = [
-                None if text is None else encoder.encode(text, stream(doc_id, text))
-                for doc_id, text in zip(frame["doc_id"], frame["text"])
-            ]
+            names = [name(doc_id, text or "") for doc_id, text in zip(frame["doc_id"], frame["text"])]
+            found = encoder.encode_all([text or "" for text in frame["text"]], names)
+            ids = [None if text is None else made for text, made in zip(frame["text"], found)]
             out = pd.DataFrame({"doc_id": frame["doc_id"], "ids": ids})
             if check:
                 decoded = [None if i is None else open_model(model).decode(i) for i in ids]
@@ -302,7 +406,7 @@ def encode(
             yield out
 
     schema = "doc_id string, ids array<int>" + (", lossless boolean" if check else "")
-    return rekeyed(keyed(docs).mapInPandas(run, schema), docs)
+    return rekeyed(keyed(docs).mapInPandas(tidy(run), schema), docs)
 
 
 def decode(encoded: DataFrame, model: str) -> DataFrame:
