@@ -8,11 +8,14 @@ logistic curve, fitted to labelled texts that the dictionaries have not seen and
 shares of the labels, turns the feature into a score: each half of the sample is compared with the
 dictionaries of the other half, and the dictionaries of the whole sample are the ones that stay.
 
-The sample is bounded: of each label the `sample` rows whose doc_ids hash lowest.
+The sample is bounded: of each label the `sample` rows whose doc_ids hash lowest. The driver gets 1,024
+bytes from the middle of each, and one number per text; the texts themselves, however long, are compared
+in tasks.
 
 Cases: null and empty texts get the score of equal sizes; rows without a label or text teach nothing;
 without labels of both kinds all scores are the share of good labels (one half without labels);
-repeated rows are scored alike; null doc_ids are passed on; other columns are ignored.
+repeated rows are scored alike; null doc_ids are passed on; a document with both labels teaches one of
+them, label 0; very long texts are compared whole, block by block; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -24,10 +27,10 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from farelake.llm.common import keyed, rekeyed
+from farelake.llm.common import keyed, rekeyed, stored, tidy
 
 #: Labelled rows of each kind that are used at most.
 SAMPLE = 2_000
@@ -63,19 +66,22 @@ def feature(model: Model, text: str | None) -> float:
     return (bad - good) / len(data) if data else 0.0
 
 
-def dictionary(texts: list[str]) -> bytes:
-    """A stretch from the middle of each text, the first ones last, where they are cheapest to refer to."""
-    parts, total = [], 0
-    # Of few texts more is taken.
-    part = max(PART, DICTIONARY // max(1, len(texts)))
-    for text in texts:
-        data = text.encode("utf-8", "surrogatepass")
-        start = max(0, (len(data) - part) // 2)
-        parts.append(data[start : start + part])
-        total += len(parts[-1])
+def middle_of(text: Column) -> Column:
+    """`PART` bytes from the middle of a text."""
+    data = F.encode(text, "utf-8")
+    start = F.greatest(F.lit(0), F.floor((F.octet_length(text) - PART) / 2)).cast("int")
+    return F.substring(data, start + 1, F.lit(PART))
+
+
+def dictionary(parts: list[bytes]) -> bytes:
+    """The stretches of the texts, the first ones last, where they are cheapest to refer to."""
+    taken, total = [], 0
+    for part in parts:
+        taken.append(part)
+        total += len(part)
         if total >= DICTIONARY:
             break
-    return b"\n".join(reversed(parts))[-DICTIONARY:]
+    return b"\n".join(reversed(taken))[-DICTIONARY:]
 
 
 def curve(x: np.ndarray, good: np.ndarray, share: float) -> tuple[float, float]:
@@ -99,6 +105,20 @@ def trimmed(one: bytes, other: bytes) -> tuple[bytes, bytes]:
     return one[len(one) - least :], other[len(other) - least :]
 
 
+def features(texts: DataFrame, turn: dict, halves: list[Model]) -> pd.DataFrame:
+    """doc_id, quality and the feature `x` of the sampled texts, each by the dictionaries of the other half."""
+    sent = texts.sparkSession.sparkContext.broadcast((turn, halves))
+
+    def compare(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        halves_of, models = sent.value
+        for frame in frames:
+            x = [feature(models[halves_of[i]], text) for i, text in zip(frame["doc_id"], frame["text"], strict=True)]
+            yield pd.DataFrame({"doc_id": frame["doc_id"], "quality": frame["quality"], "x": np.array(x, dtype=float)})
+
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in texts.schema if f.name != "text")
+    return texts.mapInPandas(tidy(compare), f"{kinds}, x double").toPandas()
+
+
 def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """Fit to `text` and `quality`, joined by doc_id."""
     known = labels.where("quality IN (0, 1)").select("doc_id", "quality").distinct()
@@ -109,13 +129,16 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
         lowest.append(rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample))
     picked = lowest[0].union(lowest[1])
     # At most twice `sample` doc_ids: small enough to send to every task.
-    texts = docs.where("text IS NOT NULL AND text <> ''").select("doc_id", "text").join(F.broadcast(picked), "doc_id")
-    found = texts.toPandas().sort_values(["doc_id", "text"]).drop_duplicates("doc_id").reset_index(drop=True)
+    rows = docs.where("text IS NOT NULL AND text <> ''").select("doc_id", "text").join(F.broadcast(picked), "doc_id")
+    # Of repeated rows the smallest text counts. What the driver gets is `PART` bytes of each.
+    texts = stored(rows.groupBy("doc_id", "quality").agg(F.min("text").alias("text")), "labelled")
+    found = texts.select("doc_id", "quality", middle_of(F.col("text")).alias("part")).toPandas()
+    found = found.sort_values(["doc_id", "quality"]).drop_duplicates("doc_id").reset_index(drop=True)
     order = np.random.default_rng(1).permutation(len(found))
-    content, quality = found["text"].to_numpy(), found["quality"].to_numpy()
+    content, quality = [bytes(part) for part in found["part"]], found["quality"].to_numpy()
 
     def dictionaries(rows: np.ndarray) -> Model | None:
-        good, bad = (dictionary(content[rows[quality[rows] == kind]].tolist()) for kind in (1, 0))
+        good, bad = (dictionary([content[i] for i in rows if quality[i] == kind]) for kind in (1, 0))
         return Model(*trimmed(good, bad), 1.0, 0.0) if good and bad else None
 
     def unknown() -> Model:
@@ -128,14 +151,13 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     for kind in (0, 1):
         mine = order[quality[order] == kind]
         turn[mine] = np.arange(len(mine)) % 2
-    x, seen = np.zeros(len(found)), np.zeros(len(found), dtype=bool)
-    for half in (0, 1):
-        plain = dictionaries(order[turn[order] != half])
-        if plain is None:
-            return unknown()
-        for i in np.flatnonzero(turn == half):
-            x[i], seen[i] = feature(plain, content[i]), True
-    slope, middle = curve(x[seen], quality[seen].astype(float), share)
+    halves = [dictionaries(order[turn[order] != half]) for half in (0, 1)]
+    if None in halves:
+        return unknown()
+    # Whole texts are compared where they are; a number per text comes back.
+    x = features(texts, dict(zip(found["doc_id"].tolist(), turn.tolist(), strict=True)), halves)
+    compared = found.merge(x, on=["doc_id", "quality"])
+    slope, middle = curve(compared["x"].to_numpy(), compared["quality"].to_numpy(dtype=float), share)
     whole = dictionaries(order)
     return Model(whole.good, whole.bad, slope, middle)
 
