@@ -5,7 +5,9 @@ Everything is a column expression, so the scan is one pass without a shuffle.
 Cases: null text is empty; empty text has no spans; repeated rows give repeated results; a null or
 repeated doc_id is passed on; an empty table gives an empty table; other columns are ignored by
 `find_pii` and passed on by `redact`. Texts of any length are scanned whole: the patterns are
-possessive or of fixed length, so long runs of digits or letters cost linear time and no stack.
+possessive or of fixed length, so long runs of digits or letters cost linear time and no stack. What
+stands around a match is cut from blocks of the text (`cut`), not from its start, and lists of spans grow
+in chunks (`walked`), so a long text with many matches takes as long as many short ones.
 """
 
 from __future__ import annotations
@@ -180,20 +182,89 @@ ADDED = (
 )
 
 
-def spans(text: Column, kind: Kind) -> Column:
-    """Confirmed matches of a kind, leftmost first and not overlapping, with code point positions."""
+#: Characters of a block of a text, and members of a chunk of a list.
+BLOCK, CHUNK = 2_000, 256
+
+
+def blocks(text: Column) -> Column:
+    """The text in blocks of `BLOCK` characters."""
+    return F.when(F.length(text) <= BLOCK, F.array(text)).otherwise(
+        F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))
+    )
+
+
+def cut(held: Column, start: Column, end: Column) -> Column:
+    """Characters from `start` on and before `end` of a text in blocks."""
+
+    def block(number: Column) -> Column:
+        return F.coalesce(F.get(held, number), F.lit(""))
+
+    def between_blocks(b: Column) -> Column:
+        first, last, at, upto = b["first"], b["last"], b["at"], b["upto"]
+        inner = F.substr(block(first), at + 1, upto - at)
+        middle = F.array_join(F.slice(held, first + 2, F.greatest(last - first - 1, F.lit(0))), "")
+        outer = F.concat(F.substr(block(first), at + 1, F.lit(BLOCK)), middle, F.substr(block(last), F.lit(1), upto))
+        return F.when(first == last, inner).otherwise(outer)
+
+    places = F.struct(
+        F.floor(start / BLOCK).cast("int").alias("first"),
+        F.floor(end / BLOCK).cast("int").alias("last"),
+        (start % BLOCK).cast("int").alias("at"),
+        (end % BLOCK).cast("int").alias("upto"),
+    )
+    return let(places, between_blocks)
+
+
+def walked(
+    items: Column, carry: Column, kind: str, step: Callable[[Column, Column], tuple[Column, Column]]
+) -> Column:
+    """Walk a list with something carried along: (carry, found), the last of that and what was found, in order.
+
+    `step` of what is carried and a member gives what is carried on, and what is found there: an array of
+    type `kind`. An array that grew member by member would be copied as often as it has members.
+    """
+    none = F.array().cast(kind)
+
+    def inner(state: Column, item: Column) -> Column:
+        on, found = step(state["carry"], item)
+        return F.struct(on.alias("carry"), F.concat(state["found"], found).alias("found"))
+
+    def outer(state: Column, chunk: Column) -> Column:
+        start = F.struct(state["carry"].alias("carry"), none.alias("found"))
+        done = F.aggregate(chunk, start, inner)
+
+        def grown(d: Column) -> Column:
+            return F.struct(d["carry"].alias("carry"), F.concat(state["found"], F.array(d["found"])).alias("found"))
+
+        return let(done, grown)
+
+    def chunks(held: Column) -> Column:
+        numbers = F.sequence(F.lit(0), F.floor(F.greatest(F.size(held) - 1, F.lit(0)) / CHUNK).cast("int"))
+        return F.transform(numbers, lambda n: F.slice(held, n * CHUNK + 1, CHUNK))
+
+    start = F.struct(carry.alias("carry"), F.array().cast(f"array<{kind}>").alias("found"))
+    # The list is made once; so is what is read of the end.
+    end = F.aggregate(let(items, chunks), start, outer)
+    return let(end, lambda e: F.struct(e["carry"].alias("carry"), F.flatten(e["found"]).alias("found")))
+
+
+def spans(text: Column, kind: Kind, held: Column) -> Column:
+    """Confirmed matches of a kind, leftmost first and not overlapping, with code point positions.
+
+    `held` is the text in blocks.
+    """
     pieces = F.split(text, kind.pattern, -1)
     matches = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0 if kind.head is None else 1))
     none = F.array().cast(SPAN)
 
-    def step(state: Column, pair: Column) -> Column:
+    def step(carry: Column, pair: Column) -> tuple[Column, Column]:
         value = pair["matches"]
-        start = state["at"] + F.length(pair["pieces"])
+        start = carry["at"] + F.length(pair["pieces"])
         taken = F.length(value) if kind.head is None else F.when(value.isNotNull(), kind.head)
         end = start + F.coalesce(taken, F.lit(0))
 
         def found(at: Column) -> Column:
-            near = F.lower(F.substr(text, F.greatest(at - kind.near, F.lit(0)).cast("int") + 1, (at - F.greatest(at - kind.near, F.lit(0)) + F.length(value) + kind.near).cast("int")))
+            near = F.lower(cut(held, F.greatest(at - kind.near, F.lit(0)), at + F.length(value) + kind.near))
             score = F.lit(kind.score) + F.when(near.rlike(kind.context), kind.bonus).otherwise(0.0)
             span = F.struct(
                 F.lit(kind.name).alias("kind"),
@@ -202,25 +273,27 @@ def spans(text: Column, kind: Kind) -> Column:
                 value.alias("value"),
                 score.alias("score"),
             )
-            return F.when(score >= THRESHOLD, F.concat(state["found"], F.array(span).cast(SPAN))).otherwise(state["found"])
+            return F.when(score >= THRESHOLD, F.array(span).cast(SPAN)).otherwise(none)
 
-        fresh = F.lit(True) if kind.head is None else start >= F.coalesce(F.try_element_at(state["found"], F.lit(-1))["end"], F.lit(0))
-        kept = F.when(value.isNotNull() & fresh & kind.valid(value), let(start, found)).otherwise(state["found"])
-        return F.struct(end.alias("at"), kept.alias("found"))
+        fresh = F.lit(True) if kind.head is None else start >= carry["last"]
+        confirmed = F.when(value.isNotNull() & fresh & kind.valid(value), let(start, found)).otherwise(none)
+        # Where the last span that was found ends.
+        last = carry["last"]
+        if kind.head is not None:
+            last = F.when(F.size(confirmed) > 0, start + F.length(value)).otherwise(last)
+        return F.struct(end.cast("bigint").alias("at"), last.cast("bigint").alias("last")), confirmed
 
-    walked = F.aggregate(
-        F.arrays_zip(pieces.alias("pieces"), matches.alias("matches")),
-        F.struct(F.lit(0).cast("bigint").alias("at"), none.alias("found")),
-        step,
-        lambda state: state["found"],
-    )
-    return F.when(text.rlike(kind.cue), walked).otherwise(none)
+    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit(0).cast("bigint").alias("last"))
+    done = walked(F.arrays_zip(pieces.alias("pieces"), matches.alias("matches")), start, SPAN, step)
+    return F.when(text.rlike(kind.cue), done["found"]).otherwise(none)
 
 
 def all_spans(text: Column) -> Column:
     """Spans of every kind, in the order of the kinds, then by start."""
     whole = F.coalesce(text, F.lit(""))
-    return F.concat(*[spans(whole, kind) for kind in BASE + ADDED])
+    any_cue = whole.rlike("|".join(f"(?:{kind.cue})" for kind in BASE + ADDED))
+    found = let(blocks(whole), lambda held: F.concat(*[spans(whole, kind, held) for kind in BASE + ADDED]))
+    return F.when(any_cue, found).otherwise(F.array().cast(SPAN))
 
 
 def find_pii(docs: DataFrame) -> DataFrame:
@@ -239,23 +312,21 @@ def redact(docs: DataFrame) -> DataFrame:
         F.transform("pii", lambda s: F.struct(s["start"], (-s["end"]).alias("back"), s["kind"]))
     )
 
-    def step(state: Column, span: Column) -> Column:
-        end = -span["back"]
-        gap = F.substr(text, (state["at"] + 1).cast("int"), (span["start"] - state["at"]).cast("int"))
-        fresh = span["start"] >= state["at"]
-        return F.struct(
-            F.greatest(state["at"], end).alias("at"),
-            F.when(fresh, F.concat(state["out"], gap, F.lit("["), F.upper(span["kind"]), F.lit("]")))
-            .otherwise(state["out"])
-            .alias("out"),
-        )
-
-    cleaned = F.aggregate(
-        ordered,
-        F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out")),
-        step,
-        lambda state: F.concat(state["out"], F.substr(text, (state["at"] + 1).cast("int"), F.length(text))),
-    )
+    def replaced(held: Column) -> Column:
+        def step(at: Column, span: Column) -> tuple[Column, Column]:
+            end = -span["back"]
+            parts = F.array(cut(held, at, span["start"]), F.concat(F.lit("["), F.upper(span["kind"]), F.lit("]")))
+            fresh = span["start"] >= at
+            return F.greatest(at, end).cast("bigint"), F.when(fresh, parts).otherwise(F.array().cast("array<string>"))
+
+        done = walked(ordered, F.lit(0).cast("bigint"), "array<string>", step)
+
+        def whole(d: Column) -> Column:
+            return F.concat(F.array_join(d["found"], ""), cut(held, d["carry"], F.length(text).cast("bigint")))
+
+        return let(done, whole)
+
+    cleaned = let(blocks(text), replaced)
     changed = marked.select("doc", F.when(F.size("pii") > 0, cleaned).alias("cleaned"))
     columns = []
     for field in docs.schema:

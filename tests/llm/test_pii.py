@@ -119,3 +119,26 @@ def test_redact(spark):
 def test_empty(spark):
     assert pii.digest(pii.find_pii(empty(spark))).count() == 0
     assert pii.redact(empty(spark)).count() == 0
+
+
+def test_long_texts_with_many_matches(spark):
+    """Blocks of a text and chunks of a list have ends in every place."""
+    mails = " ".join(f"user{i}@mail{i % 7}.example" + ("\U0001f600 é" if i % 11 == 0 else "") for i in range(6_000))
+    far = "x" * 1_990 + " my card 4111 1111 1111 1111 " + "\U0001f600" * 3_000 + " +1 (815) 555-2757 " + "y" * 1_985 + " ssn 123-45-6789"
+    texts = [mails, far, far + mails + far]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r.pii for r in pii.find_pii(frame).collect()}
+    for i, text in enumerate(texts):
+        base = [(s.kind, s.start, s.end) for s in found[i] if s.kind in dict((k, 0) for k, _, _ in RULES)]
+        assert base == brute(text)
+        assert all(text[s.start : s.end] == s.value for s in found[i])
+        scores = {s.score for s in found[i] if s.kind == "card"}
+        assert scores <= {1.0}
+    assert [s.kind for s in found[1]] == ["card", "phone", "ssn"]
+    for row in pii.redact(frame).collect():
+        text, out, at = texts[row.doc_id], [], 0
+        for span in sorted(found[row.doc_id], key=lambda s: (s.start, -s.end)):
+            if span.start >= at:
+                out += [text[at : span.start], f"[{span.kind.upper()}]"]
+            at = max(at, span.end)
+        assert row.text == "".join(out) + text[at:]
