@@ -267,7 +267,10 @@ def over_blocks(docs: DataFrame, parts: list[DataFrame], size: int, at_once: int
     together = (
         reduce(DataFrame.unionAll, [hits(part) for part in parts])
         .groupBy("number", "doc_id", "n_words")
-        .agg(F.flatten(F.collect_list("spans")).alias("spans"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"))
+        .agg(
+            F.flatten(F.collect_list("spans")).alias("spans"),
+            F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"),
+        )
     )
 
     def merge(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -261,17 +261,21 @@ def ranked(carried: DataFrame, bar: DataFrame, index: DataFrame, docs: DataFrame
     """The best documents of every item, over all slices."""
     # Numbers in a slice rise with doc_id, so the best of a slice are its highest scores, then lowest numbers.
     pairs = F.arrays_zip(F.transform("score", lambda s: -s).alias("low"), F.col("at"))
-    best = carried.select("slice", "item", F.slice(F.array_sort(pairs), 1, top).alias("found"))
+    best = carried.select("bundle", "slice", "item", F.slice(F.array_sort(pairs), 1, top).alias("found"))
     over = (
         best.join(bar, "item", "left")
-        .select("slice", "item", F.explode("found").alias("f"), "bar")
+        .select("bundle", "slice", "item", F.explode("found").alias("f"), "bar")
         .where("-f.low >= coalesce(bar, 1)")
-        .groupBy("slice")
-        .agg(F.collect_list(F.struct("item", F.col("f.at").alias("at"), (-F.col("f.low")).alias("score"))).alias("found"))
+        .groupBy("bundle", "slice")
+        .agg(
+            F.collect_list(F.struct("item", F.col("f.at").alias("at"), (-F.col("f.low")).alias("score"))).alias("found")
+        )
     )
     documents = index.where("term IS NULL").select("slice", "ids")
     named = over.join(documents, "slice").select(
-        F.explode(F.transform("found", lambda f: F.struct(f["item"], F.get("ids", f["at"]).alias("id"), f["score"]))).alias("f")
+        F.explode(
+            F.transform("found", lambda f: F.struct(f["item"], F.get("ids", f["at"]).alias("id"), f["score"]))
+        ).alias("f")
     )
     rows = named.select(
         F.col("f.item").cast(items.schema["item_id"].dataType).alias("item_id"),
@@ -279,6 +283,5 @@ def ranked(carried: DataFrame, bar: DataFrame, index: DataFrame, docs: DataFrame
         F.col("f.score").alias("score"),
     )
     order = Window.partitionBy("item_id").orderBy(F.desc("score"), F.asc_nulls_last("doc_id"))
-    return (
-        rows.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top).select("item_id", "rank", "doc_id", "score")
-    )
+    ranks = rows.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+    return ranks.select("item_id", "rank", "doc_id", "score")

@@ -35,8 +35,11 @@ def bounded(found: list[bytes]) -> list[bytes]:
 
 def bounded_terms(found: Column) -> Column:
     """The same as an expression."""
-    name = lambda t: F.concat(F.lit("\x01"), F.sha2(t, 256))
-    return F.transform(found, lambda t: F.when(F.octet_length(t) > LONGEST, name(t)).otherwise(t))
+
+    def kept(term: Column) -> Column:
+        return F.when(F.octet_length(term) > LONGEST, F.concat(F.lit("\x01"), F.sha2(term, 256))).otherwise(term)
+
+    return F.transform(found, kept)
 
 
 def terms(text: Column) -> Column:
