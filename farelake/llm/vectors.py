@@ -12,6 +12,10 @@
    neighbours of everything in range (or just outside) are looked at until nothing new is in range.
 5. What was found is verified by the cosine in double precision. Links leave a task only as counts per
    node and as links of each node to the smallest one it is connected with.
+6. `recounted`: a component of more nodes than half a shard may reach over more shards than a search sees.
+   Its nodes are dealt to blocks, every block meets every other block of the component once, in a task of
+   its own, and adds up the links of its nodes: the counts of large groups are whole. Pairs of blocks move,
+   never pairs of vectors.
 
 `audit` measures the recall of links against brute force.
 
@@ -41,6 +45,8 @@ BEAM = 24
 #: How far below the threshold the range search still looks around.
 SLACK = 0.05
 BLOCK = 256
+#: Nodes of a block of a large component, about.
+MEET = 2_048
 
 
 def usable(vector: Column) -> Column:
@@ -245,6 +251,45 @@ def of_length(nodes: DataFrame, threshold: float, shard: int, overlap: int) -> D
     )
 
 
+def met(left: pd.DataFrame, right: pd.DataFrame, threshold: float) -> pd.DataFrame:
+    """(node, found): the links between two blocks, or inside one, counted for the nodes of both."""
+    if not len(left) or not len(right):
+        return pd.DataFrame({"node": np.zeros(0, np.int64), "found": np.zeros(0, np.int64)})
+    a, b = left["node"].to_numpy(), right["node"].to_numpy()
+    ours, theirs = left["copies"].to_numpy(), right["copies"].to_numpy()
+    own = bool(left["i"].iloc[0] == left["j"].iloc[0])
+    one, other = matrix(left["vector"]), matrix(right["vector"])
+    found_a, found_b = np.zeros(len(a), dtype=np.int64), np.zeros(len(b), dtype=np.int64)
+    for at in range(0, len(a), 512):
+        near = one[at : at + 512] @ other.T >= threshold
+        near &= a[at : at + 512, None] != b
+        found_a[at : at + 512] = near @ theirs
+        found_b += ours[at : at + 512] @ near
+    if own:
+        return pd.DataFrame({"node": a, "found": found_a})
+    return pd.DataFrame({"node": np.r_[a, b], "found": np.r_[found_a, found_b]})
+
+
+def recounted(nodes: DataFrame, least: int, threshold: float, block: int = MEET) -> DataFrame:
+    """(node, exact): links of the nodes in components of more than `least` nodes, block by block.
+
+    `nodes` has a component for every node; there are no links between components.
+    """
+    sizes = nodes.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("parts"), F.count(F.lit(1)).alias("n"))
+    large = nodes.join(sizes.where(F.col("n") > least).select("component", "parts"), "component")
+    dealt = stored(large.withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")), "large")
+    columns = ["component", "i", "j", "node", "copies", "vector"]
+    left = dealt.withColumn("i", F.col("part")).withColumn("j", F.explode(F.sequence("part", F.col("parts") - 1)))
+    right = dealt.withColumn("j", F.col("part")).withColumn("i", F.explode(F.sequence(F.lit(0), "part")))
+
+    def run(one: pd.DataFrame, other: pd.DataFrame) -> pd.DataFrame:
+        return met(one, other, threshold)
+
+    pairs = left.select(columns).groupBy("component", "i", "j").cogroup(right.select(columns).groupBy("component", "i", "j"))
+    counted = pairs.applyInPandas(run, "node long, found long")
+    return counted.groupBy("node").agg(F.sum("found").alias("exact"))
+
+
 def near_vectors(vectors: DataFrame, threshold: float = 0.95, shard: int = 1500, overlap: int = 3) -> DataFrame:
     """vec_id, n_links, component_id (smallest vec_id reachable) and kept, one row per row of `vectors`."""
     rows = vectors.select("vec_id", F.col("embedding").cast("array<double>").alias("vector"))
@@ -262,10 +307,14 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.95, shard: int = 1500,
     found = stored(found, "found")
     joined = components(found.where("low < node").select("node", "low"), "node", "low")
     counts = found.where("home").groupBy("node").agg(F.sum("found").alias("found"))
+    grouped = stored(
+        nodes.join(joined, "node", "left").select("node", "copies", "vector", F.coalesce("component", "node").alias("component")),
+        "grouped",
+    )
+    whole = recounted(grouped, shard // 2, threshold)
+    links = F.col("copies") - 1 + F.coalesce("exact", "found", F.lit(0))
     class_ = (
-        nodes.join(counts, "node", "left")
-        .join(joined, "node", "left")
-        .select("vector", (F.col("copies") - 1 + F.coalesce("found", F.lit(0))).alias("links"), F.coalesce("component", "node").alias("component"))
+        grouped.join(counts, "node", "left").join(whole, "node", "left").select("vector", links.alias("links"), "component")
     )
     matched = rows.withColumn("usable", usable(F.col("vector")) & F.col("vec_id").isNotNull()).join(class_, "vector", "left")
     component = F.when(F.col("usable"), F.col("component")).otherwise(F.col("vec_id"))

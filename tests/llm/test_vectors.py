@@ -67,3 +67,30 @@ def test_awkward_rows_and_empty(spark):
         assert got[alone] == [(0, alone, True)]
     assert got[None] == [(0, None, True)]
     assert vectors.near_vectors(frame.limit(0)).count() == 0
+
+
+def test_a_group_of_sixty_shards(spark):
+    """All counts of a tight group are whole, copies included, though no search sees more than a few shards."""
+    rng = np.random.default_rng(8)
+    middle = rng.normal(size=16)
+    data = np.concatenate([middle + 0.03 * rng.normal(size=(1_200, 16)), rng.normal(size=(40, 16))]).astype(np.float32)
+    data[5] = data[700]
+    ids = [int(i) for i in np.random.default_rng(2).permutation(len(data))]
+    frame = spark.createDataFrame(list(zip(ids, data.tolist())), "vec_id long, embedding array<float>")
+    count, root = brute(data, ids)
+    assert min(count[i] for i in ids[:1_200]) > 1_100
+    rows = vectors.near_vectors(frame, shard=20).collect()
+    assert {r.vec_id: (r.n_links, r.component_id) for r in rows} == {i: (count[i], root[i]) for i in ids}
+
+
+def test_blocks_of_a_large_component(spark):
+    data = clouds(seed=6)
+    unit = data.astype(np.float64)
+    rows = [(i, 1 + i % 3, v.tolist(), i % 2) for i, v in enumerate(unit)]
+    frame = spark.createDataFrame(rows, "node long, copies long, vector array<double>, component long")
+    got = {r.node: r.exact for r in vectors.recounted(frame, 1, 0.95, block=17).collect()}
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    near = unit @ unit.T >= 0.95
+    for i in range(len(unit)):
+        others = [j for j in range(i % 2, len(unit), 2) if j != i and near[i, j]]
+        assert got[i] == sum(1 + j % 3 for j in others)
