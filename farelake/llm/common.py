@@ -91,25 +91,23 @@ def hand_back() -> None:
         ctypes.CDLL("libc.so.6").malloc_trim(0)
 
 
-#: Bits of the membership table per member, and their number at least and at most: 8 MB.
-MEMBER_BITS, LEAST_BITS, MOST_BITS = 16, 1 << 14, 1 << 26
+#: Bits of the membership table, whatever the number of members: 8 MB.
+MEMBER_BITS = 1 << 26
 
 
 def narrowed(docs: DataFrame, ids: DataFrame, name: str = "doc_id") -> DataFrame:
     """The documents but most of those whose doc_id is not among `ids`; a join with them stays to be done.
 
     Keeps texts that no join will want out of the shuffle. The members are told by a table of bits, set by
-    hash: a row per 64 bits, which is joined by broadcast, as it has a million rows at most. With more
-    members than it was made for more strangers pass, and none gets lost.
+    hash: a row per 64 bits of which one is set, which is joined by broadcast, as there are a million at
+    most, and no more than members. The more members, the more strangers pass, and none gets lost.
     """
-    told = stored(ids.select(F.xxhash64(name).alias("hash")).distinct(), "members")
-    size = min(max(1 << (MEMBER_BITS * told.count()).bit_length(), LEAST_BITS), MOST_BITS)
 
     def slot(value: Column) -> Column:
-        return F.pmod(value, F.lit(size))
+        return F.pmod(value, F.lit(MEMBER_BITS))
 
     words = (
-        told.select(slot(F.col("hash")).alias("slot"))
+        ids.select(slot(F.xxhash64(name)).alias("slot"))
         .groupBy(F.shiftright("slot", 6).alias("member_word"))
         .agg(F.expr("bit_or(shiftleft(1L, CAST(slot % 64 AS int)))").alias("member_bits"))
     )
