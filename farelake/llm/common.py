@@ -101,6 +101,7 @@ def narrowed(docs: DataFrame, ids: DataFrame, name: str = "doc_id") -> DataFrame
     Keeps texts that no join will want out of the shuffle. The members are told by a table of bits, set by
     hash: a row per 64 bits of which one is set, which is joined by broadcast, as there are a million at
     most, and no more than members. The more members, the more strangers pass, and none gets lost.
+    The join to be done is an inner one: a semi-join would be moved below this one, with all texts.
     """
 
     def slot(value: Column) -> Column:

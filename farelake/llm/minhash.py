@@ -118,7 +118,10 @@ def thinned(pairs: DataFrame, reps: DataFrame, part: int, whole: int) -> DataFra
 
 
 def own_shingles(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
-    """doc_id and `own`, the shingles that no other of these documents has, for those that have any."""
+    """doc_id and `own`, the shingles that no other of these documents has, for those that have any.
+
+    `ids` names each document once.
+    """
 
     def sets(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -127,7 +130,8 @@ def own_shingles(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     texts = narrowed(docs.select("doc_id", "text").where("doc_id IS NOT NULL"), ids)
-    each = texts.join(ids, "doc_id", "left_semi").mapInPandas(tidy(sets), f"doc_id {kind}, shingles array<long>")
+    # No semi-join: Spark moves that one below the join of `narrowed`, and then every text is shuffled.
+    each = texts.join(ids, "doc_id").select("doc_id", "text").mapInPandas(tidy(sets), f"doc_id {kind}, shingles array<long>")
     having = each.select("doc_id", F.explode("shingles").alias("shingle")).groupBy("shingle")
     ends = having.agg(F.min("doc_id").alias("doc_id"), F.max("doc_id").alias("other")).where("doc_id = other")
     return ends.groupBy("doc_id").agg(F.count(F.lit(1)).alias("own"))

@@ -96,6 +96,26 @@ def test_estimate(spark):
         assert abs(frame.select(minhash.estimated("l", "r")).first()[0] - same) < 0.2
 
 
+def test_strangers_stay_out_of_the_shuffle_of_own_shingles(spark, tmp_path):
+    """Of 400 texts two are asked for; the rows that leave the first join of texts are few."""
+    rows = [(i, f"a{i} b{i} c{i} same old words") for i in range(400)]
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(2).write.parquet(f"{tmp_path}/docs")
+    spark.createDataFrame([(7,), (9,)], "doc_id long").write.parquet(f"{tmp_path}/ids")
+    docs, ids = spark.read.parquet(f"{tmp_path}/docs"), spark.read.parquet(f"{tmp_path}/ids")
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    for key, value in conf.items():
+        spark.conf.set(key, value)
+    try:
+        found = minhash.own_shingles(docs, ids, 3)
+        plan = found._jdf.queryExecution().executedPlan().toString().splitlines()
+        assert {(r.doc_id, r.own) for r in found.collect()} == {(7, 3), (9, 3)}
+    finally:
+        for key in conf:
+            spark.conf.unset(key)
+    depth = {name: next(len(line.split(name)[0]) for line in plan if name in line) for name in ("SortMergeJoin", "BroadcastHashJoin")}
+    assert depth["BroadcastHashJoin"] > depth["SortMergeJoin"]
+
+
 def test_components(spark):
     rng = random.Random(3)
     links = [(rng.randrange(300), rng.randrange(300)) for _ in range(200)]
