@@ -7,6 +7,7 @@ import pytest
 
 from checks.oracles import ORACLES
 from checks.registry import QUERIES
+from farelake import bindings
 
 HOT = 60_000
 
@@ -77,6 +78,25 @@ def test_results_stay_whole(spark, folder, sort_merge_joins, name):
     assert sorted(map(repr, got)) == sorted(map(repr, want))
 
 
+def test_run_all_joins_the_order_dates_once(spark, folder, sort_merge_joins):
+    """The reports read saved lines with their dates; none joins the orders again."""
+    frame = QUERIES["q11_run_all_rows"](spark, folder)
+    assert not [file for file in frame.inputFiles() if "/orders.parquet" in file or "/lineitem.parquet" in file]
+    con = duckdb.connect()
+    for table in ("lineitem", "orders", "supplier", "nation", "region"):
+        con.execute(f"CREATE VIEW {table} AS FROM read_parquet('{folder}/{table}.parquet/*.parquet')")
+    want = con.execute(f"SELECT report, n_rows FROM ({ORACLES['q11_run_all_rows']})").fetchall()
+    assert sorted((r.report, r.n_rows) for r in frame.collect()) == sorted(want)
+
+
+def test_trips_of_dated_lines(spark, folder):
+    """The same trips either way, in every column."""
+    made = bindings.trips_of(bindings.dated_lines(spark, folder))
+    straight = bindings.trips(spark, folder)
+    assert made.schema == straight.schema
+    assert made.exceptAll(straight).isEmpty() and straight.exceptAll(made).isEmpty()
+
+
 def test_hot_order_is_split(spark, folder, sort_merge_joins):
     frame = QUERIES["q02_hourly_revenue"](spark, folder)
     frame.collect()
