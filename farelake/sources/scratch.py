@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,3 +35,20 @@ def stored(frame: DataFrame, name: str) -> DataFrame:
     path = new_folder(frame.sparkSession, name)
     frame.write.option("compression", "zstd").parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
+#: Spark's switches for removing the shuffle files of a query as soon as it ends.
+CLEANUP = ("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "spark.sql.shuffleDependency.fileCleanup.enabled")
+
+
+@contextlib.contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Within this block, shuffle files go when the query that wrote them ends: a stored result needs them no more."""
+    before = {name: spark.conf.get(name, None) for name in CLEANUP}
+    for name in CLEANUP:
+        spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
