@@ -2,7 +2,7 @@
 
 1. Equal vectors are one node with a number of copies; they are told by two 64-bit hashes of the vector.
 2. `centres`: centres are fitted to a bounded sample, about one per `shard` nodes. Every node goes to
-   the shards of its `overlap` nearest centres. Shards whose centres lie together are a bundle, which one
+   the shards of its `overlap` nearest centres; centres of crowded shards fall back (`levelled`). Shards whose centres lie together are a bundle, which one
    task holds (`bundled`): a node is sent once to each bundle that has one of its shards.
 3. `build`: each shard gives its nodes neighbours by robust pruning: of near and of random candidates,
    the nearest is taken, and all that are closer to it than to the node (by a factor) are passed over.
@@ -56,6 +56,8 @@ BEAM = 24
 SLACK = 0.05
 #: Nodes that are searched for side by side, at most, and cosines that are held for them.
 BLOCK, SCORES = 256, 1 << 23
+#: Size of a shard over the average, at most, as far as the sample shows and so many rounds reach it.
+UNEVEN, LEVELLING = 3, 24
 #: Vectors that a task keeps in mind, so that equal ones are not sent again.
 RECENT = 100_000
 #: A bundle has the nodes of BUNDLE usual shards and so many bytes, about, and there are SPREAD bundles at least.
@@ -93,8 +95,11 @@ def rectangle(lists: pa.Array | pa.ChunkedArray) -> np.ndarray:
     return lists.flatten().to_numpy(zero_copy_only=False).reshape(len(lists), -1)
 
 
-def centres(rows: DataFrame, total: int, shard: int, seed: int = 3) -> np.ndarray:
-    """Unit centres, about one per `shard` of `total` nodes, by a few rounds of k-means on a bounded sample of them."""
+def centres(rows: DataFrame, total: int, shard: int, seed: int = 3) -> tuple[np.ndarray, np.ndarray]:
+    """Unit centres, about one per `shard` of `total` nodes, by a few rounds of k-means on a bounded sample of them.
+
+    The sample comes with them.
+    """
     count = max(1, min(-(-total // shard), SAMPLE // 4))
     share = min(1.0, SAMPLE / max(total, 1))
     picked = rows.where(F.pmod("hi", F.lit(1 << 20)) < int(share * (1 << 20))).dropDuplicates(["hi", "lo"])
@@ -107,15 +112,45 @@ def centres(rows: DataFrame, total: int, shard: int, seed: int = 3) -> np.ndarra
         np.add.at(sums, nearest, sample)
         length = np.linalg.norm(sums, axis=1, keepdims=True)
         found = np.where(length > 0, sums / np.maximum(length, 1e-12), found)
-    return found
+    return found, sample
 
 
-def bundled(middle: np.ndarray, most: int) -> np.ndarray:
-    """The bundle of each centre: halved along their widest direction until a part has `most` at most."""
+def levelled(sample: np.ndarray, middle: np.ndarray, overlap: int) -> tuple[np.ndarray, np.ndarray]:
+    """What to take off the cosines with each centre, and its weight then: the shard's size, 1 on average.
+
+    In a tight group the centre of most samples is the nearest one to all, and its shard would hold the group.
+    It falls back until UNEVEN times its share is left, the members nearest to a change leaving first.
+    """
+    size, single = len(middle), middle.astype(np.float32)
+    off, share = np.zeros(size, dtype=np.float32), overlap * len(sample) / len(middle)
+    if size <= overlap:
+        return off, np.ones(size)
+    most = max(overlap, int(UNEVEN * share))
+    for step in range(LEVELLING + 1):
+        members, margins = [], []
+        for at in range(0, len(sample), 1000):
+            score = sample[at : at + 1000].astype(np.float32) @ single.T - off
+            top = np.argpartition(-score, overlap, axis=1)[:, : overlap + 1]
+            likes = np.take_along_axis(score, top, 1)
+            members.append(top[:, :overlap])
+            margins.append(likes[:, :overlap] - likes[:, overlap:])
+        member, margin = np.concatenate(members).ravel(), np.concatenate(margins).ravel()
+        count = np.bincount(member, minlength=size)
+        over = np.flatnonzero(count > most)
+        if step == LEVELLING or not len(over):
+            return off, count / share
+        for centre in over:
+            own = np.sort(margin[member == centre])
+            off[centre] += own[len(own) - most - 1] + 1e-7
+
+
+def bundled(middle: np.ndarray, most: float, weight: np.ndarray | None = None) -> np.ndarray:
+    """The bundle of each centre: halved along their widest direction until a part weighs `most` at most."""
+    weight = np.ones(len(middle)) if weight is None else weight
     bundle, waiting, done = np.zeros(len(middle), dtype=np.int32), [np.arange(len(middle))], 0
     while waiting:
         part = waiting.pop()
-        if len(part) <= most:
+        if len(part) == 1 or weight[part].sum() <= most:
             bundle[part], done = done, done + 1
             continue
         about = middle[part] - middle[part].mean(axis=0)
@@ -125,7 +160,7 @@ def bundled(middle: np.ndarray, most: int) -> np.ndarray:
     return bundle
 
 
-def dealt(rows: DataFrame, middle: np.ndarray, bundle: np.ndarray, overlap: int) -> DataFrame:
+def dealt(rows: DataFrame, middle: np.ndarray, off: np.ndarray, bundle: np.ndarray, overlap: int) -> DataFrame:
     """A row per vector and bundle; `shards` are those of the vector, in whatever bundle.
 
     Of equal vectors near each other in the table, one of a smallest vec_id goes on.
@@ -144,7 +179,7 @@ def dealt(rows: DataFrame, middle: np.ndarray, bundle: np.ndarray, overlap: int)
             if len(told) > RECENT:
                 told.clear()
             if fresh:
-                alike = units(rectangle(batch["vector"])[fresh]).astype(np.float32) @ single.T
+                alike = units(rectangle(batch["vector"])[fresh]).astype(np.float32) @ single.T - off
                 near = np.argpartition(-alike, width - 1, axis=1)[:, :width].astype(np.int32)
                 to = np.sort(bundle[near], axis=1)
                 row, k = np.nonzero(np.c_[np.ones(len(to), dtype=bool), to[:, 1:] != to[:, :-1]])
@@ -192,8 +227,9 @@ def build(unit: np.ndarray, seed: int, least: float) -> tuple[np.ndarray, np.nda
         return np.zeros((0, 2), dtype=np.int64), np.zeros(n, dtype=np.int64)
     rng = np.random.default_rng(seed)
     width, links, crowd = min(NEAR, n - 1), [], []
-    for at in range(0, n, BLOCK):
-        own = np.arange(at, min(at + BLOCK, n))
+    block = max(16, min(BLOCK, SCORES // n))
+    for at in range(0, n, block):
+        own = np.arange(at, min(at + block, n))
         alike = unit[own] @ unit.T
         alike[np.arange(len(own)), own] = -2
         near = np.argpartition(alike, n - width, axis=1)[:, n - width :]
@@ -360,17 +396,18 @@ def linked(rows: pa.Table, bundle: np.ndarray, threshold: float) -> pa.Table:
 
 def of_length(rows: DataFrame, size: int, total: int, threshold: float, shard: int, overlap: int) -> DataFrame:
     """(node, low) for rows whose vectors all have `size` components, `total` different ones."""
-    middle = centres(rows, total, shard)
+    middle, sample = centres(rows, total, shard)
+    off, weight = levelled(sample, middle, overlap)
     home = max(1, total // len(middle))
     most = min(BUNDLE * shard // home, BUNDLE_BYTES // (4 * size * home), len(middle) // SPREAD)
-    bundle = bundled(middle, max(1, most))
+    bundle = bundled(middle, max(1, most), weight)
 
     def run(held: pa.Table) -> pa.Table:
         ends = linked(held, bundle, threshold)
         hand_back()
         return ends
 
-    return dealt(rows, middle, bundle, overlap).groupBy("bundle").applyInArrow(run, "node long, low long")
+    return dealt(rows, middle, off, bundle, overlap).groupBy("bundle").applyInArrow(run, "node long, low long")
 
 
 def met(left: pd.DataFrame, right: pd.DataFrame, threshold: float) -> pd.DataFrame:

@@ -221,3 +221,26 @@ def test_usable_vectors(spark):
     for kind in ("float", "double"):
         rows = frame.where("i <> 2 OR '%s' = 'double'" % kind).select("i", vectors.usable(frame["v"].cast(f"array<{kind}>")).alias("u"))
         assert all(r.u == (r.i < len(good)) for r in rows.collect())
+
+
+def test_no_shard_holds_a_tight_group():
+    """New members of a tight group are dealt to many shards, though one of its centres is the nearest to nearly all."""
+    rng = np.random.default_rng(4)
+
+    def some(n):
+        x = np.concatenate([rng.normal(size=(n, 32)), 1 + 0.02 * rng.normal(size=(n // 10, 32))])
+        return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+    sample = some(2_000)
+    middle = sample[rng.permutation(len(sample))[:400]]
+    group = np.flatnonzero(middle.mean(axis=1) > 0.15)
+    best = sample[2_000:].mean(axis=0)
+    middle[group[0]] = best / np.linalg.norm(best)
+    off, weight = vectors.levelled(sample, middle, 3)
+    new = some(4_000)
+    sizes = [
+        np.bincount(np.argpartition(taken - new @ middle.T, 2, axis=1)[:, :3].ravel(), minlength=400) / (3 * len(new) / 400)
+        for taken in (0, off)
+    ]
+    assert sizes[0].max() > 12 and sizes[1].max() < 8 and weight.max() < 4
+    assert (vectors.levelled(sample, middle[:3], 3)[0] == 0).all()
